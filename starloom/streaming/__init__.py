@@ -1,0 +1 @@
+"""No streaming operators: every load of this warehouse is a batch, see README."""
