@@ -54,13 +54,7 @@ class FolderSource:
         names = hadoop.child_names(self.spark, self.root)
         return [name.removesuffix(".parquet") for name in names if name.endswith(".parquet")]
 
-    def read(
-        self, table: str, columns: Sequence[str] | None = None, fetch_size: int | None = None
-    ) -> DataFrame:
-        """One table. Parquet batches are sized by the session, not per read."""
+    def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+        """One table; unread columns are pruned from the scan."""
         df = self.spark.read.parquet(f"{self.root}/{table}.parquet")
         return df.select(*columns) if columns else df
-
-    def read_partitioned(self, table: str, column: str, partitions: int) -> DataFrame:
-        """Like :meth:`read`: files are already cut into splits by size."""
-        return self.read(table)
