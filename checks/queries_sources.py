@@ -488,7 +488,22 @@ def decimal_verbatim(ctx: Context) -> DataFrame:
     return coercion.adapt_types(lines, coercion.decimals_as_text)
 
 
-@query(name="array_to_json")
+# JSON spells a small number with an exponent here and with zeros there.
+_DIGITS = "replace(replace(v, '-', ''), '0.000', '')"
+_SMALL = f"{_DIGITS}[1] || '.' || case when len({_DIGITS}) > 1 then {_DIGITS}[2:] else '0' end"
+
+
+@query(
+    f"""
+    select vec_id, label, '[' || array_to_string(list_transform(embedding, lambda x:
+        list_transform([cast(x as varchar)], lambda v:
+            case when x = 0 or abs(x) >= 0.001 then v
+            when abs(x) >= 0.0001 then
+                case when x < 0 then '-' else '' end || {_SMALL} || 'E-4'
+            else regexp_replace(regexp_replace(v, '^(-?[0-9])e', '\\1.0e'), 'e-0*', 'E-') end
+        )[1]), ',') || ']' as embedding
+    from embeddings"""
+)
 def array_to_json(ctx: Context) -> DataFrame:
     return coercion.adapt_types(ctx.given("embeddings"), coercion.arrays_as_json)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks.models_sql import LOADED_AT, compose
 from checks.raw_layer import RawLayer, read_given
-from starloom.plans.staging import stage_all
+from starloom.plans.staging import StagingViews
 from starloom.plans.warehouse import build_warehouse
 from starloom.sources.layers import LayerStore
 from starloom.sources.workspace import new_workspace
@@ -42,8 +42,8 @@ class Context:
         return RawLayer(self.spark, self.sf_dir)
 
     @cached_property
-    def stg(self) -> dict[str, DataFrame]:
-        return stage_all(self.raw, self.loaded_at())
+    def stg(self) -> StagingViews:
+        return StagingViews(self.raw, self.loaded_at())
 
     @cached_property
     def store(self) -> LayerStore:

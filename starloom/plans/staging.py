@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 
@@ -199,7 +199,21 @@ def stage(raw: Mapping[str, DataFrame], model: str, loaded_at: Column | None = N
     return load_stamp(renamed, loaded_at) if model in STAMPED else renamed
 
 
-def stage_all(
-    raw: Mapping[str, DataFrame], loaded_at: Column | None = None
-) -> dict[str, DataFrame]:
-    return {model: stage(raw, model, loaded_at) for model in STAGING}
+class StagingViews(Mapping):
+    """All staging views by name, each planned when first asked for."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], loaded_at: Column | None = None):
+        self._raw = raw
+        self._loaded_at = loaded_at
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, model: str) -> DataFrame:
+        if model not in self._planned:
+            self._planned[model] = stage(self._raw, model, self._loaded_at)
+        return self._planned[model]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(STAGING)
+
+    def __len__(self) -> int:
+        return len(STAGING)

@@ -11,7 +11,7 @@ from starloom.functions.calendar import dim_date
 from starloom.operators.lookup import JoinLimits
 from starloom.plans import integration, roles
 from starloom.plans.mart import mart_sales_order_line
-from starloom.plans.staging import stage_all
+from starloom.plans.staging import StagingViews
 from starloom.sources.layers import LayerStore
 
 # Independent tables written at a time; Spark shares the cluster among them.
@@ -38,7 +38,7 @@ def build_analytics(
     limits: JoinLimits = JoinLimits(),
 ) -> dict[str, DataFrame]:
     """Write the five dimensions and the fact and return them as read back."""
-    models = analytics_models(stage_all(raw, loaded_at), store, limits)
+    models = analytics_models(StagingViews(raw, loaded_at), store, limits)
     with ThreadPoolExecutor(WRITERS) as pool:
         written = pool.map(lambda name: store.materialize(models[name](), name), models)
         return dict(zip(models, written, strict=True))
