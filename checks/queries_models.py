@@ -214,7 +214,7 @@ def role_playing_date_join(ctx: Context) -> DataFrame:
             f"{role}_key",
             "date_key",
             {"full_date": f"{role}_full_date"},
-            bounded=True,
+            size="bounded",
         )
         for role in roles
     ]

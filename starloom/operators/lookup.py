@@ -10,13 +10,15 @@ repeated once per salt. Salting changes where rows go, never which rows come out
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_KEYS_MAX = 256
+MEASURED_AT_A_TIME = 4
 _SALT = "__salt"
 
 
@@ -33,33 +35,48 @@ class JoinLimits:
 class Lookup:
     """Attributes to take from ``dim`` where its ``dim_key`` equals ``key``.
 
-    ``take`` maps dimension columns to output names. ``bounded`` marks a
-    dimension whose size is fixed by its construction (a generated calendar).
+    ``take`` maps dimension columns to output names. ``size`` says what is known
+    of the dimension: ``bounded`` by its construction (a generated calendar),
+    ``large`` as it grows with the rows that look it up, or else ``measured``.
     """
 
     dim: DataFrame
     key: str
     dim_key: str
     take: dict[str, str] = field(default_factory=dict)
-    bounded: bool = False
+    size: str = "measured"
 
     def columns(self) -> list[str]:
         return list(dict.fromkeys([self.dim_key, *self.take]))
 
 
-def _width(column: T.StructField) -> Column:
-    if isinstance(column.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(column.name)), F.lit(0)) + 16
-    return F.lit(16)
-
-
 def fits_broadcast(dim: DataFrame, limits: JoinLimits = JoinLimits()) -> bool:
     """Measure ``dim``: rows first (footers, for files), bytes only if few rows."""
-    if limits.broadcast_rows <= 0 or dim.count() > limits.broadcast_rows:
+    if limits.broadcast_rows <= 0:
+        return False
+    rows = dim.count()
+    if rows > limits.broadcast_rows:
         return False
-    width = sum((_width(column) for column in dim.schema.fields), F.lit(16))
-    measured = dim.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
-    return measured["bytes"] <= limits.broadcast_bytes
+    texts = [c.name for c in dim.schema.fields if isinstance(c.dataType, T.StringType)]
+    text_bytes = 0
+    if texts:
+        text = F.octet_length(F.concat_ws("", *texts))
+        text_bytes = dim.agg(F.coalesce(F.sum(text), F.lit(0))).first()[0]
+    return text_bytes + rows * 16 * (len(dim.columns) + 1) <= limits.broadcast_bytes
+
+
+def near_dims(lookups: Sequence[Lookup], limits: JoinLimits = JoinLimits()) -> set[int]:
+    """``id`` of each dimension small enough to broadcast, measured once per dimension."""
+    near = {id(lookup.dim) for lookup in lookups if lookup.size == "bounded"}
+    dims: dict[int, DataFrame] = {}
+    needed: dict[int, dict[str, None]] = {}
+    for lookup in lookups:
+        if lookup.size == "measured":
+            dims[id(lookup.dim)] = lookup.dim
+            needed.setdefault(id(lookup.dim), {}).update(dict.fromkeys(lookup.columns()))
+    with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
+        fits = pool.map(lambda n: fits_broadcast(dims[n].select(*needed[n]), limits), dims)
+        return near | {number for number, small in zip(dims, fits, strict=True) if small}
 
 
 def hot_keys(
@@ -101,6 +118,10 @@ def salted_left_join(
         F.col(lookup.dim_key).alias("__dim_key"),
         *[F.col(name).alias(f"__take_{name}") for name in lookup.take],
     )
+    if lookup.size == "large":
+        # Also where a file looks small: the rows looked up are spread by their
+        # key, and so is everything built on them.
+        dim = dim.hint("merge")
     taken = [F.col(f"__take_{name}").alias(out) for name, out in lookup.take.items()]
     kept = [F.col(f"`{name}`") for name in df.columns]
     if not hot:
@@ -130,6 +151,8 @@ def salted_left_join(
         )
         .drop("__hot_key", "__salts")
     )
+    if lookup.size == "large":
+        repeated = repeated.hint("merge")
     matches = (F.col(lookup.key) == F.col("__dim_key")) & (F.col(_SALT) == F.col("__dim_salt"))
     return salted.join(repeated, matches, "left").select(*kept, *taken)
 
@@ -147,16 +170,9 @@ def left_lookups(
     one; the result's columns are in the order given. ``spread_by`` names columns
     that tell rows of one key apart.
     """
-    measured: dict[tuple[int, tuple[str, ...]], bool] = {}
-
-    def small(lookup: Lookup) -> bool:
-        seen = (id(lookup.dim), tuple(lookup.columns()))
-        if seen not in measured:
-            measured[seen] = fits_broadcast(lookup.dim.select(*lookup.columns()), limits)
-        return measured[seen]
-
-    near = [lookup for lookup in lookups if lookup.bounded or small(lookup)]
-    far = [lookup for lookup in lookups if not any(lookup is other for other in near)]
+    small = near_dims(lookups, limits)
+    near = [lookup for lookup in lookups if id(lookup.dim) in small]
+    far = [lookup for lookup in lookups if id(lookup.dim) not in small]
     hot = hot_keys(df, list(dict.fromkeys(lk.key for lk in far)), limits) if far else {}
 
     result = df

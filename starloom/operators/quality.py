@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import JoinLimits, fits_broadcast
+from starloom.operators.lookup import JoinLimits, Lookup, near_dims
 
 
 @dataclass(frozen=True)
@@ -93,17 +93,18 @@ def not_null(df: DataFrame, relation: str, key: str, columns: Sequence[str]) ->
     )
 
 
-def relationship(
-    df: DataFrame, target: DataFrame, edge: Edge, limits: JoinLimits = JoinLimits()
-) -> DataFrame:
-    """Key values without a counterpart, with the number of rows that use them."""
+def relationship(df: DataFrame, target: DataFrame, edge: Edge, small: bool) -> DataFrame:
+    """Key values without a counterpart, with the number of rows that use them.
+
+    ``small`` says that the target's keys were measured and may be broadcast.
+    """
     used = (
         df.filter(F.col(edge.column).isNotNull())
         .groupBy(F.col(edge.column).alias("used_key"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     known = target.select(F.col(edge.target_key).alias("known_key"))
-    if fits_broadcast(known, limits):
+    if small:
         known = F.broadcast(known)
     return used.join(known, F.col("used_key") == F.col("known_key"), "left_anti").select(
         F.lit(edge.relation).alias("relation"),
@@ -118,7 +119,14 @@ def relationships(
     edges: Sequence[Edge] = STAR_EDGES,
     limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
-    return _union([relationship(tables[e.relation], tables[e.target], e, limits) for e in edges])
+    keys = [Lookup(tables[e.target], e.column, e.target_key) for e in edges]
+    small = near_dims(keys, limits)
+    return _union(
+        [
+            relationship(tables[e.relation], lookup.dim, e, id(lookup.dim) in small)
+            for e, lookup in zip(edges, keys, strict=True)
+        ]
+    )
 
 
 def freshness(

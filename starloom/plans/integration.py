@@ -272,7 +272,8 @@ def order_lines_with_orders(stg: Staging, limits: JoinLimits = JoinLimits()) ->
         *[F.col(old).alias(new) for old, new in LINE_TO_FACT.items()],
         F.col("processed_at").alias("sales_order_line_processed_at"),
     )
-    order = Lookup(stg["stg_sales_order"], "sales_order_key", "order_key", ORDER_TO_FACT)
+    orders = stg["stg_sales_order"]
+    order = Lookup(orders, "sales_order_key", "order_key", ORDER_TO_FACT, size="large")
     joined = left_lookups(lines, [order], ["sales_order_line_key"], limits)
     return joined.select(
         *LINE_TO_FACT.values(), *ORDER_TO_FACT.values(), "sales_order_line_processed_at"

@@ -76,11 +76,11 @@ def date_lookups(dim_date: DataFrame) -> list[Lookup]:
     """The calendar under its four roles; its size is fixed by its two end days."""
     attributes = filtered_columns(dim_date, DATE_EXCLUDED)
     full = [
-        Lookup(dim_date, f"{role}_key", "date_key", prefixed(attributes, f"{role}_"), bounded=True)
+        Lookup(dim_date, f"{role}_key", "date_key", prefixed(attributes, f"{role}_"), size="bounded")
         for role in FULL_DATE_ROLES
     ]
     short = [
-        Lookup(dim_date, f"{role}_key", "date_key", {"full_date": f"{role}_full_date"}, bounded=True)
+        Lookup(dim_date, f"{role}_key", "date_key", {"full_date": f"{role}_full_date"}, size="bounded")
         for role in SHORT_DATE_ROLES
     ]
     return full + short
