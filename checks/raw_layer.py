@@ -148,13 +148,17 @@ class RawLayer(Mapping):
         self.spark = spark
         self.sf_dir = sf_dir
         self._planned: dict[str, DataFrame] = {}
+        self._given: dict[str, DataFrame] = {}
+
+    def given(self, table: str) -> DataFrame:
+        if table not in self._given:
+            self._given[table] = read_given(self.spark, self.sf_dir, table)
+        return self._given[table]
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._planned:
             sql = RAW_SQL[table].replace("{five_regions}", FIVE_REGIONS["spark"])
-            given = {
-                name: read_given(self.spark, self.sf_dir, name) for name in given_tables(sql)
-            }
+            given = {name: self.given(name) for name in given_tables(sql)}
             self._planned[table] = self.spark.sql(sql, **given)
         return self._planned[table]
 

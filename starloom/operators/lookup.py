@@ -9,6 +9,7 @@ repeated once per salt. Salting changes where rows go, never which rows come out
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_KEYS_MAX = 256
+SLICES = 4
 MEASURED_AT_A_TIME = 4
 _SALT = "__salt"
 
@@ -84,6 +86,10 @@ def hot_keys(
 ) -> dict[str, list[tuple[object, int]]]:
     """Keys that hold more than an average partition, with the salts they need.
 
+    Each salt gets a quarter of an average partition, so that two of them in one
+    partition do no harm; all hot keys together need at most four salts per
+    partition, which bounds the dimension rows that are repeated.
+
     One pass with a mergeable frequent-items sketch, so no key is shuffled, and at
     most ``HOT_KEYS_MAX`` keys per column come back to the driver. NULL counts as
     a key.
@@ -98,7 +104,7 @@ def hot_keys(
     hot_rows = max(found["__rows"] * share, 1)
     return {
         key: [
-            (item["item"], -(-item["count"] // max(int(hot_rows), 1)))
+            (item["item"], math.ceil(SLICES * item["count"] / hot_rows))
             for item in found[key] or []
             if item["count"] > hot_rows
         ]

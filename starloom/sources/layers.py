@@ -96,7 +96,11 @@ class LayerStore:
         number = int(versions[-1][1:]) + 1 if versions else 1
         target = f"{self.location(layer, table)}/v{number:08d}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        return self.spark.read.parquet(target)
+        return self._written(df, target)
+
+    def _written(self, df: DataFrame, path: str) -> DataFrame:
+        """Read back with the schema just written, without asking the files for it."""
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Add rows to the current version, or start the table."""
@@ -104,7 +108,7 @@ class LayerStore:
         if current is None:
             return self.replace(df, layer, table)
         df.write.mode("append").parquet(current)
-        return self.spark.read.parquet(current)
+        return self._written(df, current)
 
     def merge(
         self,
@@ -128,7 +132,7 @@ class LayerStore:
         """Write staged files beside the tables, touching none of them."""
         path = f"{self.root}/staging_files/{load_id or uuid.uuid4().hex}/{table}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._written(df, path)
 
     def materialize(self, df: DataFrame, model: str, overrides=None) -> DataFrame:
         """Persist a model routed to a table; hand back a view's lazy plan as it is."""
