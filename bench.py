@@ -86,11 +86,15 @@ def main() -> None:
         "late_lines": lambda: metrics.late_lines(fact),
         "customer_orders": lambda: metrics.customer_orders(fact),
         "customers_orders_left": lambda: metrics.customers_orders_left(customers, fact),
+    }
+    checks = {
         "dq_relationships": lambda: quality.relationships(tables),
+        "dq_reconcile": lambda: quality.reconcile(
+            fact, mart, ["sales_order_key"], ["quantity", "unit_price"]
+        ),
     }
-    for query in dashboards.values():
+    for name, query in (dashboards | checks).items():
         run(query())
-    for name, query in dashboards.items():
         times[name] = min(timed(lambda: run(query())) for _ in range(REPEATS))
     slowest = max(times[name] for name in dashboards)
     print(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_KEYS_MAX = 256
+HOT_KEYS_MAX = 2000
 SLICES = 4
 MEASURED_AT_A_TIME = 4
 _SALT = "__salt"
@@ -90,17 +90,17 @@ def hot_keys(
     partition do no harm; all hot keys together need at most four salts per
     partition, which bounds the dimension rows that are repeated.
 
-    One pass with a mergeable frequent-items sketch, so no key is shuffled, and at
-    most ``HOT_KEYS_MAX`` keys per column come back to the driver. NULL counts as
-    a key.
+    One pass with a mergeable frequent-items sketch, so no key is shuffled. Only
+    ``1 / share`` keys can hold more than the share, and at most ``HOT_KEYS_MAX``
+    per column come back to the driver. NULL counts as a key.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = limits.hot_share or 1 / partitions
+    most = min(math.ceil(1 / share), HOT_KEYS_MAX)
     sketches = [
-        F.expr(f"approx_top_k(`{key}`, {HOT_KEYS_MAX}, {HOT_KEYS_MAX * 64})").alias(key)
-        for key in keys
+        F.expr(f"approx_top_k(`{key}`, {most}, {max(8 * most, 1024)})").alias(key) for key in keys
     ]
     found = df.agg(F.count(F.lit(1)).alias("__rows"), *sketches).first()
-    share = limits.hot_share or 1 / partitions
     hot_rows = max(found["__rows"] * share, 1)
     return {
         key: [
@@ -174,16 +174,18 @@ def left_lookups(
     Every ``key`` is a column of ``df``. Shuffled lookups come first and small
     ones last, so that attributes which need no shuffle are not carried through
     one; the result's columns are in the order given. ``spread_by`` names columns
-    that tell rows of one key apart.
+    that tell rows of one key apart; without any, ``df`` holds each key once and
+    no key can be hot.
     """
     small = near_dims(lookups, limits)
     near = [lookup for lookup in lookups if id(lookup.dim) in small]
     far = [lookup for lookup in lookups if id(lookup.dim) not in small]
-    hot = hot_keys(df, list(dict.fromkeys(lk.key for lk in far)), limits) if far else {}
+    keys = list(dict.fromkeys(lookup.key for lookup in far))
+    hot = hot_keys(df, keys, limits) if keys and spread_by else {}
 
     result = df
     for lookup in far:
-        result = salted_left_join(result, lookup, hot[lookup.key], spread_by)
+        result = salted_left_join(result, lookup, hot.get(lookup.key, []), spread_by)
     for number, lookup in enumerate(near):
         dim_key = f"__near_key_{number}"
         dim = F.broadcast(

@@ -91,22 +91,24 @@ def customer_lifetime_value(
     }
     totals = customer_totals(fact)
     found = Lookup(dim_customer, "customer_key", "customer_key", names)
-    return left_lookups(totals, [found], ["customer_key"], limits)
+    return left_lookups(totals, [found], [], limits)
 
 
 def customer_retention(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Customers of each fiscal year, and how many of them ordered in the next.
 
-    A customer's years (at most one per calendar year) are gathered while the
-    lines are combined, so a customer with very many lines stays one small set.
+    Lines become one row per customer and year before a customer's years, at most
+    as many as the calendar has, are put side by side.
     """
     years = dim_date.select(F.col("date_key").alias("order_date_key"), "fiscal_year")
     per_customer = (
         fact.filter("customer_key is not null")
         .select("customer_key", "order_date_key")
         .join(F.broadcast(years), "order_date_key")
+        .select("customer_key", "fiscal_year")
+        .distinct()
         .groupBy("customer_key")
-        .agg(F.collect_set("fiscal_year").alias("years"))
+        .agg(F.collect_list("fiscal_year").alias("years"))
     )
     ordered = per_customer.select(F.explode("years").alias("fiscal_year"), "years")
     again = F.array_contains("years", F.col("fiscal_year") + 1)
@@ -131,7 +133,7 @@ def revenue_by_geography(
     }
     found = Lookup(dim_customer, "customer_key", "customer_key", places)
     return (
-        left_lookups(customer_totals(fact), [found], ["customer_key"], limits)
+        left_lookups(customer_totals(fact), [found], [], limits)
         .groupBy(*places.values())
         .agg(
             F.count("customer_key").alias("customer_count"),

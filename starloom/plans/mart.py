@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from starloom.functions.columns import filtered_columns, interleaved, prefixed
-from starloom.operators.lookup import JoinLimits, Lookup, left_lookups
+from starloom.operators.lookup import JoinLimits, Lookup, fits_broadcast, left_lookups
 
 # Columns the mart leaves out. salesperson_key stays in: published
 # reports already use it.
@@ -111,6 +111,8 @@ def mart_sales_order_line(
     customer dimension alone would be worked out twice.
     """
     customers = customer_with_bill_to(tables["dim_customer"], limits)
+    # With the payer added a large dimension is no smaller: do not join to find out.
+    small = fits_broadcast(tables["dim_customer"], limits)
     attributes = filtered_columns(tables["dim_customer"], CUSTOMER_EXCLUDED)
     customer = prefixed(attributes, "customer_") | {
         "bill_to_customer_name": "bill_to_customer_name"
@@ -123,7 +125,9 @@ def mart_sales_order_line(
             "stock_item_key",
             {name: name for name in STOCK_ITEM_TAKEN},
         ),
-        Lookup(customers, "customer_key", "customer_key", customer),
+        Lookup(
+            customers, "customer_key", "customer_key", customer, "measured" if small else "large"
+        ),
         Lookup(
             tables["dim_package_type"], "package_type_key", "package_type_key", PACKAGE_TYPE_TAKEN
         ),

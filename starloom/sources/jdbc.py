@@ -13,14 +13,20 @@ class JdbcSource:
     """Connection settings; nothing is opened until a table is read.
 
     ``options`` go to every read (``user``, ``password``, ``driver``,
-    ``customSchema`` ...). ``catalog_query`` lists table names and differs per
-    database; the default is the standard information schema.
+    ``customSchema`` ...). ``fetch_size`` is how many rows come per round trip.
+    ``ranges`` maps a table to a column and a number of parallel range reads over
+    it; choose a unique, evenly spread column, since the ranges are of equal width
+    and a hot value would put its rows into one task. ``catalog_query`` lists
+    table names and differs per database; the default is the standard
+    information schema.
     """
 
     spark: SparkSession
     url: str
     schema: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    fetch_size: int | None = None
+    ranges: Mapping[str, tuple[str, int]] = field(default_factory=dict)
     catalog_query: str = (
         "select table_name from information_schema.tables where table_type = 'BASE TABLE'"
     )
@@ -28,51 +34,42 @@ class JdbcSource:
     def _named(self, table: str) -> str:
         return f"{self.schema}.{table}" if self.schema else table
 
-    def read_options(self, table: str, fetch_size: int | None = None) -> dict[str, str]:
-        settings = {"url": self.url, "dbtable": self._named(table), **self.options}
-        if fetch_size:
-            settings["fetchsize"] = str(fetch_size)
-        return settings
+    def _load(self, **settings: str) -> DataFrame:
+        everywhere = {"url": self.url, **self.options}
+        return self.spark.read.format("jdbc").options(**everywhere, **settings).load()
 
     def tables(self) -> list[str]:
         """Names only, as many as the database has tables."""
         query = self.catalog_query
         if self.schema and "information_schema" in query:
             query += f" and table_schema = '{self.schema}'"
-        settings = {"url": self.url, "query": query, **self.options}
-        listed = self.spark.read.format("jdbc").options(**settings).load()
-        return sorted(row[0] for row in listed.collect())
-
-    def read(
-        self, table: str, columns: Sequence[str] | None = None, fetch_size: int | None = None
-    ) -> DataFrame:
-        """One table; filters and the column list are pushed to the database."""
-        df = self.spark.read.format("jdbc").options(**self.read_options(table, fetch_size)).load()
-        return df.select(*columns) if columns else df
+        return sorted(row[0] for row in self._load(query=query).collect())
 
-    def partition_options(
-        self, column: str, lower: object, upper: object, partitions: int
-    ) -> dict[str, str]:
-        """Range reads over ``column``; rows outside the bounds are still read.
+    def read_settings(self, table: str, ends: tuple[object, object] | None = None) -> dict[str, str]:
+        """Reader settings of one table; ``ends`` are the range column's two ends.
 
-        Choose a unique, evenly spread column: the ranges are of equal width, so
-        a column with a hot value would put its rows into one task.
+        Rows outside the ends, and rows without a value, are read by the first and
+        the last range.
         """
-        return {
-            "partitionColumn": column,
-            "lowerBound": str(lower),
-            "upperBound": str(upper),
-            "numPartitions": str(partitions),
-        }
+        settings = {"dbtable": self._named(table)}
+        if self.fetch_size:
+            settings["fetchsize"] = str(self.fetch_size)
+        if table in self.ranges and ends and ends[0] is not None:
+            column, partitions = self.ranges[table]
+            settings |= {
+                "partitionColumn": column,
+                "lowerBound": str(ends[0]),
+                "upperBound": str(ends[1]),
+                "numPartitions": str(partitions),
+            }
+        return settings
 
-    def read_partitioned(
-        self, table: str, column: str, partitions: int, fetch_size: int | None = None
-    ) -> DataFrame:
-        """Read a table in parallel ranges between the column's ends."""
-        bounds = f"select min({column}) lo, max({column}) hi from {self._named(table)}"
-        ends_settings = {"url": self.url, "query": bounds, **self.options}
-        ends = self.spark.read.format("jdbc").options(**ends_settings).load().first()
-        settings = self.read_options(table, fetch_size)
-        if ends[0] is not None:
-            settings |= self.partition_options(column, ends[0], ends[1], partitions)
-        return self.spark.read.format("jdbc").options(**settings).load()
+    def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+        """One table; filters and the column list are pushed to the database."""
+        ends = None
+        if table in self.ranges:
+            column = self.ranges[table][0]
+            bounds = f"select min({column}) lo, max({column}) hi from {self._named(table)}"
+            ends = tuple(self._load(query=bounds).first())
+        df = self._load(**self.read_settings(table, ends))
+        return df.select(*columns) if columns else df

@@ -124,6 +124,12 @@ class LayerStore:
         the source should be read once.
         """
         newest = self.stage(latest_per_key(df, keys, order_by), table)
+        return self.merge_newest(newest, layer, table, keys)
+
+    def merge_newest(
+        self, newest: DataFrame, layer: str, table: str, keys: Sequence[str]
+    ) -> DataFrame:
+        """Merge staged rows that hold each key once."""
         if not self.exists(layer, table):
             return self.replace(newest, layer, table)
         return self.replace(merge_on_key(self.read(layer, table), newest, keys), layer, table)

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.coercion import TableCallback, TypeRule, adapt_table, adapt_types
+from starloom.operators.merge import latest_per_key
 from starloom.sources.layers import LayerStore
 
+# Tables loaded at a time; Spark shares the cluster among them.
+WRITERS = 4
+
 
 @dataclass(frozen=True)
 class TableLoad:
@@ -43,6 +48,23 @@ def adapted(
     return adapt_types(df, rule) if rule else df
 
 
+def _load(df: DataFrame, store: LayerStore, layer: str, load: TableLoad) -> int:
+    """Write one table by its disposition; returns the rows written or merged."""
+    if load.disposition == "merge":
+        newest = store.stage(latest_per_key(df, load.keys, load.order_by), load.table)
+        store.merge_newest(newest, layer, load.table, load.keys)
+        return newest.count()
+    counted = Observation()
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if load.disposition == "replace":
+        store.replace(observed, layer, load.table)
+    elif load.disposition == "append":
+        store.append(observed, layer, load.table)
+    else:
+        raise ValueError(f"unknown disposition {load.disposition!r}")
+    return counted.get["rows"]
+
+
 def run_loads(
     source,
     store: LayerStore,
@@ -51,25 +73,19 @@ def run_loads(
     callback: TableCallback | None = None,
     rule: TypeRule | None = None,
 ) -> list[LoadResult]:
-    """Load each table; rows are counted while they are written, not in a second pass."""
-    results = []
-    for load in loads:
+    """Load each table, a few at a time; rows are counted while they are written."""
+    loads = list(loads)
+    if len({load.table for load in loads}) < len(loads):
+        raise ValueError("a table may be loaded once per run")
+
+    def run(load: TableLoad) -> LoadResult:
         started = time.monotonic()
-        counted = Observation()
-        df = adapted(source.read(load.table), load, callback, rule).observe(
-            counted, F.count(F.lit(1)).alias("rows")
-        )
-        if load.disposition == "replace":
-            store.replace(df, layer, load.table)
-        elif load.disposition == "append":
-            store.append(df, layer, load.table)
-        elif load.disposition == "merge":
-            store.merge(df, layer, load.table, load.keys, load.order_by)
-        else:
-            raise ValueError(f"unknown disposition {load.disposition!r}")
-        seconds = time.monotonic() - started
-        results.append(LoadResult(load.table, load.disposition, counted.get["rows"], seconds))
-    return results
+        df = adapted(source.read(load.table), load, callback, rule)
+        rows = _load(df, store, layer, load)
+        return LoadResult(load.table, load.disposition, rows, time.monotonic() - started)
+
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return list(pool.map(run, loads))
 
 
 def load_all(source, store: LayerStore, **settings) -> list[LoadResult]:

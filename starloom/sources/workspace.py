@@ -10,7 +10,9 @@ from pyspark.sql import SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or a temporary folder in local mode only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    )
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -239,16 +239,22 @@ def test_csv_that_does_not_parse_raises(spark, store):
 
 
 def test_jdbc_settings():
-    source = JdbcSource(None, "jdbc:x", schema="app", options={"user": "u"})
-    assert source.read_options("orders", fetch_size=100) == {
-        "url": "jdbc:x",
+    source = JdbcSource(
+        None, "jdbc:x", schema="app", fetch_size=100, ranges={"orders": ("id", 4)}
+    )
+    assert source.read_settings("other") == {"dbtable": "app.other", "fetchsize": "100"}
+    assert source.read_settings("orders", (1, 99)) == {
         "dbtable": "app.orders",
-        "user": "u",
         "fetchsize": "100",
-    }
-    assert source.partition_options("id", 1, 99, 4) == {
         "partitionColumn": "id",
         "lowerBound": "1",
         "upperBound": "99",
         "numPartitions": "4",
     }
+    empty = source.read_settings("orders", (None, None))
+    assert "partitionColumn" not in empty
+
+
+def test_a_table_is_loaded_once_per_run(spark, store):
+    with pytest.raises(ValueError, match="once"):
+        loads.load_selected(files.FolderSource(spark, SF_DIR), store, ["region", "region"])
