@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import Column, DataFrame
 
 from starloom.functions.columns import rename_select
+from starloom.sources.contracts import conform
 from starloom.sources.incremental import load_stamp
 
 # Raw table and column names of each staging model, in output order.
@@ -193,9 +194,13 @@ STAMPED = (
 
 
 def stage(raw: Mapping[str, DataFrame], model: str, loaded_at: Column | None = None) -> DataFrame:
-    """One staging view; ``loaded_at`` defaults to the time of the query."""
+    """One staging view; ``loaded_at`` defaults to the time of the query.
+
+    Raw columns that arrive in another type than the contract's, such as keys and
+    flags exported as text, are cast here.
+    """
     table, names = STAGING[model]
-    renamed = rename_select(raw[table], names)
+    renamed = rename_select(conform(raw[table], table), names)
     return load_stamp(renamed, loaded_at) if model in STAMPED else renamed
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
@@ -49,13 +49,22 @@ def build_warehouse(
     store: LayerStore,
     loaded_at: Column | None = None,
     limits: JoinLimits = JoinLimits(),
+    mart_partition_by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All published relations: tables read back, role-playing views lazy."""
+    """All published relations: tables read back, role-playing views lazy.
+
+    ``mart_partition_by`` (say, the order's fiscal year) lets reports that filter
+    on those columns skip the rest of the mart.
+    """
     tables = build_analytics(raw, store, loaded_at, limits)
-    mart = mart_sales_order_line(tables, limits)
+    mart = store.materialize(
+        mart_sales_order_line(tables, limits),
+        "mart_sales_order_line",
+        partition_by=mart_partition_by,
+    )
     return tables | {
         "dim_contact_person": roles.dim_contact_person(tables["dim_person"]),
         "dim_picked_by_person": roles.dim_picked_by_person(tables["dim_person"]),
         "dim_salesperson_person": roles.dim_salesperson_person(tables["dim_person"]),
-        "mart_sales_order_line": store.materialize(mart, "mart_sales_order_line"),
+        "mart_sales_order_line": mart,
     }

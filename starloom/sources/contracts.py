@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,15 +72,26 @@ def as_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(name).cast("string").alias(name) for name in df.columns])
 
 
+def _conformed(column: T.StructField, found: T.DataType) -> Column:
+    value = F.col(column.name)
+    if isinstance(found, T.StringType):
+        return value.try_cast(column.dataType).alias(column.name)
+    return value.cast(column.dataType).alias(column.name)
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Pick the contract's columns and cast them.
+    """Pick the contract's columns and cast those of another type.
 
     Text that does not parse (empty, ``NULL``) becomes NULL here and nowhere
-    else: a failed cast in a later layer still raises. Count what this loses with
-    :func:`contract_report`.
+    else; count what this loses with :func:`contract_report`. A number that does
+    not fit raises, as does any failed cast in a later layer.
     """
+    found = {c.name: c.dataType for c in df.schema.fields}
     return df.select(
-        *[F.col(c.name).try_cast(c.dataType).alias(c.name) for c in contract(table).fields]
+        *[
+            F.col(c.name) if found[c.name] == c.dataType else _conformed(c, found[c.name])
+            for c in contract(table).fields
+        ]
     )
 
 

@@ -100,7 +100,7 @@ class LayerStore:
 
     def _written(self, df: DataFrame, path: str) -> DataFrame:
         """Read back with the schema just written, without asking the files for it."""
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Add rows to the current version, or start the table."""
@@ -140,9 +140,11 @@ class LayerStore:
         df.write.mode("overwrite").parquet(path)
         return self._written(df, path)
 
-    def materialize(self, df: DataFrame, model: str, overrides=None) -> DataFrame:
+    def materialize(
+        self, df: DataFrame, model: str, overrides=None, partition_by: Sequence[str] = ()
+    ) -> DataFrame:
         """Persist a model routed to a table; hand back a view's lazy plan as it is."""
         chosen = route(model, overrides)
         if chosen.materialized == "view":
             return df
-        return self.replace(df, chosen.layer, model)
+        return self.replace(df, chosen.layer, model, partition_by)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,7 +9,7 @@ from checks.raw_layer import RawLayer
 from checks.registry import Context
 from starloom.functions import coercion, columns
 from starloom.plans import integration, mart, roles
-from starloom.plans.staging import STAGING
+from starloom.plans.staging import STAGING, stage
 from starloom.sources import contracts
 from tests.conftest import SF_DIR, rows
 
@@ -120,6 +121,35 @@ def test_conform_reads_text_keys_and_number_flags(spark):
     assert row["IsOnCreditHold"] is True and "Extra" not in row
 
 
+def test_a_number_that_does_not_fit_raises(spark):
+    df = spark.sql("select 99999999999 as ColorID, 'red' as ColorName")
+    with pytest.raises(PySparkException, match="CAST_OVERFLOW"):
+        contracts.conform(df, "warehouse__Colors").collect()
+
+
+@pytest.mark.parametrize("model", ["stg_sales_customer", "stg_sales_order_line"])
+def test_staging_reads_an_untyped_export(spark, model):
+    raw = RawLayer(spark, SF_DIR)
+    table = STAGING[model][0]
+    at = Context.loaded_at()
+    typed = stage(raw, model, at)
+    untyped = stage({table: contracts.as_text(raw[table])}, model, at)
+    assert untyped.dtypes == typed.dtypes
+    assert untyped.exceptAll(typed).count() == 0 and typed.exceptAll(untyped).count() == 0
+
+
+def test_partitioned_mart_keeps_its_columns_and_is_pruned(spark, store):
+    mart_table = Context(spark, SF_DIR).tables["mart_sales_order_line"]
+    by = ["order_date_fiscal_year"]
+    parts = store.materialize(mart_table, "mart_sales_order_line", partition_by=by)
+    assert parts.columns == mart_table.columns
+    year = parts.filter("order_date_fiscal_year = 2001")
+    assert year.count() == mart_table.filter("order_date_fiscal_year = 2001").count() > 0
+    assert "PartitionFilters: [isnotnull(order_date_fiscal_year" in (
+        year._jdf.queryExecution().executedPlan().toString()
+    )
+
+
 def test_contract_report_counts_what_would_be_lost(spark):
     df = spark.sql("select * from values ('1', 'red'), ('x', null), (null, 'blue') as t(ColorID, Name)")
     report = contracts.contract_report(df, "warehouse__Colors")
