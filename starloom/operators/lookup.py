@@ -82,34 +82,38 @@ def near_dims(lookups: Sequence[Lookup], limits: JoinLimits = JoinLimits()) -> s
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], limits: JoinLimits = JoinLimits()
-) -> dict[str, list[tuple[object, int]]]:
+    df: DataFrame, key: str, limits: JoinLimits = JoinLimits()
+) -> list[tuple[object, int]]:
     """Keys that hold more than an average partition, with the salts they need.
 
     Each salt gets a quarter of an average partition, so that two of them in one
     partition do no harm; all hot keys together need at most four salts per
     partition, which bounds the dimension rows that are repeated.
 
-    One pass with a mergeable frequent-items sketch, so no key is shuffled. Only
-    ``1 / share`` keys can hold more than the share, and at most ``HOT_KEYS_MAX``
-    per column come back to the driver. NULL counts as a key.
+    Frequent items are found by a sketch per group of input partitions, so that
+    neither all keys are shuffled nor one task merges the sketches of a very large
+    scan, and their counts are added up. Only ``1 / share`` keys can hold more
+    than the share, and at most ``HOT_KEYS_MAX`` come back to the driver. NULL
+    counts as a key.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = limits.hot_share or 1 / partitions
     most = min(math.ceil(1 / share), HOT_KEYS_MAX)
-    sketches = [
-        F.expr(f"approx_top_k(`{key}`, {most}, {max(8 * most, 1024)})").alias(key) for key in keys
-    ]
-    found = df.agg(F.count(F.lit(1)).alias("__rows"), *sketches).first()
-    hot_rows = max(found["__rows"] * share, 1)
-    return {
-        key: [
-            (item["item"], math.ceil(SLICES * item["count"] / hot_rows))
-            for item in found[key] or []
-            if item["count"] > hot_rows
-        ]
-        for key in keys
-    }
+    group = F.pmod(F.spark_partition_id(), F.lit(partitions))
+    frequent = F.expr(f"approx_top_k(`{key}`, {most}, {max(8 * most, 1024)})")
+    hot_rows = max(df.select(key).count() * share, 1)
+    counted = (
+        df.select(F.col(key), group.alias("__group"))
+        .groupBy("__group")
+        .agg(frequent.alias("__top"))
+        .select(F.inline("__top"))
+        .groupBy("item")
+        .agg(F.sum("count").alias("rows"))
+        .filter(F.col("rows") > hot_rows)
+        .orderBy(F.col("rows").desc())
+        .limit(HOT_KEYS_MAX)
+    )
+    return [(row["item"], math.ceil(SLICES * row["rows"] / hot_rows)) for row in counted.collect()]
 
 
 def salted_left_join(
@@ -180,8 +184,9 @@ def left_lookups(
     small = near_dims(lookups, limits)
     near = [lookup for lookup in lookups if id(lookup.dim) in small]
     far = [lookup for lookup in lookups if id(lookup.dim) not in small]
-    keys = list(dict.fromkeys(lookup.key for lookup in far))
-    hot = hot_keys(df, keys, limits) if keys and spread_by else {}
+    keys = list(dict.fromkeys(lookup.key for lookup in far)) if spread_by else []
+    with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
+        hot = dict(zip(keys, pool.map(lambda key: hot_keys(df, key, limits), keys), strict=True))
 
     result = df
     for lookup in far:

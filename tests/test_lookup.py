@@ -56,7 +56,7 @@ def test_rows_of_a_hot_key_are_spread(spark, size):
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 2, F.col("id")).alias("k")
     )
     dim = spark.range(10_000).select(F.col("id").alias("dk"), F.col("id").cast("string").alias("v"))
-    hot = hot_keys(fact, ["k"], SHUFFLE_ONLY)["k"]
+    hot = hot_keys(fact, "k", SHUFFLE_ONLY)
     assert {key for key, _ in hot} == {7, None}
     assert all(salts > 1 for _, salts in hot)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -75,9 +75,19 @@ def test_rows_of_a_hot_key_are_spread(spark, size):
     assert places[None][0] > 4 and places[None][1] == 3333
 
 
+def test_hot_keys_of_many_partitions_and_of_none(spark):
+    spread = spark.range(0, 90_000, 1, 40).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as k"
+    )
+    found = dict(hot_keys(spread, "k", JoinLimits(hot_share=0.1)))
+    assert set(found) == {7, None}
+    assert all(13 <= salts <= 14 for salts in found.values())
+    assert hot_keys(spread.limit(0), "k") == []
+
+
 def test_at_most_a_bounded_number_of_keys_reaches_the_driver(spark):
     many = spark.range(20_000).select((F.col("id") % 2000).alias("k"))
-    assert len(hot_keys(many, ["k"], JoinLimits(hot_share=1e-9))["k"]) <= HOT_KEYS_MAX
+    assert len(hot_keys(many, "k", JoinLimits(hot_share=1e-9))) <= HOT_KEYS_MAX
 
 
 def test_size_is_measured_before_broadcasting(spark):
