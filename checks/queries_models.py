@@ -88,7 +88,8 @@ def dim_date(ctx: Context) -> DataFrame:
     )
     days = ctx.tables["dim_date"]
     counted = days.join(lines, days.date_key == lines.order_date_key, "left")
-    return counted.select(*days.columns, F.coalesce("order_line_count", F.lit(0)).alias("order_line_count"))
+    number = F.coalesce("order_line_count", F.lit(0)).alias("order_line_count")
+    return counted.select(*days.columns, number)
 
 
 # Joins
@@ -329,7 +330,8 @@ def interleaved_columns(ctx: Context) -> DataFrame:
     fact = ctx.tables["fact_sales_order_line"]
     keys = [f"{role}_key" for role in mart.FULL_DATE_ROLES]
     lookups = [lk for lk in mart.date_lookups(dates) if lk.key in keys]
-    joined = left_lookups(fact.select("sales_order_line_key", *keys), lookups, ["sales_order_line_key"])
+    fact = fact.select("sales_order_line_key", *keys)
+    joined = left_lookups(fact, lookups, ["sales_order_line_key"])
     names = columns.filtered_columns(dates, mart.DATE_EXCLUDED)
     prefixes = [f"{role}_" for role in mart.FULL_DATE_ROLES]
     return joined.select("sales_order_line_key", *columns.interleaved(names, prefixes))

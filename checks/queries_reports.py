@@ -118,7 +118,10 @@ def dq_reconcile(ctx: Context) -> DataFrame:
     return quality.reconcile(source, fact, ["stock_item_key"], MEASURES)
 
 
-@query(f"select *, cast(1 as bigint) as surplus from ({LANDING_SQL}) o where updated >= '{BASE_UNTIL}'")
+@query(
+    f"select *, cast(1 as bigint) as surplus from ({LANDING_SQL}) o"
+    f" where updated >= '{BASE_UNTIL}'"
+)
 def dq_reconcile_rows(ctx: Context) -> DataFrame:
     """Orders the source has and a warehouse loaded from the first export lacks."""
     landed = ctx.store.replace(landing_base(ctx), "raw", "landing_orders")

@@ -91,7 +91,8 @@ def _contract_sql() -> str:
 @query(_contract_sql())
 def schema_contract(ctx: Context) -> DataFrame:
     """The raw tables as untyped text against their contracts."""
-    return contracts.contract_reports({table: contracts.as_text(df) for table, df in ctx.raw.items()})
+    untyped = {table: contracts.as_text(df) for table, df in ctx.raw.items()}
+    return contracts.contract_reports(untyped)
 
 
 @query("select * from sales__Customers")

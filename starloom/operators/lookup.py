@@ -1,7 +1,9 @@
 """Left-join lookups that hold up when a dimension or one key grows large.
 
 A dimension is broadcast only after its row count and its bytes have been
-measured and found small. Every other one is joined by a shuffle on its key, and
+measured and found small. If it is large but few of its keys are in use (ten
+salespeople out of a billion persons), the rows in use are set aside first and
+measured in its place. Every other one is joined by a shuffle on its key, and
 there the rows of hot keys and of NULL keys are spread: a hot key's rows get a
 salt from a hash of the row, and the few dimension rows of those keys are
 repeated once per salt. Salting changes where rows go, never which rows come out.
@@ -12,15 +14,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources.workspace import new_workspace
+
 HOT_KEYS_MAX = 2000
 SLICES = 4
 MEASURED_AT_A_TIME = 4
+REDUCED_FILES = 8
 _SALT = "__salt"
 
 
@@ -81,6 +86,40 @@ def near_dims(lookups: Sequence[Lookup], limits: JoinLimits = JoinLimits()) -> s
         return near | {number for number, small in zip(dims, fits, strict=True) if small}
 
 
+def few_used(df: DataFrame, lookups: Sequence[Lookup], limits: JoinLimits) -> list[Lookup]:
+    """The lookups of which ``df`` uses few keys, each reduced to the rows in use.
+
+    Distinct keys are estimated first, for all lookups in one pass. Where they are
+    few, keys and rows are written to the shared folder, so that they are found
+    once, measured as they are, and survive a lost executor.
+    """
+    if not lookups or limits.broadcast_rows <= 0:
+        return []
+    keys = list(dict.fromkeys(lookup.key for lookup in lookups))
+    counts = df.agg(*[F.approx_count_distinct(key).alias(key) for key in keys]).first()
+    reduced = []
+    for lookup in lookups:
+        if counts[lookup.key] > limits.broadcast_rows:
+            continue
+        folder = new_workspace(df.sparkSession)
+        used = df.select(F.col(lookup.key).alias("__used")).distinct()
+        used = _written(used, f"{folder}/keys")
+        if not fits_broadcast(used, limits):
+            continue
+        in_use = F.col(lookup.dim_key) == F.col("__used")
+        rows = lookup.dim.select(*lookup.columns()).join(F.broadcast(used), in_use, "left_semi")
+        rows = _written(rows, f"{folder}/rows")
+        if fits_broadcast(rows, limits):
+            reduced.append(replace(lookup, dim=rows))
+    return reduced
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """Few rows out of a large scan, gathered into few files."""
+    df.repartition(REDUCED_FILES).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hot_keys(
     df: DataFrame, key: str, limits: JoinLimits = JoinLimits()
 ) -> list[tuple[object, int]]:
@@ -138,13 +177,13 @@ def salted_left_join(
         return df.join(dim, F.col(lookup.key) == F.col("__dim_key"), "left").select(*kept, *taken)
 
     # At most HOT_KEYS_MAX rows, so this small table may always be broadcast.
-    key_type = df.schema[lookup.key].dataType
-    hot_table = F.broadcast(
-        spark.createDataFrame(
-            [(item, salts) for item, salts in hot],
-            T.StructType([T.StructField("__hot_key", key_type), T.StructField("__salts", T.LongType())]),
-        )
+    hot_schema = T.StructType(
+        [
+            T.StructField("__hot_key", df.schema[lookup.key].dataType),
+            T.StructField("__salts", T.LongType()),
+        ]
     )
+    hot_table = F.broadcast(spark.createDataFrame(list(hot), hot_schema))
     salted = (
         df.join(hot_table, F.col(lookup.key).eqNullSafe(F.col("__hot_key")), "left")
         .withColumn(
@@ -184,6 +223,11 @@ def left_lookups(
     small = near_dims(lookups, limits)
     near = [lookup for lookup in lookups if id(lookup.dim) in small]
     far = [lookup for lookup in lookups if id(lookup.dim) not in small]
+    if spread_by:
+        reduced = few_used(df, [lookup for lookup in far if lookup.size == "measured"], limits)
+        done = {tuple(lookup.take.values()) for lookup in reduced}
+        near += reduced
+        far = [lookup for lookup in far if tuple(lookup.take.values()) not in done]
     keys = list(dict.fromkeys(lookup.key for lookup in far)) if spread_by else []
     with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
         hot = dict(zip(keys, pool.map(lambda key: hot_keys(df, key, limits), keys), strict=True))

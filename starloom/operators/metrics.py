@@ -200,9 +200,8 @@ def customers_orders_left(
     """
     shown = ["customer_key", "customer_name"]
     customers = dim_customer.filter(~F.col("is_on_credit_hold")).select(*shown)
-    found = Lookup(
-        customers, "customer_key", "customer_key", {"customer_key": "found", "customer_name": "customer_name"}
-    )
+    taken = {"customer_key": "found", "customer_name": "customer_name"}
+    found = Lookup(customers, "customer_key", "customer_key", taken)
     lines = fact.select("customer_key", "sales_order_line_key", "order_date_key")
     with_lines = left_lookups(lines, [found], ["sales_order_line_key"], limits).filter(
         "found is not null"

@@ -154,7 +154,8 @@ def city_flatten(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame:
 def contact_lookups(stg: Staging) -> list[Lookup]:
     """The person lookup under its two roles, primary and alternate contact."""
     people = stg["stg_application_person"]
-    attributes = ("is_system_user", "is_employee", "is_salesperson", "phone_number", "email_address")
+    flags = ("is_system_user", "is_employee", "is_salesperson")
+    attributes = (*flags, "phone_number", "email_address")
     primary = {"person_full_name": "primary_contact_full_name"}
     primary |= {name: f"primary_contact_{name}" for name in attributes}
     return [
@@ -253,7 +254,12 @@ def dim_stock_item(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame
         stg["stg_warehouse_stock_item"],
         [
             *package_lookups(stg),
-            Lookup(stg["stg_warehouse_color"], "color_key", "color_key", {"color_name": "color_name"}),
+            Lookup(
+                stg["stg_warehouse_color"],
+                "color_key",
+                "color_key",
+                {"color_name": "color_name"},
+            ),
             Lookup(
                 stg["stg_purchasing_supplier"],
                 "supplier_key",

@@ -75,15 +75,12 @@ def person_lookups(dim_person: DataFrame) -> list[Lookup]:
 def date_lookups(dim_date: DataFrame) -> list[Lookup]:
     """The calendar under its four roles; its size is fixed by its two end days."""
     attributes = filtered_columns(dim_date, DATE_EXCLUDED)
-    full = [
-        Lookup(dim_date, f"{role}_key", "date_key", prefixed(attributes, f"{role}_"), size="bounded")
-        for role in FULL_DATE_ROLES
-    ]
-    short = [
-        Lookup(dim_date, f"{role}_key", "date_key", {"full_date": f"{role}_full_date"}, size="bounded")
-        for role in SHORT_DATE_ROLES
+    taken = {role: prefixed(attributes, f"{role}_") for role in FULL_DATE_ROLES}
+    taken |= {role: {"full_date": f"{role}_full_date"} for role in SHORT_DATE_ROLES}
+    return [
+        Lookup(dim_date, f"{role}_key", "date_key", take, size="bounded")
+        for role, take in taken.items()
     ]
-    return full + short
 
 
 def mart_columns(tables: Mapping[str, DataFrame]) -> list[str]:

@@ -50,11 +50,18 @@ class FolderSource:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def tables(self) -> list[str]:
+    def _children(self) -> dict[str, str]:
         names = hadoop.child_names(self.spark, self.root)
-        return [name.removesuffix(".parquet") for name in names if name.endswith(".parquet")]
+        shown = [name for name in names if not name.startswith(("_", "."))]
+        return {name.removesuffix(".parquet"): name for name in shown}
+
+    def tables(self) -> list[str]:
+        return sorted(self._children())
 
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """One table; unread columns are pruned from the scan."""
-        df = self.spark.read.parquet(f"{self.root}/{table}.parquet")
+        children = self._children()
+        if table not in children:
+            raise FileNotFoundError(f"no table {table} in {self.root}")
+        df = self.spark.read.parquet(f"{self.root}/{children[table]}")
         return df.select(*columns) if columns else df

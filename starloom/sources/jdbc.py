@@ -45,7 +45,9 @@ class JdbcSource:
             query += f" and table_schema = '{self.schema}'"
         return sorted(row[0] for row in self._load(query=query).collect())
 
-    def read_settings(self, table: str, ends: tuple[object, object] | None = None) -> dict[str, str]:
+    def read_settings(
+        self, table: str, ends: tuple[object, object] | None = None
+    ) -> dict[str, str]:
         """Reader settings of one table; ``ends`` are the range column's two ends.
 
         Rows outside the ends, and rows without a value, are read by the first and

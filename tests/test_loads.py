@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starloom.operators import merge
 from starloom.sources import files, hadoop, incremental, loads, workspace
 from starloom.sources.jdbc import JdbcSource
-from starloom.sources.layers import LayerStore, route
+from starloom.sources.layers import LayerStore, Route, route
 from tests.conftest import SF_DIR, rows
 
 PLACE = ("raw", "t", "at", ["id"])
@@ -24,8 +24,8 @@ def batch(spark, *values):
 
 def test_a_model_setting_beats_its_folder():
     assert route("stg_sales_order") == route("stg_dim_customer_wwi")
-    assert (route("stg_sales_order").layer, route("stg_sales_order").materialized) == ("stg", "view")
-    assert (route("dim_customer").layer, route("dim_customer").materialized) == ("dwh", "table")
+    assert route("stg_sales_order") == Route("stg", "view")
+    assert route("dim_customer") == Route("dwh", "table")
     assert route("dim_contact_person").materialized == "view"
     assert route("mart_sales_order_line").layer == "mart"
     own = {"dim_contact_person": {"materialized": "table", "schema": "mart"}}

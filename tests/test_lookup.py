@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -75,6 +77,38 @@ def test_rows_of_a_hot_key_are_spread(spark, size):
     assert places[None][0] > 4 and places[None][1] == 3333
 
 
+def test_a_large_dimension_with_few_keys_in_use_is_reduced(spark):
+    """Both roles are looked up right; the one with few keys in use is not shuffled."""
+    fact = spark.range(5000).select(
+        "id", (F.col("id") % 5).alias("few"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("many")
+    )
+    dim = spark.range(10_000).select(F.col("id").alias("dk"), F.concat(F.lit("n"), "id").alias("v"))
+    dim = dim.unionByName(dim.filter("dk = 3"))
+    lookups = [
+        Lookup(dim, "few", "dk", {"v": "few_name"}),
+        Lookup(dim, "many", "dk", {"v": "many_name"}),
+    ]
+    found = left_lookups(fact, lookups, ["id"], JoinLimits(broadcast_rows=100))
+    assert found.columns == ["id", "few", "many", "few_name", "many_name"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, \(few#\d+L = __near_key_0", plan)
+    assert re.search(r"Join LeftOuter, .*many#\d+L = __dim_key", plan)
+    names = dim.groupBy("dk", "v").count()
+    names = [(r["dk"], r["v"], r["count"]) for r in names.collect()]
+    by_key = {dk: [v] * n for dk, v, n in names}
+    expected = sorted(
+        (
+            (i, i % 5, many, few_name, many_name)
+            for i in range(5000)
+            for many in [i if i % 7 > 0 else None]
+            for few_name in by_key[i % 5]
+            for many_name in by_key.get(many, [None])
+        ),
+        key=repr,
+    )
+    assert rows(found) == expected
+
+
 def test_hot_keys_of_many_partitions_and_of_none(spark):
     spread = spark.range(0, 90_000, 1, 40).selectExpr(
         "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as k"
@@ -122,6 +156,15 @@ def test_warehouse_is_the_same_without_any_measured_broadcast(spark, store):
     assert wide.count() == small["fact_sales_order_line"].count()
 
 
+def test_mart_is_the_same_when_only_the_rows_in_use_are_small(spark):
+    """Persons are too many to broadcast, the salespeople and pickers among them are not."""
+    tables = Context(spark, SF_DIR).tables
+    limits = JoinLimits(broadcast_rows=50, hot_share=0.05)
+    mixed = mart_sales_order_line(tables, limits)
+    mart = tables["mart_sales_order_line"]
+    assert mixed.exceptAll(mart).count() == 0 and mart.exceptAll(mixed).count() == 0
+
+
 def test_reports_are_the_same_without_any_measured_broadcast(spark):
     tables = Context(spark, SF_DIR).tables
     fact, customers = tables["fact_sales_order_line"], tables["dim_customer"]
