@@ -53,7 +53,7 @@ def stg_fact_sales_order_line_wwi(ctx: Context) -> DataFrame:
 def _published(model: str):
     @query(f"select * from {model}", name=model)
     def published_model(ctx: Context) -> DataFrame:
-        return ctx.tables[model]
+        return ctx.published[model] if model.startswith("mart_") else ctx.tables[model]
 
 
 for _model in (

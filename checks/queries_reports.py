@@ -171,7 +171,7 @@ def dq_naming(ctx: Context) -> DataFrame:
         {
             "raw_orders": ctx.raw["sales__Orders"],
             "stg_sales_order": ctx.stg["stg_sales_order"],
-            "mart_sales_order_line": ctx.tables["mart_sales_order_line"],
+            "mart_sales_order_line": ctx.mart,
         }
     )
 
@@ -189,7 +189,7 @@ REVENUE_SQL = "cast(quantity as decimal(10,0)) * unit_price"
     from mart_sales_order_line"""
 )
 def revenue_by_line(ctx: Context) -> DataFrame:
-    return metrics.revenue_by_line(ctx.tables["mart_sales_order_line"])
+    return metrics.revenue_by_line(ctx.mart)
 
 
 @query(
@@ -200,7 +200,7 @@ def revenue_by_line(ctx: Context) -> DataFrame:
     from mart_sales_order_line group by stock_item_name"""
 )
 def quantity_sold_picked(ctx: Context) -> DataFrame:
-    return metrics.quantity_sold_picked(ctx.tables["mart_sales_order_line"])
+    return metrics.quantity_sold_picked(ctx.mart)
 
 
 @query(
@@ -280,7 +280,7 @@ def revenue_by_geography(ctx: Context) -> DataFrame:
     from mart_sales_order_line group by 1, 2, 3, 4"""
 )
 def sales_by_period(ctx: Context) -> DataFrame:
-    return metrics.sales_by_period(ctx.tables["mart_sales_order_line"])
+    return metrics.sales_by_period(ctx.mart)
 
 
 @query(

@@ -260,7 +260,7 @@ def layer_routing(ctx: Context) -> DataFrame:
     """Where each published relation lies and how many rows it has there."""
     names = LayerStore(ctx.spark, ctx.store.root)
     result = None
-    for model, df in ctx.tables.items():
+    for model, df in ctx.published.items():
         chosen = route(model)
         row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(model).alias("model"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks.models_sql import LOADED_AT, compose
 from checks.raw_layer import RawLayer, read_given
 from starloom.plans.staging import StagingViews
-from starloom.plans.warehouse import build_warehouse
+from starloom.plans.warehouse import build_analytics, build_mart, role_views
 from starloom.sources.layers import LayerStore
 from starloom.sources.workspace import new_workspace
 
@@ -20,7 +20,7 @@ SQL: dict[str, str] = {}
 
 # The published warehouse of each application and input folder: built once, then
 # read from its written tables, as reports do.
-_published: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_published: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 class Context:
@@ -50,14 +50,35 @@ class Context:
         """An empty store of its own."""
         return LayerStore(self.spark, new_workspace(self.spark))
 
-    @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        """The published warehouse."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+    def _once(self, part: str, build: Callable[[], dict[str, DataFrame]]):
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, part)
         if key not in _published:
-            _published[key] = build_warehouse(self.raw, self.store, self.loaded_at())
+            _published[key] = build()
         return _published[key]
 
+    @cached_property
+    def tables(self) -> dict[str, DataFrame]:
+        """The published dimensions and fact, and the role-playing views."""
+
+        def build() -> dict[str, DataFrame]:
+            written = build_analytics(self.raw, self.store, self.loaded_at())
+            return written | role_views(written)
+
+        return self._once("analytics", build)
+
+    @cached_property
+    def published(self) -> dict[str, DataFrame]:
+        """All of the above and the mart."""
+
+        def build() -> dict[str, DataFrame]:
+            return {"mart_sales_order_line": build_mart(self.tables, self.store)}
+
+        return self.tables | self._once("mart", build)
+
+    @property
+    def mart(self) -> DataFrame:
+        return self.published["mart_sales_order_line"]
+
 
 def query(sql: str | None = None, name: str | None = None):
     """Register a function of a :class:`Context`; ``sql`` is the equal SQL."""

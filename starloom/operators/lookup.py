@@ -86,18 +86,22 @@ def near_dims(lookups: Sequence[Lookup], limits: JoinLimits = JoinLimits()) -> s
         return near | {number for number, small in zip(dims, fits, strict=True) if small}
 
 
-def few_used(df: DataFrame, lookups: Sequence[Lookup], limits: JoinLimits) -> list[Lookup]:
+def few_used(
+    df: DataFrame, lookups: Sequence[Lookup], limits: JoinLimits
+) -> dict[int, Lookup]:
     """The lookups of which ``df`` uses few keys, each reduced to the rows in use.
 
+    The result is by ``id`` of the lookup that a reduced one stands for.
+
     Distinct keys are estimated first, for all lookups in one pass. Where they are
     few, keys and rows are written to the shared folder, so that they are found
     once, measured as they are, and survive a lost executor.
     """
     if not lookups or limits.broadcast_rows <= 0:
-        return []
+        return {}
     keys = list(dict.fromkeys(lookup.key for lookup in lookups))
     counts = df.agg(*[F.approx_count_distinct(key).alias(key) for key in keys]).first()
-    reduced = []
+    reduced = {}
     for lookup in lookups:
         if counts[lookup.key] > limits.broadcast_rows:
             continue
@@ -110,7 +114,7 @@ def few_used(df: DataFrame, lookups: Sequence[Lookup], limits: JoinLimits) -> li
         rows = lookup.dim.select(*lookup.columns()).join(F.broadcast(used), in_use, "left_semi")
         rows = _written(rows, f"{folder}/rows")
         if fits_broadcast(rows, limits):
-            reduced.append(replace(lookup, dim=rows))
+            reduced[id(lookup)] = replace(lookup, dim=rows)
     return reduced
 
 
@@ -225,9 +229,8 @@ def left_lookups(
     far = [lookup for lookup in lookups if id(lookup.dim) not in small]
     if spread_by:
         reduced = few_used(df, [lookup for lookup in far if lookup.size == "measured"], limits)
-        done = {tuple(lookup.take.values()) for lookup in reduced}
-        near += reduced
-        far = [lookup for lookup in far if tuple(lookup.take.values()) not in done]
+        near += reduced.values()
+        far = [lookup for lookup in far if id(lookup) not in reduced]
     keys = list(dict.fromkeys(lookup.key for lookup in far)) if spread_by else []
     with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
         hot = dict(zip(keys, pool.map(lambda key: hot_keys(df, key, limits), keys), strict=True))

@@ -183,6 +183,17 @@ def city_lookup(cities: DataFrame, role: str) -> Lookup:
     return Lookup(cities, f"{role}_city_key", "city_key", attributes)
 
 
+def postal_city_lookup(cities: DataFrame) -> list[Lookup]:
+    """No column comes from the postal city, but a repeated city key repeats customers.
+
+    So the join is left out where city keys are unique, as they should be.
+    """
+    repeated = cities.groupBy("city_key").count().filter("count > 1")
+    if repeated.isEmpty():
+        return []
+    return [Lookup(cities, "postal_city_key", "city_key")]
+
+
 def address(role: str):
     """Both address lines; NULL when either is, as SQL concatenation has it."""
     return F.concat(
@@ -191,11 +202,8 @@ def address(role: str):
 
 
 def dim_customer(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame:
-    """Customers with category, group, contacts, delivery method and delivery city.
-
-    No column comes from the postal city, so that city is not joined: with unique
-    city keys, which the ``unique`` check covers, the join could change nothing.
-    """
+    """Customers with category, group, contacts, delivery method and delivery city."""
+    cities = city_flatten(stg, limits)
     looked_up = left_lookups(
         stg["stg_sales_customer"],
         [
@@ -218,7 +226,8 @@ def dim_customer(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame:
                 "delivery_method_key",
                 {"delivery_method_name": "delivery_method_name"},
             ),
-            city_lookup(city_flatten(stg, limits), "delivery"),
+            city_lookup(cities, "delivery"),
+            *postal_city_lookup(stg["stg_application_city"]),
         ],
         ["customer_key"],
         limits,

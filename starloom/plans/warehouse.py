@@ -44,6 +44,29 @@ def build_analytics(
         return dict(zip(models, written, strict=True))
 
 
+def role_views(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "dim_contact_person": roles.dim_contact_person(tables["dim_person"]),
+        "dim_picked_by_person": roles.dim_picked_by_person(tables["dim_person"]),
+        "dim_salesperson_person": roles.dim_salesperson_person(tables["dim_person"]),
+    }
+
+
+def build_mart(
+    tables: Mapping[str, DataFrame],
+    store: LayerStore,
+    limits: JoinLimits = JoinLimits(),
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """Write the mart from the written tables.
+
+    ``partition_by`` (say, the order's fiscal year) lets reports that filter on
+    those columns skip the rest of the mart.
+    """
+    mart = mart_sales_order_line(tables, limits)
+    return store.materialize(mart, "mart_sales_order_line", partition_by=partition_by)
+
+
 def build_warehouse(
     raw: Mapping[str, DataFrame],
     store: LayerStore,
@@ -51,20 +74,7 @@ def build_warehouse(
     limits: JoinLimits = JoinLimits(),
     mart_partition_by: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """All published relations: tables read back, role-playing views lazy.
-
-    ``mart_partition_by`` (say, the order's fiscal year) lets reports that filter
-    on those columns skip the rest of the mart.
-    """
+    """All published relations: tables read back, role-playing views lazy."""
     tables = build_analytics(raw, store, loaded_at, limits)
-    mart = store.materialize(
-        mart_sales_order_line(tables, limits),
-        "mart_sales_order_line",
-        partition_by=mart_partition_by,
-    )
-    return tables | {
-        "dim_contact_person": roles.dim_contact_person(tables["dim_person"]),
-        "dim_picked_by_person": roles.dim_picked_by_person(tables["dim_person"]),
-        "dim_salesperson_person": roles.dim_salesperson_person(tables["dim_person"]),
-        "mart_sales_order_line": mart,
-    }
+    mart = build_mart(tables, store, limits, mart_partition_by)
+    return tables | role_views(tables) | {"mart_sales_order_line": mart}

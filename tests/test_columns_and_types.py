@@ -9,7 +9,7 @@ from checks.raw_layer import RawLayer
 from checks.registry import Context
 from starloom.functions import coercion, columns
 from starloom.plans import integration, mart, roles
-from starloom.plans.staging import STAGING, stage
+from starloom.plans.staging import STAGING, StagingViews, stage
 from starloom.sources import contracts
 from tests.conftest import SF_DIR, rows
 
@@ -35,7 +35,7 @@ def test_replaced_columns_move_to_the_end(spark):
 
 
 def test_widths_of_the_published_relations(spark):
-    tables = Context(spark, SF_DIR).tables
+    tables = Context(spark, SF_DIR).published
     widths = {name: len(df.columns) for name, df in tables.items()}
     assert widths == {
         "dim_customer": 34,
@@ -52,7 +52,7 @@ def test_widths_of_the_published_relations(spark):
 
 
 def test_mart_column_order(spark):
-    tables = Context(spark, SF_DIR).tables
+    tables = Context(spark, SF_DIR).published
     names = tables["mart_sales_order_line"].columns
     assert names == mart.mart_columns(tables)
     assert names[:10] == [
@@ -74,8 +74,22 @@ def test_mart_column_order(spark):
     ]
 
 
+def test_repeated_city_keys_repeat_customers(spark):
+    """The postal city adds no column, but joining it to repeated keys adds rows."""
+    raw = dict(RawLayer(spark, SF_DIR))
+    cities = raw["application__Cities"]
+    raw["application__Cities"] = cities.unionByName(cities.filter("CityID = 10"))
+    repeated = integration.dim_customer(StagingViews(raw, Context.loaded_at()))
+    twice = F.when(F.col("DeliveryCityID") == 10, 2).otherwise(1)
+    again = F.when(F.col("PostalCityID") == 10, 2).otherwise(1)
+    customers = raw["sales__Customers"]
+    assert customers.filter("PostalCityID = 10").count() > 0
+    assert repeated.count() == customers.agg(F.sum(twice * again)).first()[0]
+    assert tuple(repeated.columns) == integration.CUSTOMER_COLUMNS
+
+
 def test_fact_dates_come_last(spark):
-    names = Context(spark, SF_DIR).tables["fact_sales_order_line"].columns
+    names = Context(spark, SF_DIR).published["fact_sales_order_line"].columns
     assert tuple(names[-4:]) == integration.FACT_DATE_KEYS
 
 
@@ -139,7 +153,7 @@ def test_staging_reads_an_untyped_export(spark, model):
 
 
 def test_partitioned_mart_keeps_its_columns_and_is_pruned(spark, store):
-    mart_table = Context(spark, SF_DIR).tables["mart_sales_order_line"]
+    mart_table = Context(spark, SF_DIR).mart
     by = ["order_date_fiscal_year"]
     parts = store.materialize(mart_table, "mart_sales_order_line", partition_by=by)
     assert parts.columns == mart_table.columns

@@ -146,7 +146,7 @@ def test_small_dimension_is_broadcast_and_large_is_not(spark):
 
 def test_warehouse_is_the_same_without_any_measured_broadcast(spark, store):
     """The plan for large dimensions gives the rows of the plan for small ones."""
-    small = Context(spark, SF_DIR).tables
+    small = Context(spark, SF_DIR).published
     large = build_warehouse(RawLayer(spark, SF_DIR), store, Context.loaded_at(), SHUFFLE_ONLY)
     for name in ("dim_customer", "dim_stock_item", "mart_sales_order_line"):
         assert large[name].columns == small[name].columns
@@ -158,7 +158,7 @@ def test_warehouse_is_the_same_without_any_measured_broadcast(spark, store):
 
 def test_mart_is_the_same_when_only_the_rows_in_use_are_small(spark):
     """Persons are too many to broadcast, the salespeople and pickers among them are not."""
-    tables = Context(spark, SF_DIR).tables
+    tables = Context(spark, SF_DIR).published
     limits = JoinLimits(broadcast_rows=50, hot_share=0.05)
     mixed = mart_sales_order_line(tables, limits)
     mart = tables["mart_sales_order_line"]
@@ -166,7 +166,7 @@ def test_mart_is_the_same_when_only_the_rows_in_use_are_small(spark):
 
 
 def test_reports_are_the_same_without_any_measured_broadcast(spark):
-    tables = Context(spark, SF_DIR).tables
+    tables = Context(spark, SF_DIR).published
     fact, customers = tables["fact_sales_order_line"], tables["dim_customer"]
     near = customers_orders_left(customers, fact)
     far = customers_orders_left(customers, fact, SHUFFLE_ONLY)
