@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _resolve(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path``, sorted; empty when there is no such folder."""
     fs, hadoop_path = _resolve(spark, path)

@@ -102,6 +102,26 @@ class LayerStore:
         """Read back with the schema just written, without asking the files for it."""
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
+    def prune(self, layer: str, table: str, keep: int = 2) -> list[str]:
+        """Delete versions older than the newest ``keep`` complete ones.
+
+        Call it when no running query reads those any more; the version in force
+        always stays. Returns the versions deleted.
+        """
+        if keep < 1:
+            raise ValueError("at least one version has to stay")
+        location = self.location(layer, table)
+        versions = self._versions(layer, table)
+        complete = [
+            v for v in versions if hadoop.exists(self.spark, f"{location}/{v}/_SUCCESS")
+        ]
+        if len(complete) <= keep:
+            return []
+        old = [v for v in versions if v < complete[-keep]]
+        for version in old:
+            hadoop.delete_folder(self.spark, f"{location}/{version}")
+        return old
+
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
         """Add rows to the current version, or start the table."""
         current = self._current(layer, table)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -49,6 +51,17 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, store):
     assert store.read("raw", "t").count() == 4
 
 
+def test_pruning_keeps_the_version_in_force(spark, store):
+    for number in range(4):
+        store.replace(spark.range(number), "raw", "t")
+    assert store.prune("raw", "t", keep=2) == ["v00000001", "v00000002"]
+    assert store.prune("raw", "t", keep=2) == []
+    assert store.read("raw", "t").count() == 3
+    assert store.replace(spark.range(9), "raw", "t").count() == 9
+    with pytest.raises(ValueError, match="stay"):
+        store.prune("raw", "t", keep=0)
+
+
 def test_reading_a_missing_table_says_so(store):
     with pytest.raises(FileNotFoundError, match="sales_raw.none"):
         store.read("raw", "none")
@@ -94,6 +107,32 @@ def test_merge_updates_inserts_and_repeats_without_effect(spark, store):
         assert rows(store.merge(delta, "raw", "t", ["id"], ["at"])) == expected
 
 
+versions = st.lists(
+    st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 3)), st.text("ab", max_size=1)),
+    max_size=12,
+)
+
+
+def newest(values):
+    """Per id the row with the greatest (at, v), a missing ``at`` being the least."""
+    best = {}
+    for row in values:
+        rank = (row[1] is not None, row[1] or 0, row[2])
+        if row[0] not in best or rank > best[row[0]][0]:
+            best[row[0]] = (rank, row)
+    return {key: row for key, (_, row) in best.items()}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(first=versions, delta=versions)
+def test_merge_equals_brute_force(spark, first, delta):
+    schema = "id int, at int, v string"
+    target = merge.latest_per_key(spark.createDataFrame(first, schema), ["id"], ["at"])
+    fresh = merge.latest_per_key(spark.createDataFrame(delta, schema), ["id"], ["at"])
+    merged = merge.merge_on_key(target, fresh, ["id"])
+    assert rows(merged) == sorted((newest(first) | newest(delta)).values(), key=repr)
+
+
 def test_history_closes_adds_keeps_and_repeats_without_effect(spark):
     def at(day):
         return F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp")
