@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
-from starloom.llm.queries import QUERIES, SQL
+import corpus_pipeline
+from starloom.llm.queries import QUERIES as OPERATOR_QUERIES
+from starloom.llm.queries import SQL as OPERATOR_SQL
 
-__all__ = ["QUERIES", "SQL"]
+QUERIES = OPERATOR_QUERIES | {"pipeline": corpus_pipeline.run}
+SQL = OPERATOR_SQL | (
+    {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from starloom.llm import license_scan, quality_rules
+from starloom.llm import license_scan, quality_rules, url_filter
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 BLANKS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -188,3 +188,102 @@ from whole left join known using (digest) left join every using (doc_id)
 
 
 LICENSES = _licenses()
+
+
+def _urls() -> str:
+    uf = url_filter
+    host = f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"
+    path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+    two = ", ".join(f"'{suffix}'" for suffix in uf.TWO_LABEL_SUFFIXES)
+    strength = (
+        f"least(greatest(coalesce((select case when beyond > 0 then chance / beyond - 1 end from (select"
+        " sum((n - 1) * prior * (1 - prior)) as chance,"
+        " sum(n * (g / n - prior) * (g / n - prior) - prior * (1 - prior)) as beyond"
+        f" from {{0}} where n > 0)), {uf.MAX_STRENGTH}), {uf.MIN_STRENGTH}), {uf.MAX_STRENGTH})"
+    )
+
+    def level(name: str) -> str:
+        return (
+            f"{name}_s as (select *, {strength.format(name)}::double as s from {name}),\n"
+            f"{name}_m as (select *, g + s * prior as a, n - g + s * (1 - prior) as b,"
+            f" (g + s * prior) / (n + s) as mean from {name}_s)"
+        )
+
+    rules = sorted(uf.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [
+        (
+            f"(host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '{start}')",
+            verdict,
+            name + start,
+        )
+        for verdict, name, start in rules
+    ]
+    rule = " ".join(f"when {fit} then '{text}'" for fit, _, text in fits)
+    verdict = " ".join(f"when {fit} then '{verdict}'" for fit, verdict, _ in fits)
+    return f"""
+with labelled as (
+    select doc_id, min(quality) > 0 as good from labels
+    where doc_id is not null and quality is not null group by doc_id),
+page as (
+    select page_id, translate({host}, '{UPPER}', '{LOWER}') as host, {path} as path from pages),
+outcome as (
+    select page.*, good from page left join labelled
+        on doc_id = try_cast(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) as bigint)),
+named as (
+    select host, count(good) as n, count_if(good) as g,
+        string_split(regexp_replace(host, ':[0-9]*$', ''), '.') as l
+    from outcome group by host),
+sized as (
+    select *, case when len(l) > 1 and array_to_string(l[-2:], '.') in ({two}) then 2 else 1 end
+        as k from named),
+hosts as (
+    select host, n, g, array_to_string(case when len(l) > k then l[-(k + 1):] else l end, '.')
+        as domain, array_to_string(l[-k:], '.') as suffix from sized),
+root as (
+    select (coalesce(sum(g), 0) + {uf.MIN_STRENGTH / 2})
+        / (coalesce(sum(n), 0) + {uf.MIN_STRENGTH}) as prior from hosts),
+suf as (
+    select suffix, sum(n) as n, sum(g) as g, any_value(prior) as prior from hosts, root
+    group by suffix),
+{level("suf")},
+dom as (
+    select domain, hosts.suffix, sum(hosts.n) as n, sum(hosts.g) as g, any_value(mean) as prior
+    from hosts join suf_m using (suffix) group by domain, hosts.suffix),
+{level("dom")},
+hst as (select host, hosts.n, hosts.g, mean as prior from hosts join dom_m using (domain)),
+{level("hst")},
+judged as (
+    select host, mean + {uf.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as upper from hst_m)
+select page_id, host, path, case {rule} end as rule,
+    case {verdict} when upper < {uf.MIN_GOOD} then 'block' else 'allow' end as verdict
+from page join judged using (host)
+"""
+
+
+URLS = _urls()
+
+
+JACCARD = f"""
+with recursive doc as (
+    select doc_id, regexp_extract_all({ascii_lower("text")}, '{_SPACED}') as w from documents),
+shingle as (
+    select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i
+        from doc where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingle group by doc_id),
+shared as (
+    select a.doc_id as x, b.doc_id as y, count(*) as common
+    from shingle a join shingle b using (s) where a.doc_id < b.doc_id group by all),
+link as (
+    select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y
+    where 100 * common >= 75 * (a.n + b.n - common)),
+either as (select x, y from link union all select y, x from link),
+reach as (
+    select doc_id, doc_id as other from sizes
+    union
+    select reach.doc_id, y from reach join either on x = other)
+select documents.doc_id, coalesce(any_value(sizes.n), 0)::bigint as n_shingles,
+    coalesce(min(other), documents.doc_id) as component_id
+from documents left join sizes using (doc_id) left join reach using (doc_id)
+group by documents.doc_id
+"""
