@@ -194,13 +194,18 @@ def revenue_by_line(ctx: Context) -> DataFrame:
 
 @query(
     """
-    select stock_item_name, cast(sum(quantity) as bigint) as quantity_sold,
-        cast(sum(picked_quantity) as bigint) as quantity_picked,
-        cast(sum(picked_quantity) as double) / nullif(sum(quantity), 0) as fill_rate
-    from mart_sales_order_line group by stock_item_name"""
+    select t.stock_item_key, i.stock_item_name, t.quantity_sold, t.quantity_picked, t.fill_rate
+    from (
+        select stock_item_key, cast(sum(quantity) as bigint) as quantity_sold,
+            cast(sum(picked_quantity) as bigint) as quantity_picked,
+            cast(sum(picked_quantity) as double) / nullif(sum(quantity), 0) as fill_rate
+        from fact_sales_order_line group by stock_item_key
+    ) t left join dim_stock_item i using (stock_item_key)"""
 )
 def quantity_sold_picked(ctx: Context) -> DataFrame:
-    return metrics.quantity_sold_picked(ctx.mart)
+    return metrics.quantity_sold_picked(
+        ctx.tables["fact_sales_order_line"], ctx.tables["dim_stock_item"]
+    )
 
 
 @query(
@@ -237,24 +242,25 @@ def customer_lifetime_value(ctx: Context) -> DataFrame:
     )
 
 
+# A fiscal year starts in April and has the number of the year that it ends in.
+FISCAL_YEAR_SQL = "cast(year(d) + case when month(d) >= 4 then 1 else 0 end as int)"
+ORDER_DAY_SQL = "strptime(order_date_key, '%Y%m%d')"
+
+
 @query(
-    """
+    f"""
     select a.fiscal_year, count(*) as customer_count, count(b.customer_key) as retained_count,
         cast(count(b.customer_key) as double) / count(*) as retention_rate
-    from active a
-    left join active b on b.customer_key = a.customer_key and b.fiscal_year = a.fiscal_year + 1
-    group by a.fiscal_year""".replace(
-        "active a\n",
-        "(select distinct customer_key, fiscal_year from fact_sales_order_line f"
-        " join dim_date d on d.date_key = f.order_date_key) a\n",
-    ).replace(
-        "join active b",
-        "join (select distinct customer_key, fiscal_year from fact_sales_order_line f"
-        " join dim_date d on d.date_key = f.order_date_key) b",
-    )
+    from (select distinct customer_key, {FISCAL_YEAR_SQL} as fiscal_year
+        from (select customer_key, {ORDER_DAY_SQL} as d from fact_sales_order_line)
+        where customer_key is not null and d is not null) a
+    left join (select distinct customer_key, {FISCAL_YEAR_SQL} as fiscal_year
+        from (select customer_key, {ORDER_DAY_SQL} as d from fact_sales_order_line)) b
+        on b.customer_key = a.customer_key and b.fiscal_year = a.fiscal_year + 1
+    group by a.fiscal_year"""
 )
 def customer_retention(ctx: Context) -> DataFrame:
-    return metrics.customer_retention(ctx.tables["fact_sales_order_line"], ctx.tables["dim_date"])
+    return metrics.customer_retention(ctx.tables["fact_sales_order_line"])
 
 
 @query(
@@ -273,14 +279,21 @@ def revenue_by_geography(ctx: Context) -> DataFrame:
 
 @query(
     f"""
-    select customer_customer_category_name as customer_category_name, stock_item_name,
-        order_date_fiscal_year as fiscal_year, order_date_fiscal_qtr as fiscal_qtr,
+    select c.customer_category_name, f.stock_item_key, i.stock_item_name,
+        {FISCAL_YEAR_SQL} as fiscal_year, 'Q' || quarter(d) as fiscal_qtr,
         count(*) as line_count, cast(sum(quantity) as bigint) as quantity,
-        cast(sum({REVENUE_SQL}) as decimal(38,2)) as revenue
-    from mart_sales_order_line group by 1, 2, 3, 4"""
+        cast(sum(cast(quantity as decimal(10,0)) * f.unit_price) as decimal(38,2)) as revenue
+    from (select *, {ORDER_DAY_SQL} as d from fact_sales_order_line) f
+    left join dim_customer c using (customer_key)
+    left join dim_stock_item i using (stock_item_key)
+    group by 1, 2, 3, 4, 5"""
 )
 def sales_by_period(ctx: Context) -> DataFrame:
-    return metrics.sales_by_period(ctx.mart)
+    return metrics.sales_by_period(
+        ctx.tables["fact_sales_order_line"],
+        ctx.tables["dim_customer"],
+        ctx.tables["dim_stock_item"],
+    )
 
 
 @query(

@@ -102,6 +102,32 @@ def csv_landing(ctx: Context) -> DataFrame:
     return files.land_csv(ctx.spark, path, "sales__Customers")
 
 
+@query(
+    """
+    select doc_id, case doc_id % 8 when 0 then null when 1 then '' when 2 then 'NULL'
+            when 3 then '\\N' when 4 then '"' || text || '", ' when 5 then ' ' || text || ' \\'
+            else text end as text, lang, source, n_chars
+    from documents"""
+)
+def csv_landing_text(ctx: Context) -> DataFrame:
+    """Text with quotes, line breaks, outer blanks and the spellings of a missing value."""
+    docs = ctx.given("documents")
+    text, case = F.col("text"), F.col("doc_id") % 8
+    nasty = (
+        F.when(case == 0, F.lit(None))
+        .when(case == 1, "")
+        .when(case == 2, "NULL")
+        .when(case == 3, "\\N")
+        .when(case == 4, F.concat(F.lit('"'), text, F.lit('", ')))
+        .when(case == 5, F.concat(F.lit(" "), text, F.lit(" \\")))
+        .otherwise(text)
+    )
+    path = f"{ctx.store.root}/csv_text"
+    files.write_csv(docs.withColumn("text", nasty), path)
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return files.read_csv(ctx.spark, path, schema)
+
+
 @query("select * from sales__Orders")
 def csv_landing_orders(ctx: Context) -> DataFrame:
     path = f"{ctx.store.root}/exports/sales__Orders"
@@ -189,7 +215,7 @@ def _reflection_sql(table: str, columns: list[tuple[str, str]]) -> str:
     return "\nunion all\n".join(parts)
 
 
-REFLECTED = ("sales__Customers", "sales__OrderLines", "warehouse__StockItems")
+REFLECTED = tuple(contracts.RAW_TABLES)
 
 
 @query("\nunion all\n".join(_reflection_sql(t, _contract_columns(t)) for t in REFLECTED))
@@ -296,6 +322,24 @@ def load_append(ctx: Context) -> DataFrame:
     return ctx.store.append(later, "raw", "landing_orders")
 
 
+@query(
+    """
+    select o_orderkey, o_orderstatus, o_totalprice,
+        case when o_orderkey % 2 = 1 then o_orderpriority end as o_orderpriority
+    from orders"""
+)
+def load_append_partitioned(ctx: Context) -> DataFrame:
+    """A partitioned table, to which the second load adds rows and a column."""
+    orders = ctx.given("orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+    )
+    place = ("raw", "orders_by_status")
+    first = orders.filter("o_orderkey % 2 <> 1").drop("o_orderpriority")
+    ctx.store.replace(first, *place, partition_by=["o_orderstatus"])
+    ctx.store.append(orders.filter("o_orderkey % 2 = 1"), *place)
+    return ctx.store.read(*place)
+
+
 @query(MERGED_SQL)
 def load_merge(ctx: Context) -> DataFrame:
     store, keys = ctx.store, ["order_key"]
@@ -403,14 +447,9 @@ def incremental_range(ctx: Context) -> DataFrame:
     return incremental.since(ctx.given("events"), "ts", *bounds)
 
 
-@query(
-    "select event_id, ts, event_type from events"
-    " where ts >= '2024-01-10' and ts < '2024-01-20' order by ts desc, event_id"
-)
+@query("select * from events order by ts desc, event_id")
 def incremental_desc(ctx: Context) -> DataFrame:
-    bounds = (_ntz("2024-01-10 00:00:00"), _ntz("2024-01-20 00:00:00"))
-    within = incremental.since(ctx.given("events"), "ts", *bounds)
-    return incremental.newest_first(within.select("event_id", "ts", "event_type"), "ts", "event_id")
+    return incremental.newest_first(ctx.given("events"), "ts", "event_id")
 
 
 @query("select * from events order by ts desc, event_id limit 10")

@@ -86,7 +86,7 @@ def dim_date(
     """The calendar dimension, one row per day.
 
     ``fiscal_qtr`` holds the calendar quarter although ``fiscal_year`` starts in
-    April: that is what published reports are built on.
+    April, as in the calendar being matched.
     """
     day = "full_date"
     return date_spine(spark, first, last).select(

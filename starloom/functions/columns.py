@@ -41,8 +41,3 @@ def replace_columns(df: DataFrame, replacements: dict[str, Column]) -> DataFrame
 def rename_select(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Pick the mapped columns and give them their new names."""
     return df.select(*[F.col(old).alias(new) for old, new in names.items()])
-
-
-def include_columns(df: DataFrame, included: Sequence[str]) -> DataFrame:
-    """Keep only the listed columns; the scan prunes the others."""
-    return df.select(*included)

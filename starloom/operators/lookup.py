@@ -11,21 +11,25 @@ repeated once per salt. Salting changes where rows go, never which rows come out
 
 from __future__ import annotations
 
+import functools
 import math
+from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.sources.workspace import new_workspace
 
-HOT_KEYS_MAX = 2000
 SLICES = 4
 MEASURED_AT_A_TIME = 4
-REDUCED_FILES = 8
+ROWS_PER_FILE = 500_000
+# What a frequent-items sketch may hold, a limit of the sketch itself.
+SKETCH_ITEMS = 1_000_000
 _SALT = "__salt"
 
 
@@ -35,6 +39,7 @@ class JoinLimits:
 
     broadcast_rows: int = 2_000_000
     broadcast_bytes: int = 64 << 20
+    plan_bytes: int = 256 << 20  # all dimensions that one plan broadcasts
     hot_share: float | None = None  # default: one average shuffle partition
 
 
@@ -57,33 +62,59 @@ class Lookup:
         return list(dict.fromkeys([self.dim_key, *self.take]))
 
 
-def fits_broadcast(dim: DataFrame, limits: JoinLimits = JoinLimits()) -> bool:
-    """Measure ``dim``: rows first (footers, for files), bytes only if few rows."""
+def _value_bytes(column: T.StructField) -> Column | None:
+    """Bytes of a value of no fixed size."""
+    value = F.col(f"`{column.name}`")
+    if isinstance(column.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(column.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return None
+
+
+def broadcast_bytes(dim: DataFrame, limits: JoinLimits = JoinLimits()) -> int | None:
+    """Bytes of ``dim`` if it may be broadcast: rows are counted first, then measured."""
     if limits.broadcast_rows <= 0:
-        return False
+        return None
     rows = dim.count()
     if rows > limits.broadcast_rows:
-        return False
-    texts = [c.name for c in dim.schema.fields if isinstance(c.dataType, T.StringType)]
-    text_bytes = 0
-    if texts:
-        text = F.octet_length(F.concat_ws("", *texts))
-        text_bytes = dim.agg(F.coalesce(F.sum(text), F.lit(0))).first()[0]
-    return text_bytes + rows * 16 * (len(dim.columns) + 1) <= limits.broadcast_bytes
+        return None
+    found = [size for size in map(_value_bytes, dim.schema.fields) if size is not None]
+    of_values = 0
+    if found:
+        total = functools.reduce(add, [size.cast("long") for size in found])
+        of_values = dim.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
+    size = of_values + rows * 16 * (len(dim.columns) + 1)
+    return size if size <= limits.broadcast_bytes else None
+
+
+def fits_broadcast(dim: DataFrame, limits: JoinLimits = JoinLimits()) -> bool:
+    return broadcast_bytes(dim, limits) is not None
 
 
 def near_dims(lookups: Sequence[Lookup], limits: JoinLimits = JoinLimits()) -> set[int]:
-    """``id`` of each dimension small enough to broadcast, measured once per dimension."""
+    """``id`` of each dimension small enough to broadcast, measured once per dimension.
+
+    The smallest come first, as long as all of them together stay within the plan's bound.
+    """
     near = {id(lookup.dim) for lookup in lookups if lookup.size == "bounded"}
     dims: dict[int, DataFrame] = {}
     needed: dict[int, dict[str, None]] = {}
+    uses: Counter[int] = Counter()
     for lookup in lookups:
         if lookup.size == "measured":
             dims[id(lookup.dim)] = lookup.dim
             needed.setdefault(id(lookup.dim), {}).update(dict.fromkeys(lookup.columns()))
+            uses[id(lookup.dim)] += 1
     with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
-        fits = pool.map(lambda n: fits_broadcast(dims[n].select(*needed[n]), limits), dims)
-        return near | {number for number, small in zip(dims, fits, strict=True) if small}
+        found = pool.map(lambda n: broadcast_bytes(dims[n].select(*needed[n]), limits), dims)
+        sizes = {n: size * uses[n] for n, size in zip(dims, found, strict=True) if size is not None}
+    left = limits.plan_bytes
+    for number in sorted(sizes, key=sizes.get):
+        left -= sizes[number]
+        if left >= 0:
+            near.add(number)
+    return near
 
 
 def few_used(
@@ -94,8 +125,9 @@ def few_used(
     The result is by ``id`` of the lookup that a reduced one stands for.
 
     Distinct keys are estimated first, for all lookups in one pass. Where they are
-    few, keys and rows are written to the shared folder, so that they are found
-    once, measured as they are, and survive a lost executor.
+    few, the keys are written to the shared folder, so that they are found once,
+    measured as they are, and survive a lost executor; so are the rows, after they
+    have been counted, since a dimension may repeat its keys.
     """
     if not lookups or limits.broadcast_rows <= 0:
         return {}
@@ -107,66 +139,85 @@ def few_used(
             continue
         folder = new_workspace(df.sparkSession)
         used = df.select(F.col(lookup.key).alias("__used")).distinct()
-        used = _written(used, f"{folder}/keys")
+        used = _written(used, f"{folder}/keys", counts[lookup.key])
         if not fits_broadcast(used, limits):
             continue
         in_use = F.col(lookup.dim_key) == F.col("__used")
         rows = lookup.dim.select(*lookup.columns()).join(F.broadcast(used), in_use, "left_semi")
-        rows = _written(rows, f"{folder}/rows")
+        found = rows.count()
+        if found > limits.broadcast_rows:
+            continue
+        rows = _written(rows, f"{folder}/rows", found)
         if fits_broadcast(rows, limits):
             reduced[id(lookup)] = replace(lookup, dim=rows)
     return reduced
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    """Few rows out of a large scan, gathered into few files."""
-    df.repartition(REDUCED_FILES).write.parquet(path)
+def _written(df: DataFrame, path: str, rows: int) -> DataFrame:
+    """Few rows out of a large scan, gathered into as many files as they need."""
+    df.repartition(max(1, math.ceil(rows / ROWS_PER_FILE))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hot_keys(
-    df: DataFrame, key: str, limits: JoinLimits = JoinLimits()
-) -> list[tuple[object, int]]:
-    """Keys that hold more than an average partition, with the salts they need.
-
-    Each salt gets a quarter of an average partition, so that two of them in one
-    partition do no harm; all hot keys together need at most four salts per
-    partition, which bounds the dimension rows that are repeated.
-
-    Frequent items are found by a sketch per group of input partitions, so that
-    neither all keys are shuffled nor one task merges the sketches of a very large
-    scan, and their counts are added up. Only ``1 / share`` keys can hold more
-    than the share, and at most ``HOT_KEYS_MAX`` come back to the driver. NULL
-    counts as a key.
+    df: DataFrame, keys: Sequence[str], limits: JoinLimits = JoinLimits()
+) -> dict[str, DataFrame]:
+    """Of each key column, the keys that hold more than an average partition.
+
+    A written table (hot key, salts) per column that has any. Each salt gets a quarter
+    of an average partition, so that two of them in one partition do no harm; all hot
+    keys together need at most four salts per partition, which bounds the dimension
+    rows that are repeated. As many keys can be hot as there are partitions, and all
+    that are found are in the table, which stays with the executors.
+
+    Frequent items of all columns, and the rows, are found in one pass, by a sketch per
+    group of input partitions, so that neither all keys are shuffled nor one task merges
+    the sketches of a very large scan. NULL counts as a key.
     """
+    if not keys:
+        return {}
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = limits.hot_share or 1 / partitions
-    most = min(math.ceil(1 / share), HOT_KEYS_MAX)
+    most = min(math.ceil(1 / share), SKETCH_ITEMS // 8)
     group = F.pmod(F.spark_partition_id(), F.lit(partitions))
-    frequent = F.expr(f"approx_top_k(`{key}`, {most}, {max(8 * most, 1024)})")
-    hot_rows = max(df.select(key).count() * share, 1)
-    counted = (
-        df.select(F.col(key), group.alias("__group"))
+    sketches = [
+        F.expr(f"approx_top_k(`{key}`, {most}, {max(8 * most, 1024)})").alias(f"top_{number}")
+        for number, key in enumerate(keys)
+    ]
+    folder = new_workspace(df.sparkSession)
+    found = (
+        df.select(*[F.col(f"`{key}`") for key in keys], group.alias("__group"))
         .groupBy("__group")
-        .agg(frequent.alias("__top"))
-        .select(F.inline("__top"))
-        .groupBy("item")
-        .agg(F.sum("count").alias("rows"))
-        .filter(F.col("rows") > hot_rows)
-        .orderBy(F.col("rows").desc())
-        .limit(HOT_KEYS_MAX)
+        .agg(*sketches, F.count(F.lit(1)).alias("rows"))
     )
-    return [(row["item"], math.ceil(SLICES * row["rows"] / hot_rows)) for row in counted.collect()]
+    found = _written(found, f"{folder}/sketches", partitions)
+    hot_rows = max((found.agg(F.sum("rows")).first()[0] or 0) * share, 1)
+    tables = {}
+    for number, key in enumerate(keys):
+        hot = (
+            found.select(F.inline(f"top_{number}"))
+            .groupBy(F.col("item").alias("__hot_key"))
+            .agg(F.sum("count").alias("rows"))
+            .filter(F.col("rows") > hot_rows)
+            .select(
+                "__hot_key",
+                F.ceil(SLICES * F.col("rows") / F.lit(float(hot_rows))).cast("long").alias("__salts"),
+            )
+        )
+        hot = _written(hot, f"{folder}/hot_{number}", most)
+        if not hot.isEmpty():
+            tables[key] = hot
+    return tables
 
 
 def salted_left_join(
     df: DataFrame,
     lookup: Lookup,
-    hot: Sequence[tuple[object, int]],
+    hot: DataFrame | None,
     spread_by: Sequence[str],
+    limits: JoinLimits = JoinLimits(),
 ) -> DataFrame:
     """Left join by shuffle, the rows of ``hot`` keys spread over their salts."""
-    spark = df.sparkSession
     dim = lookup.dim.select(
         F.col(lookup.dim_key).alias("__dim_key"),
         *[F.col(name).alias(f"__take_{name}") for name in lookup.take],
@@ -177,17 +228,12 @@ def salted_left_join(
         dim = dim.hint("merge")
     taken = [F.col(f"__take_{name}").alias(out) for name, out in lookup.take.items()]
     kept = [F.col(f"`{name}`") for name in df.columns]
-    if not hot:
+    if hot is None:
         return df.join(dim, F.col(lookup.key) == F.col("__dim_key"), "left").select(*kept, *taken)
 
-    # At most HOT_KEYS_MAX rows, so this small table may always be broadcast.
-    hot_schema = T.StructType(
-        [
-            T.StructField("__hot_key", df.schema[lookup.key].dataType),
-            T.StructField("__salts", T.LongType()),
-        ]
-    )
-    hot_table = F.broadcast(spark.createDataFrame(list(hot), hot_schema))
+    # One row per hot key, so no more than shuffle partitions; still, it is measured.
+    hot_limits = replace(limits, broadcast_rows=JoinLimits.broadcast_rows)
+    hot_table = F.broadcast(hot) if fits_broadcast(hot, hot_limits) else hot
     salted = (
         df.join(hot_table, F.col(lookup.key).eqNullSafe(F.col("__hot_key")), "left")
         .withColumn(
@@ -232,12 +278,11 @@ def left_lookups(
         near += reduced.values()
         far = [lookup for lookup in far if id(lookup) not in reduced]
     keys = list(dict.fromkeys(lookup.key for lookup in far)) if spread_by else []
-    with ThreadPoolExecutor(MEASURED_AT_A_TIME) as pool:
-        hot = dict(zip(keys, pool.map(lambda key: hot_keys(df, key, limits), keys), strict=True))
+    hot = hot_keys(df, keys, limits)
 
     result = df
     for lookup in far:
-        result = salted_left_join(result, lookup, hot.get(lookup.key, []), spread_by)
+        result = salted_left_join(result, lookup, hot.get(lookup.key), spread_by, limits)
     for number, lookup in enumerate(near):
         dim_key = f"__near_key_{number}"
         dim = F.broadcast(

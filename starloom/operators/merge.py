@@ -25,13 +25,30 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] =
     )
 
 
-def merge_on_key(target: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_keys(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Equality of keys in which NULL equals NULL."""
+    return functools.reduce(
+        and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
+    )
+
+
+def merge_on_key(
+    target: DataFrame,
+    newest: DataFrame,
+    keys: Sequence[str],
+    changed: DataFrame | None = None,
+) -> DataFrame:
     """Rows of ``newest`` replace the target's rows of the same key or are added.
 
-    ``newest`` holds a key once (:func:`latest_per_key`) and no key is NULL.
+    ``newest`` holds a key once (:func:`latest_per_key`); NULL is a key like any other.
+    ``changed`` are its keys, given apart where they are to be broadcast. A column that
+    one of the two lacks is NULL in its rows.
     """
-    untouched = target.join(newest.select(*keys), list(keys), "left_anti")
-    return untouched.select(*target.columns).unionByName(newest)
+    changed = newest.select(*keys) if changed is None else changed
+    renamed = changed.toDF(*[f"__new_{k}" for k in keys])
+    on = join_keys(keys, renamed.columns)
+    untouched = target.join(renamed, on, "left_anti")
+    return untouched.select(*target.columns).unionByName(newest, allowMissingColumns=True)
 
 
 def _row(alive: Column, **columns: Column) -> Column:
@@ -50,14 +67,15 @@ def scd2_merge(
     A current row whose tracked columns differ is closed at ``valid_from`` and
     followed by a new one; keys the snapshot lacks stay current; new keys are
     added. Closed rows pass through without a join, and both sides of the join
-    hold a key once.
+    hold a key once: of a key that the snapshot repeats the row with the greatest
+    tracked values counts. NULL is a key like any other.
     """
     open_until = F.lit(None).cast("timestamp")
     columns = [*keys, *tracked]
     closed = history.filter(~F.col("is_current"))
     old = history.filter("is_current").alias("old")
-    new = snapshot.select(*columns).alias("new")
-    on = functools.reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
+    new = latest_per_key(snapshot.select(*columns), keys)
+    on = join_keys([f"old.{k}" for k in keys], [f"new.{k}" for k in keys])
     had = F.col("old.is_current").isNotNull()
     has = F.col("new.__seen").isNotNull()
     same = functools.reduce(
@@ -85,9 +103,15 @@ def scd2_merge(
     )
 
 
-def scd2_start(snapshot: DataFrame, columns: Sequence[str], valid_from: Column) -> DataFrame:
-    """A first history: every row current since ``valid_from``."""
-    return snapshot.select(
+def scd2_start(
+    snapshot: DataFrame,
+    columns: Sequence[str],
+    valid_from: Column,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """A first history: every row, one per key if ``keys`` are named, current since then."""
+    rows = snapshot.select(*columns)
+    return (latest_per_key(rows, keys) if keys else rows).select(
         *columns,
         valid_from.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.calendar import calendar_quarter, fiscal_year
 from starloom.operators.lookup import JoinLimits, Lookup, left_lookups
 
 
@@ -40,14 +41,22 @@ def revenue_by_line(mart: DataFrame) -> DataFrame:
     )
 
 
-def quantity_sold_picked(mart: DataFrame) -> DataFrame:
-    """Units sold and picked per stock item, and the share picked."""
+def quantity_sold_picked(
+    fact: DataFrame, dim_stock_item: DataFrame, limits: JoinLimits = JoinLimits()
+) -> DataFrame:
+    """Units sold and picked per stock item, and the share picked; several share a name."""
     sold, picked = F.sum("quantity"), F.sum("picked_quantity")
-    return mart.groupBy("stock_item_name").agg(
+    totals = fact.groupBy("stock_item_key").agg(
         sold.alias("quantity_sold"),
         picked.alias("quantity_picked"),
         F.try_divide(picked, sold).alias("fill_rate"),
     )
+    return left_lookups(totals, [_stock_item_name(dim_stock_item)], [], limits)
+
+
+def _stock_item_name(dim_stock_item: DataFrame) -> Lookup:
+    taken = {"stock_item_name": "stock_item_name"}
+    return Lookup(dim_stock_item, "stock_item_key", "stock_item_key", taken)
 
 
 def fulfillment_cycle(fact: DataFrame) -> DataFrame:
@@ -94,18 +103,16 @@ def customer_lifetime_value(
     return left_lookups(totals, [found], [], limits)
 
 
-def customer_retention(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def customer_retention(fact: DataFrame) -> DataFrame:
     """Customers of each fiscal year, and how many of them ordered in the next.
 
-    Lines become one row per customer and year before a customer's years, at most
-    as many as the calendar has, are put side by side.
+    The year is that of the order's date key, so days outside the calendar count.
+    Lines become one row per customer and year before a customer's years, one for
+    each year of business at most, are put side by side.
     """
-    years = dim_date.select(F.col("date_key").alias("order_date_key"), "fiscal_year")
     per_customer = (
-        fact.filter("customer_key is not null")
-        .select("customer_key", "order_date_key")
-        .join(F.broadcast(years), "order_date_key")
-        .select("customer_key", "fiscal_year")
+        fact.filter("customer_key is not null and order_date_key is not null")
+        .select("customer_key", fiscal_year(_day("order_date_key")).alias("fiscal_year"))
         .distinct()
         .groupBy("customer_key")
         .agg(F.collect_list("fiscal_year").alias("years"))
@@ -143,17 +150,55 @@ def revenue_by_geography(
     )
 
 
-def sales_by_period(mart: DataFrame) -> DataFrame:
-    """Revenue by customer category, stock item and order period."""
-    return mart.groupBy(
-        F.col("customer_customer_category_name").alias("customer_category_name"),
-        "stock_item_name",
-        F.col("order_date_fiscal_year").alias("fiscal_year"),
-        F.col("order_date_fiscal_qtr").alias("fiscal_qtr"),
-    ).agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum("quantity").alias("quantity"),
-        _money(F.sum(revenue())).alias("revenue"),
+def sales_by_period(
+    fact: DataFrame,
+    dim_customer: DataFrame,
+    dim_stock_item: DataFrame,
+    limits: JoinLimits = JoinLimits(),
+) -> DataFrame:
+    """Revenue by customer category, stock item and order period.
+
+    Periods come from the order's date key, not from the calendar. Lines are summed
+    per customer, item and period before categories and names are looked up.
+    """
+    day = _day("order_date_key")
+    period = ["fiscal_year", "fiscal_qtr"]
+    totals = (
+        fact.select(
+            "customer_key",
+            "stock_item_key",
+            "quantity",
+            "unit_price",
+            fiscal_year(day).alias("fiscal_year"),
+            calendar_quarter(day).alias("fiscal_qtr"),
+        )
+        .groupBy("customer_key", "stock_item_key", *period)
+        .agg(
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum("quantity").alias("quantity"),
+            F.sum(revenue()).alias("revenue"),
+        )
+    )
+    category = Lookup(
+        dim_customer,
+        "customer_key",
+        "customer_key",
+        {"customer_category_name": "customer_category_name"},
+    )
+    by_category = (
+        left_lookups(totals, [category], ["stock_item_key", *period], limits)
+        .groupBy("customer_category_name", "stock_item_key", *period)
+        .agg(
+            F.sum("line_count").alias("line_count"),
+            F.sum("quantity").alias("quantity"),
+            _money(F.sum("revenue")).alias("revenue"),
+        )
+    )
+    return left_lookups(
+        by_category,
+        [_stock_item_name(dim_stock_item)],
+        ["customer_category_name", *period],
+        limits,
     )
 
 

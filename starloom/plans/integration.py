@@ -183,15 +183,12 @@ def city_lookup(cities: DataFrame, role: str) -> Lookup:
     return Lookup(cities, f"{role}_city_key", "city_key", attributes)
 
 
-def postal_city_lookup(cities: DataFrame) -> list[Lookup]:
-    """No column comes from the postal city, but a repeated city key repeats customers.
+def postal_city_lookup(cities: DataFrame) -> Lookup:
+    """No column comes from the postal city, but a repeated city repeats customers.
 
-    So the join is left out where city keys are unique, as they should be.
+    A flattened city is repeated where its own, its province's or its country's key is.
     """
-    repeated = cities.groupBy("city_key").count().filter("count > 1")
-    if repeated.isEmpty():
-        return []
-    return [Lookup(cities, "postal_city_key", "city_key")]
+    return Lookup(cities, "postal_city_key", "city_key")
 
 
 def address(role: str):
@@ -227,7 +224,7 @@ def dim_customer(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame:
                 {"delivery_method_name": "delivery_method_name"},
             ),
             city_lookup(cities, "delivery"),
-            *postal_city_lookup(stg["stg_application_city"]),
+            postal_city_lookup(cities),
         ],
         ["customer_key"],
         limits,

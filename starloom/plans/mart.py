@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from starloom.functions.columns import filtered_columns, interleaved, prefixed
 from starloom.operators.lookup import JoinLimits, Lookup, fits_broadcast, left_lookups
 
-# Columns the mart leaves out. salesperson_key stays in: published
-# reports already use it.
+# Columns the mart leaves out. salesperson_key stays in, as in the
+# mart being matched.
 FACT_EXCLUDED = (
     "customer_key",
     "picked_by_person_key",

@@ -63,6 +63,10 @@ RAW_TABLES: dict[str, str] = {
 }
 
 
+# How untyped exports spell a missing value.
+MISSING = ("", "NULL", "\\N", "N/A", "NA", "NONE")
+
+
 def contract(table: str) -> T.StructType:
     return T.StructType.fromDDL(RAW_TABLES[table])
 
@@ -75,16 +79,24 @@ def as_text(df: DataFrame) -> DataFrame:
 def _conformed(column: T.StructField, found: T.DataType) -> Column:
     value = F.col(column.name)
     if isinstance(found, T.StringType):
-        return value.try_cast(column.dataType).alias(column.name)
+        missing = F.upper(F.trim(value)).isin(*MISSING)
+        unread = F.raise_error(
+            F.concat(F.lit(f"{column.name} is no {column.dataType.simpleString()}: "), value)
+        )
+        read = value.try_cast(column.dataType)
+        value = F.when(missing | value.isNull(), F.lit(None)).otherwise(
+            F.coalesce(read, unread.cast(column.dataType))
+        )
+        return value.cast(column.dataType).alias(column.name)
     return value.cast(column.dataType).alias(column.name)
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Pick the contract's columns and cast those of another type.
 
-    Text that does not parse (empty, ``NULL``) becomes NULL here and nowhere
-    else; count what this loses with :func:`contract_report`. A number that does
-    not fit raises, as does any failed cast in a later layer.
+    Text that stands for a missing value (:data:`MISSING`) becomes NULL here and
+    nowhere else. Any other text that does not parse raises, as does a number that
+    does not fit; :func:`contract_report` counts such values beforehand.
     """
     found = {c.name: c.dataType for c in df.schema.fields}
     return df.select(

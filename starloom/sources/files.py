@@ -4,33 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.sources import hadoop
 from starloom.sources.contracts import RAW_TABLES
 
-# Fixed value: how an export spells a missing value.
-CSV_NULL = "NULL"
+# Fixed value: how this library's own files spell a missing value. Text that begins with
+# a backslash gets another one, so no text is ever equal to it.
+CSV_NULL = "\\N"
 
+# Quotes are doubled inside quotes, and blanks are part of a value.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("nullValue", CSV_NULL).csv(path)
 
+def _texts(schema: T.StructType) -> list[str]:
+    return [c.name for c in schema.fields if isinstance(c.dataType, T.StringType)]
+
+
+def _escaped(name: str) -> Column:
+    value = F.col(f"`{name}`")
+    return F.when(value.startswith("\\"), F.concat(F.lit("\\"), value)).otherwise(value)
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with a header, typed by ``schema``; a value that does not parse raises."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", CSV_NULL)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
 
+def _unescaped(name: str) -> Column:
+    value = F.col(f"`{name}`")
+    return F.when(value.startswith("\\"), F.expr(f"substring(`{name}`, 2)")).otherwise(value)
 
-def land_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV that :func:`read_csv` gives back as it was, whatever the text holds."""
+    texts = {name: _escaped(name) for name in _texts(df.schema)}
+    rows = df.withColumns(texts) if texts else df
+    rows.write.mode("overwrite").options(**_CSV, nullValue=CSV_NULL).csv(path)
+
+
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    null_value: str = CSV_NULL,
+    multi_line: bool = True,
+) -> DataFrame:
+    """CSV typed by ``schema``; a value that does not parse raises, as does another header.
+
+    The header has to name the schema's columns in their order. ``null_value`` is how the
+    file's writer spells a missing value. Text may hold line breaks; then one file is read
+    by one task, so say ``multi_line=False`` for large files that are known to have none.
+    """
+    kind = T.StructType.fromDDL(schema)
+    rows = (
+        spark.read.schema(kind)
+        .options(**_CSV, nullValue=null_value, mode="FAILFAST", enforceSchema=False)
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
+    if null_value != CSV_NULL:
+        return rows
+    texts = {name: _unescaped(name) for name in _texts(kind)}
+    return rows.withColumns(texts) if texts else rows
+
+
+def land_csv(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    null_value: str = CSV_NULL,
+    multi_line: bool = True,
+) -> DataFrame:
     """An exported raw table, with the types of its contract."""
-    return read_csv(spark, path, RAW_TABLES[table])
+    return read_csv(spark, path, RAW_TABLES[table], null_value, multi_line)
 
 
 def write_as(df: DataFrame, path: str, fmt: str) -> None:

@@ -26,3 +26,37 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(hadoop_path):
         return []
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """Data files in ``path`` and its folders, relative to it, sorted."""
+    fs, hadoop_path = _resolve(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    root = fs.makeQualified(hadoop_path).toString().rstrip("/")
+    found, listed = [], fs.listFiles(hadoop_path, True)
+    while listed.hasNext():
+        status = listed.next().getPath()
+        if not status.getName().startswith(("_", ".")):
+            found.append(status.toString().removeprefix(f"{root}/"))
+    return sorted(found)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file whole: it is written aside and renamed."""
+    fs, target = _resolve(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}._new")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(aside, target):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hadoop_path = _resolve(spark, path)
+    opened = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from starloom.sources.layers import LayerStore
 
-_STATE_SCHEMA = "resource string, cursor_column string, last_value string"
+_STATE_SCHEMA = "resource string, cursor_column string, kind string, last_value string"
 _STATE_LAYER = "state"
 
 
@@ -25,15 +25,36 @@ class CursorState:
             return None
         return self.store.read(_STATE_LAYER, resource).first()["last_value"]
 
-    def set(self, resource: str, cursor: str, value: str | None) -> None:
-        row = self.store.spark.createDataFrame([(resource, cursor, value)], _STATE_SCHEMA)
-        self.store.replace(row.coalesce(1), _STATE_LAYER, resource)
+    def set(self, resource: str, cursor: str, value: str | None, kind: str | None = None) -> None:
+        """``value`` is a mark as :func:`mark_text` gives it, ``kind`` the cursor's type."""
+        row = [(resource, cursor, kind, value)]
+        state = self.store.spark.createDataFrame(row, _STATE_SCHEMA)
+        self.store.replace(state.coalesce(1), _STATE_LAYER, resource)
+        self.store.prune(_STATE_LAYER, resource)
 
     def reset(self, resource: str) -> None:
         if self.store.exists(_STATE_LAYER, resource):
             self.set(resource, "", None)
 
 
+def mark_text(value: Column, kind: T.DataType) -> Column:
+    """A cursor value as text that means the same in every session.
+
+    A point in time is kept as microseconds since 1970 in UTC: its text would move
+    with the session's time zone.
+    """
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    return value.cast("string")
+
+
+def mark_value(mark: str, kind: T.DataType) -> Column:
+    """The cursor value that :func:`mark_text` has written."""
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(mark)))
+    return F.lit(mark).cast(kind)
+
+
 def since(
     df: DataFrame,
     cursor: str,
@@ -97,25 +118,26 @@ def cursor_load(
     """Load what is new in ``source`` and move the mark to the greatest cursor seen.
 
     Rows equal to the mark are read again, since more of them may have come. An
-    append leaves out keys the table already has from the mark on, which also
-    makes it safe to repeat a run that failed between writing rows and writing
-    the mark. A merge needs no such step.
+    append leaves out keys the table already has from the mark on or with a missing
+    cursor, which also makes it safe to repeat a run that failed between writing
+    rows and writing the mark. A merge needs no such step.
     """
     state = CursorState(store)
     kind = source.schema[cursor].dataType
     mark = state.get(f"{table}_cursor")
-    start = mark if mark is not None else initial
-    bound = None if start is None else F.lit(start).cast(kind)
+    bound = None if initial is None else F.lit(initial).cast(kind)
+    if mark is not None:
+        bound = mark_value(mark, kind)
     fresh = since(source, cursor, bound, on_null=on_null)
     known = store.exists(layer, table)
     if disposition == "append" and known:
         present = store.read(layer, table)
         if bound is not None:
-            present = present.filter(F.col(cursor) >= bound)
+            present = present.filter((F.col(cursor) >= bound) | F.col(cursor).isNull())
         fresh = fresh.join(present.select(*keys), list(keys), "left_anti")
 
     seen = Observation()
-    observed = fresh.observe(seen, F.max(cursor).cast(T.StringType()).alias("last"))
+    observed = fresh.observe(seen, mark_text(F.max(cursor), kind).alias("last"))
     if disposition == "append":
         result = store.append(observed, layer, table)
     elif disposition == "merge":
@@ -126,7 +148,7 @@ def cursor_load(
         raise ValueError(f"unknown disposition {disposition!r}")
     last = seen.get["last"]
     if last is not None:
-        state.set(f"{table}_cursor", cursor, last)
+        state.set(f"{table}_cursor", cursor, last, kind.simpleString())
     return result
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -13,23 +14,23 @@ class JdbcSource:
     """Connection settings; nothing is opened until a table is read.
 
     ``options`` go to every read (``user``, ``password``, ``driver``,
-    ``customSchema`` ...). ``fetch_size`` is how many rows come per round trip.
+    ``customSchema`` ...). ``fetch_size`` is how many rows come per round trip; None
+    leaves it to the driver, and some drivers then hold a whole table in memory.
     ``ranges`` maps a table to a column and a number of parallel range reads over
     it; choose a unique, evenly spread column, since the ranges are of equal width
-    and a hot value would put its rows into one task. ``catalog_query`` lists
-    table names and differs per database; the default is the standard
-    information schema.
+    and a hot value would put its rows into one task. A table without ranges is read
+    by one task, and a warning says so. ``catalog_query`` lists table names and differs
+    per database; the default is the standard information schema, with names qualified
+    by their schema unless ``schema`` is given.
     """
 
     spark: SparkSession
     url: str
     schema: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
-    fetch_size: int | None = None
+    fetch_size: int | None = 10_000
     ranges: Mapping[str, tuple[str, int]] = field(default_factory=dict)
-    catalog_query: str = (
-        "select table_name from information_schema.tables where table_type = 'BASE TABLE'"
-    )
+    catalog_query: str | None = None
 
     def _named(self, table: str) -> str:
         return f"{self.schema}.{table}" if self.schema else table
@@ -40,10 +41,16 @@ class JdbcSource:
 
     def tables(self) -> list[str]:
         """Names only, as many as the database has tables."""
-        query = self.catalog_query
-        if self.schema and "information_schema" in query:
-            query += f" and table_schema = '{self.schema}'"
-        return sorted(row[0] for row in self._load(query=query).collect())
+        return sorted(row[0] for row in self._load(query=self.listing()).collect())
+
+    def listing(self) -> str:
+        """The query that lists the tables, by names that :meth:`read` understands."""
+        if self.catalog_query:
+            return self.catalog_query
+        where = "from information_schema.tables where table_type = 'BASE TABLE'"
+        if self.schema:
+            return f"select table_name {where} and table_schema = '{self.schema}'"
+        return f"select table_schema || '.' || table_name {where}"
 
     def read_settings(
         self, table: str, ends: tuple[object, object] | None = None
@@ -73,5 +80,7 @@ class JdbcSource:
             column = self.ranges[table][0]
             bounds = f"select min({column}) lo, max({column}) hi from {self._named(table)}"
             ends = tuple(self._load(query=bounds).first())
+        else:
+            warnings.warn(f"{table} has no ranges and is read by one task", stacklevel=2)
         df = self._load(**self.read_settings(table, ends))
         return df.select(*columns) if columns else df

@@ -1,22 +1,32 @@
 """Layered tables: routing of models to datasets, and the write dispositions.
 
-A table is a folder of numbered versions. A replacing write goes into a new
-version beside the one being read, and counts once Spark's committer has left its
-``_SUCCESS`` mark there; a job that dies half-way leaves the old version in force.
-One writer per table at a time.
+A table is a folder with the files of its loads, under ``data/__load=<number>/``, and
+numbered versions: small files that say which loads a version holds, without which of
+their files, with which columns and partitions. Every write adds files first and a
+version last, so a job that dies half-way changes nothing, and neither does a reader
+see half of one. One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starloom.operators.merge import latest_per_key, merge_on_key
+from starloom.operators.merge import join_keys, latest_per_key, merge_on_key
 from starloom.sources import hadoop
 
+# The folder level, and column, that tells the files of one load from another's.
+LOAD = "__load"
+# Staged rows up to which a merge broadcasts the keys.
+MERGE_BROADCAST_ROWS = 1_000_000
+
 # Layer and materialisation of each model folder.
 FOLDER_ROUTES: dict[str, tuple[str, str]] = {
     "staging": ("stg", "view"),
@@ -54,6 +64,40 @@ def route(model: str, overrides: Mapping[str, Mapping[str, str]] | None = None)
     return Route(own.get("schema", layer), own.get("materialized", materialized))
 
 
+@dataclass(frozen=True)
+class Version:
+    """What is in force: loads with the files of each that no longer count."""
+
+    schema: str
+    partition_by: list[str]
+    loads: list[int]
+    removed: dict[str, list[str]] = field(default_factory=dict)
+
+    @property
+    def columns(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(c.name, c.dataType, True) for c in schema.fields])
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The table's columns and those that only the new rows have, in this order.
+
+    A column of both must have one type: a change of type is refused.
+    """
+    had = {c.name.lower(): c for c in old.fields}
+    for c in new.fields:
+        before = had.get(c.name.lower())
+        if before is not None and before.dataType != c.dataType:
+            raise ValueError(
+                f"column {c.name} is {before.dataType.simpleString()} in the table and"
+                f" {c.dataType.simpleString()} in the rows to add"
+            )
+    return T.StructType([*old.fields, *[c for c in new.fields if c.name.lower() not in had]])
+
+
 class LayerStore:
     """Tables under ``root/<prefix>_<layer>/<table>``."""
 
@@ -70,40 +114,79 @@ class LayerStore:
 
     def _versions(self, layer: str, table: str) -> list[str]:
         location = self.location(layer, table)
-        return [n for n in hadoop.child_names(self.spark, location) if n.startswith("v")]
+        return [n for n in hadoop.child_names(self.spark, location) if n.endswith(".json")]
 
-    def _current(self, layer: str, table: str) -> str | None:
-        location = self.location(layer, table)
-        for version in reversed(self._versions(layer, table)):
-            if hadoop.exists(self.spark, f"{location}/{version}/_SUCCESS"):
-                return f"{location}/{version}"
-        return None
+    def _version(self, layer: str, table: str, name: str) -> Version:
+        return Version(**json.loads(hadoop.read_text(self.spark, f"{self.location(layer, table)}/{name}")))
+
+    def version(self, layer: str, table: str) -> Version | None:
+        """The version in force."""
+        versions = self._versions(layer, table)
+        return self._version(layer, table, versions[-1]) if versions else None
 
     def exists(self, layer: str, table: str) -> bool:
-        return self._current(layer, table) is not None
+        return bool(self._versions(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
-        current = self._current(layer, table)
-        if current is None:
+        version = self.version(layer, table)
+        if version is None:
             raise FileNotFoundError(f"no table {self.dataset(layer)}.{table} under {self.root}")
-        return self.spark.read.parquet(current)
+        return self._read(layer, table, version)
+
+    def _data(self, layer: str, table: str) -> str:
+        return f"{self.location(layer, table)}/data"
+
+    def _paths(self, layer: str, table: str, version: Version) -> list[str]:
+        """Folders of whole loads, and the single files of those that lost some."""
+        paths = []
+        for load in version.loads:
+            folder = f"{self._data(layer, table)}/{LOAD}={load}"
+            gone = set(version.removed.get(str(load), []))
+            if gone:
+                files = hadoop.files_below(self.spark, folder)
+                paths += [f"{folder}/{name}" for name in files if name not in gone]
+            else:
+                paths.append(folder)
+        return paths
+
+    def _read(self, layer: str, table: str, version: Version, paths=None) -> DataFrame:
+        """Read with the columns of the version, without asking the files for them."""
+        schema = version.columns
+        paths = self._paths(layer, table, version) if paths is None else paths
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        with_load = T.StructType([*schema.fields, T.StructField(LOAD, T.LongType())])
+        reader = self.spark.read.schema(with_load).option("basePath", self._data(layer, table))
+        return reader.parquet(*paths).select(*schema.names)
+
+    def _next_load(self, layer: str, table: str) -> int:
+        names = hadoop.child_names(self.spark, self._data(layer, table))
+        return 1 + max([int(n.removeprefix(f"{LOAD}=")) for n in names if "=" in n], default=0)
+
+    def _write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> int:
+        load = self._next_load(layer, table)
+        target = f"{self._data(layer, table)}/{LOAD}={load}"
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
+        return load
+
+    def _publish(self, layer: str, table: str, version: Version) -> DataFrame:
+        versions = self._versions(layer, table)
+        number = int(versions[-1][1:-5]) + 1 if versions else 1
+        name = f"v{number:08d}.json"
+        text = json.dumps(asdict(version))
+        hadoop.write_text(self.spark, f"{self.location(layer, table)}/{name}", text)
+        return self._read(layer, table, version)
 
     def replace(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
         """Write a new version; the input may read the present one."""
-        versions = self._versions(layer, table)
-        number = int(versions[-1][1:]) + 1 if versions else 1
-        target = f"{self.location(layer, table)}/v{number:08d}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        return self._written(df, target)
-
-    def _written(self, df: DataFrame, path: str) -> DataFrame:
-        """Read back with the schema just written, without asking the files for it."""
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        load = self._write(df, layer, table, partition_by)
+        schema = nullable(df.schema).json()
+        return self._publish(layer, table, Version(schema, list(partition_by), [load]))
 
     def prune(self, layer: str, table: str, keep: int = 2) -> list[str]:
-        """Delete versions older than the newest ``keep`` complete ones.
+        """Delete versions older than the newest ``keep``, and files no version holds.
 
         Call it when no running query reads those any more; the version in force
         always stays. Returns the versions deleted.
@@ -112,23 +195,30 @@ class LayerStore:
             raise ValueError("at least one version has to stay")
         location = self.location(layer, table)
         versions = self._versions(layer, table)
-        complete = [
-            v for v in versions if hadoop.exists(self.spark, f"{location}/{v}/_SUCCESS")
-        ]
-        if len(complete) <= keep:
-            return []
-        old = [v for v in versions if v < complete[-keep]]
+        old, kept = versions[:-keep], versions[-keep:]
+        held = {load for v in kept for load in self._version(layer, table, v).loads}
         for version in old:
             hadoop.delete_folder(self.spark, f"{location}/{version}")
-        return old
+        for name in hadoop.child_names(self.spark, f"{location}/data"):
+            if "=" in name and int(name.split("=")[1]) not in held:
+                hadoop.delete_folder(self.spark, f"{location}/data/{name}")
+        return [version.removesuffix(".json") for version in old]
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Add rows to the current version, or start the table."""
-        current = self._current(layer, table)
-        if current is None:
+        """Add rows to the version in force, or start the table.
+
+        The table's partitions stay. Columns that are new to it are added, and are
+        NULL in its older rows; columns that the new rows lack are NULL in them.
+        """
+        version = self.version(layer, table)
+        if version is None:
             return self.replace(df, layer, table)
-        df.write.mode("append").parquet(current)
-        return self._written(df, current)
+        schema = widened(version.columns, nullable(df.schema))
+        load = self._write(df, layer, table, version.partition_by)
+        after = Version(
+            schema.json(), version.partition_by, [*version.loads, load], version.removed
+        )
+        return self._publish(layer, table, after)
 
     def merge(
         self,
@@ -140,25 +230,69 @@ class LayerStore:
     ) -> DataFrame:
         """Update rows whose key is in ``df`` and insert the others.
 
-        The newest row of each key is staged first: the merge reads it twice, and
-        the source should be read once.
+        The newest row of each key is staged first: the merge reads it several
+        times, and the source should be read once. Staged files are deleted after.
         """
         newest = self.stage(latest_per_key(df, keys, order_by), table)
-        return self.merge_newest(newest, layer, table, keys)
+        merged = self.merge_newest(newest, layer, table, keys)
+        self.unstage(newest)
+        return merged
 
     def merge_newest(
         self, newest: DataFrame, layer: str, table: str, keys: Sequence[str]
     ) -> DataFrame:
-        """Merge staged rows that hold each key once."""
-        if not self.exists(layer, table):
+        """Merge staged rows that hold each key once; NULL is a key like any other.
+
+        Only files that hold a changed key are written anew. They are found by a
+        scan of the key columns alone, joined with the staged keys: by broadcast,
+        so that the table isn't shuffled, unless the counted keys are many.
+        """
+        version = self.version(layer, table)
+        if version is None:
             return self.replace(newest, layer, table)
-        return self.replace(merge_on_key(self.read(layer, table), newest, keys), layer, table)
+        schema = widened(version.columns, nullable(newest.schema))
+        changed = newest.select(*keys)
+        if newest.limit(MERGE_BROADCAST_ROWS + 1).count() <= MERGE_BROADCAST_ROWS:
+            changed = F.broadcast(changed)
+        paths = self._touched(layer, table, version, changed, keys)
+        added = newest
+        if paths:
+            rewritten = self._read(layer, table, version, paths)
+            added = merge_on_key(rewritten, newest, keys, changed)
+        load = self._write(added, layer, table, version.partition_by)
+        removed = {name: list(files) for name, files in version.removed.items()}
+        for path in paths:
+            number, _, name = path.split(f"/data/{LOAD}=", 1)[1].partition("/")
+            removed.setdefault(number, []).append(name)
+        after = Version(schema.json(), version.partition_by, [*version.loads, load], removed)
+        return self._publish(layer, table, after)
+
+    def _touched(self, layer, table, version: Version, changed: DataFrame, keys) -> list[str]:
+        """The table's files with a changed key: names, as many as the table has files."""
+        present = self._read(layer, table, version)
+        source = present.select(*[F.col(k).alias(f"old_{k}") for k in keys], F.input_file_name().alias("file"))
+        found = source.join(changed, join_keys([f"old_{k}" for k in keys], keys), "left_semi")
+        names = [row["file"] for row in found.select("file").distinct().collect()]
+        data = self._data(layer, table)
+        # Spark gives file names as URIs.
+        known = {str(load): f"{data}/{LOAD}={load}" for load in version.loads}
+        paths = []
+        for name in names:
+            load, _, rest = name.rsplit(f"/data/{LOAD}=", 1)[1].partition("/")
+            paths.append(f"{known[load]}/{unquote(rest)}")
+        return sorted(paths)
 
     def stage(self, df: DataFrame, table: str, load_id: str | None = None) -> DataFrame:
         """Write staged files beside the tables, touching none of them."""
         path = f"{self.root}/staging_files/{load_id or uuid.uuid4().hex}/{table}"
         df.write.mode("overwrite").parquet(path)
-        return self._written(df, path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def unstage(self, staged: DataFrame) -> None:
+        """Delete the files of a staged frame that nothing reads any more."""
+        for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+            if "/staging_files/" in folder:
+                hadoop.delete_folder(self.spark, folder)
 
     def materialize(
         self, df: DataFrame, model: str, overrides=None, partition_by: Sequence[str] = ()

@@ -52,8 +52,10 @@ def _load(df: DataFrame, store: LayerStore, layer: str, load: TableLoad) -> int:
     """Write one table by its disposition; returns the rows written or merged."""
     if load.disposition == "merge":
         newest = store.stage(latest_per_key(df, load.keys, load.order_by), load.table)
+        rows = newest.count()
         store.merge_newest(newest, layer, load.table, load.keys)
-        return newest.count()
+        store.unstage(newest)
+        return rows
     counted = Observation()
     observed = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     if load.disposition == "replace":

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from starloom.sources import hadoop
+
+
+_local: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or a temporary folder in local mode only."""
@@ -17,10 +24,22 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="starloom-")
+    run = spark.sparkContext.applicationId
+    if run not in _local:
+        _local[run] = tempfile.mkdtemp(prefix="starloom-")
+        atexit.register(shutil.rmtree, _local[run], ignore_errors=True)
+    return _local[run]
 
 
 def new_workspace(spark: SparkSession) -> str:
     """A folder of its own for one run, never shared with another run."""
-    run = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    return f"{shared_folder(spark)}/starloom/{run}"
+    return f"{_run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/starloom/{spark.sparkContext.applicationId}"
+
+
+def remove_workspaces(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, when no frame reads them more."""
+    hadoop.delete_folder(spark, _run_folder(spark))

@@ -297,3 +297,158 @@ def test_jdbc_settings():
 def test_a_table_is_loaded_once_per_run(spark, store):
     with pytest.raises(ValueError, match="once"):
         loads.load_selected(files.FolderSource(spark, SF_DIR), store, ["region", "region"])
+
+
+def test_jdbc_defaults():
+    source = JdbcSource(None, "jdbc:x")
+    assert source.read_settings("a.t") == {"dbtable": "a.t", "fetchsize": "10000"}
+    assert "table_schema || '.' || table_name" in source.listing()
+    assert JdbcSource(None, "jdbc:x", schema="s").listing().endswith("table_schema = 's'")
+    assert JdbcSource(None, "jdbc:x", catalog_query="q").listing() == "q"
+
+
+# Versions, partitions and columns
+
+
+def test_append_keeps_partitions_and_adds_columns(spark, store):
+    first = spark.sql("select id, 'a b:c/d' as p, 'x' as a from range(6)")
+    store.replace(first, "raw", "t", partition_by=["p"])
+    second = spark.sql("select id, 'q' as p, cast(id as string) as b from range(6, 8)")
+    returned = store.append(second, "raw", "t")
+    read = store.read("raw", "t")
+    assert read.columns == returned.columns == ["id", "p", "a", "b"]
+    assert rows(read) == rows(returned)
+    assert rows(read.filter("id >= 5")) == [(5, "a b:c/d", "x", None), (6, "q", None, "6"), (7, "q", None, "7")]
+    folders = hadoop.files_below(spark, store._data("raw", "t"))
+    assert all("/p=" in name for name in folders)
+    merged = store.merge(spark.sql("select 6L as id, 'q' as p, 'm' as a"), "raw", "t", ["id"])
+    assert rows(merged.filter("p = 'q'")) == [(6, "q", "m", None), (7, "q", None, "7")]
+    assert merged.count() == 8
+    with pytest.raises(ValueError, match="column id is bigint"):
+        store.append(spark.sql("select 'text' as id"), "raw", "t")
+
+
+def test_tables_need_no_success_files(spark, store):
+    mark = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(mark, "false")
+    try:
+        store.replace(spark.range(2), "raw", "t")
+        assert store.exists("raw", "t")
+        store.append(spark.range(2, 5), "raw", "t")
+    finally:
+        conf.unset(mark)
+    assert rows(store.read("raw", "t")) == [(0,), (1,), (2,), (3,), (4,)]
+
+
+def test_an_append_that_fails_half_way_adds_nothing_and_can_be_repeated(spark, store):
+    store.replace(spark.range(3), "raw", "t")
+    half = spark.range(3, 7, 1, 4).select(
+        F.when(F.col("id") == 6, F.raise_error(F.lit("broken")).cast("bigint")).otherwise(F.col("id")).alias("id")
+    )
+    with pytest.raises(PySparkException, match="broken"):
+        store.append(half, "raw", "t")
+    # Files of a job whose last step, naming them, did not come about.
+    store._write(spark.range(50, 60), "raw", "t", [])
+    assert store.read("raw", "t").count() == 3
+    assert rows(store.append(spark.range(3, 5), "raw", "t")) == [(0,), (1,), (2,), (3,), (4,)]
+    store.prune("raw", "t", keep=1)
+    assert rows(store.read("raw", "t")) == [(0,), (1,), (2,), (3,), (4,)]
+
+
+def test_small_merge_shuffles_no_target_and_rewrites_only_files_with_changed_keys(spark, store, monkeypatch):
+    target = spark.range(0, 4000, 1, 4).selectExpr("id", "id * 2 as v")
+    store.replace(target, "raw", "t")
+    before = set(store.read("raw", "t").inputFiles())
+    plans = []
+    publish = store._write
+    monkeypatch.setattr(
+        store, "_write", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or publish(df, *a)
+    )
+    merged = store.merge(spark.sql("select 5L as id, 0L as v union all select 9999L, 1L"), "raw", "t", ["id"])
+    after = set(merged.inputFiles())
+    assert len(before & after) == 3
+    assert merged.count() == 4001
+    assert rows(merged.filter("id in (4, 5, 9999)")) == [(4, 8), (5, 0), (9999, 1)]
+    assert "Exchange hashpartitioning" not in plans[-1]
+    assert hadoop.files_below(spark, f"{store.root}/staging_files") == []
+
+
+def test_merge_twice_into_the_same_files(spark, store):
+    store.replace(spark.range(0, 100, 1, 2).selectExpr("id", "'a' as v"), "raw", "t")
+    for value in ("b", "c"):
+        store.merge(spark.sql(f"select id, '{value}' as v from range(40, 60)"), "raw", "t", ["id"])
+    found = store.read("raw", "t")
+    assert found.count() == 100
+    assert found.filter("v = 'c'").count() == 20 and found.filter("v = 'b'").count() == 0
+
+
+def test_missing_and_repeated_keys_merge_once(spark, store):
+    delta = spark.sql("select * from values (1, 1, 'a'), (1, 2, 'b'), (null, 1, 'n') as t(id, at, v)")
+    for _ in range(3):
+        merged = store.merge(delta, "raw", "t", ["id"], ["at"])
+    assert rows(merged) == [(1, 2, "b"), (None, 1, "n")]
+
+
+def test_history_of_repeated_and_missing_keys(spark):
+    def at(day):
+        return F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp")
+
+    snapshot = spark.sql("select * from values (1, 'a'), (1, 'b'), (null, 'n') as t(id, v)")
+    history = merge.scd2_start(snapshot, ["id", "v"], at(1), ["id"])
+    for day in (2, 3):
+        history = merge.scd2_merge(history, snapshot, ["id"], ["v"], at(day))
+    assert rows(history.select("id", "v", "is_current")) == [(1, "b", True), (None, "n", True)]
+
+
+# Cursor marks
+
+
+def test_the_mark_does_not_move_with_the_time_zone(spark, store):
+    df = spark.sql("select id, timestamp '2024-01-01 00:00:00 UTC' + make_interval(0,0,0,0,id) as at, 'v' as v from range(9)")
+    incremental.cursor_load(df.filter("id < 4"), store, *PLACE)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        loaded = incremental.cursor_load(df, store, *PLACE)
+        assert loaded.count() == 9
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert incremental.CursorState(store).get("t_cursor").isdigit()
+
+
+def test_rows_without_a_cursor_are_added_once(spark, store):
+    df = batch(spark, (1, 1, "a"), (2, None, "b"), (3, 5, "c"))
+    for _ in range(3):
+        loaded = incremental.cursor_load(df, store, *PLACE, on_null="include")
+    assert rows(loaded) == rows(df)
+
+
+# CSV
+
+
+NASTY = [
+    'twelve 12" disc', 'deep "sea", blue', "line one\n2,line two", "a\r\nb", " x ", "a\\", "\\N", "\\", "NULL", "", None, '"', ",", "\t", "\\\\N", "é,漢",
+]
+
+
+def test_csv_gives_back_any_text(spark, store):
+    df = spark.createDataFrame(list(enumerate(NASTY)), "n int, t string")
+    path = f"{store.root}/csv"
+    files.write_csv(df, path)
+    back = files.read_csv(spark, path, "n int, t string")
+    assert sorted(map(tuple, back.collect())) == sorted(enumerate(NASTY))
+
+
+def test_csv_of_a_database_export(spark, tmp_path):
+    export = tmp_path / "colors.csv"
+    export.write_text('ColorID,ColorName\r\n1,"12"" disc, red"\r\n2,NULL\r\n3,"two\nlines"\r\n')
+    found = files.land_csv(spark, str(export), "warehouse__Colors", null_value="NULL")
+    assert rows(found) == [(1, '12" disc, red'), (2, None), (3, "two\nlines")]
+
+
+def test_csv_with_another_header_raises(spark, tmp_path):
+    export = tmp_path / "colors.csv"
+    export.write_text("ColorName,ColorID\nred,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.land_csv(spark, str(export), "warehouse__Colors").collect()

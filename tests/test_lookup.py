@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from checks.raw_layer import RawLayer
 from checks.registry import Context
 from starloom.operators.lookup import (
-    HOT_KEYS_MAX,
     JoinLimits,
     Lookup,
     fits_broadcast,
     hot_keys,
     left_lookups,
+    near_dims,
 )
 from starloom.operators.metrics import customers_orders_left
 from starloom.operators.quality import relationships
@@ -58,7 +58,7 @@ def test_rows_of_a_hot_key_are_spread(spark, size):
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 2, F.col("id")).alias("k")
     )
     dim = spark.range(10_000).select(F.col("id").alias("dk"), F.col("id").cast("string").alias("v"))
-    hot = hot_keys(fact, "k", SHUFFLE_ONLY)
+    hot = hot_keys(fact, ["k"], SHUFFLE_ONLY)["k"].collect()
     assert {key for key, _ in hot} == {7, None}
     assert all(salts > 1 for _, salts in hot)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -113,15 +113,51 @@ def test_hot_keys_of_many_partitions_and_of_none(spark):
     spread = spark.range(0, 90_000, 1, 40).selectExpr(
         "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as k"
     )
-    found = dict(hot_keys(spread, "k", JoinLimits(hot_share=0.1)))
+    found = dict(map(tuple, hot_keys(spread, ["k"], JoinLimits(hot_share=0.1))["k"].collect()))
     assert set(found) == {7, None}
     assert all(13 <= salts <= 14 for salts in found.values())
-    assert hot_keys(spread.limit(0), "k") == []
+    assert hot_keys(spread.limit(0), ["k"]) == {}
 
 
-def test_at_most_a_bounded_number_of_keys_reaches_the_driver(spark):
-    many = spark.range(20_000).select((F.col("id") % 2000).alias("k"))
-    assert len(hot_keys(many, "k", JoinLimits(hot_share=1e-9))) <= HOT_KEYS_MAX
+def test_as_many_keys_are_hot_as_hold_more_than_a_partition(spark):
+    """Five thousand keys, all of them twice as hot as the limit, and all of them salted."""
+    many = spark.range(0, 100_000, 1, 4).select((F.col("id") % 5000).alias("k"), "id")
+    found = hot_keys(many, ["k"], JoinLimits(hot_share=1 / 10_000))["k"]
+    assert found.count() == 5000 and found.filter("__salts > 1").count() == 5000
+    dim = spark.range(5000).select(F.col("id").alias("dk"), F.col("id").cast("string").alias("v"))
+    limits = JoinLimits(broadcast_rows=0, hot_share=1 / 10_000)
+    joined = left_lookups(many, [Lookup(dim, "k", "dk", {"v": "v"})], ["id"], limits)
+    assert joined.filter("v = cast(k as string)").count() == 100_000
+
+
+def test_hot_keys_of_all_columns_take_one_scan(spark, tmp_path):
+    from starloom.operators import lookup as module
+
+    fact = spark.range(1000).selectExpr("id", "id % 2 as a", "id % 3 as b", "id % 400 as c")
+    taken = []
+    written = module._written
+    module._written = lambda df, path, rows: taken.append(path) or written(df, path, rows)
+    try:
+        found = hot_keys(fact, ["a", "b", "c"], SHUFFLE_ONLY)
+    finally:
+        module._written = written
+    assert set(found) == {"a", "b"}
+    assert sum(path.endswith("/sketches") for path in taken) == 1
+
+
+def test_values_of_any_type_are_measured(spark):
+    limits = JoinLimits(broadcast_bytes=100_000)
+    for value in ("cast(repeat('x', 2000) as binary)", "array_repeat(id, 500)", "struct(repeat('x', 2000))", "map('k', repeat('x', 2000))"):
+        assert not fits_broadcast(spark.range(100).selectExpr("id", f"{value} as v"), limits)
+
+
+def test_all_broadcasts_of_a_plan_are_bounded(spark):
+    fact = spark.range(10).withColumnRenamed("id", "k")
+    dims = [spark.range(100).selectExpr("id as dk", f"repeat('x', 500) as v{i}") for i in range(3)]
+    lookups = [Lookup(dim, "k", "dk", {f"v{i}": f"v{i}"}) for i, dim in enumerate(dims)]
+    assert len(near_dims(lookups, JoinLimits())) == 3
+    assert len(near_dims(lookups, JoinLimits(plan_bytes=120_000))) == 2
+    assert left_lookups(fact, lookups, ["k"], JoinLimits(plan_bytes=120_000)).count() == 10
 
 
 def test_size_is_measured_before_broadcasting(spark):

@@ -14,7 +14,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
 def test_equals_sql(spark, duck, name):
     df = entry_point.queries()[name](spark, SF_DIR)
     assert differences(df, duck, entry_point.oracle_sql()[name]) == []

@@ -2,10 +2,15 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from checks.raw_layer import RawLayer
 from starloom.operators import metrics, quality
-from tests.conftest import rows
+from starloom.operators.lookup import JoinLimits
+from starloom.plans.integration import city_flatten, dim_customer
+from starloom.plans.staging import StagingViews
+from tests.conftest import SF_DIR, rows
 
 
 def test_unique_and_not_null_find_failures_only(spark):
@@ -98,7 +103,9 @@ def test_revenue_is_exact(spark):
 
 def test_nothing_sold_has_no_fill_rate(spark):
     nothing = lines(spark).filter("quantity = 0")
-    assert metrics.quantity_sold_picked(nothing).first()["fill_rate"] is None
+    items = spark.createDataFrame([(0, "none")], "stock_item_key long, stock_item_name string")
+    nothing = nothing.withColumn("stock_item_key", F.lit(1).cast("long"))
+    assert metrics.quantity_sold_picked(nothing, items).first()["fill_rate"] is None
 
 
 def test_late_and_open_lines(spark):
@@ -113,12 +120,10 @@ def test_cycle_may_be_negative_and_reaches_before_the_calendar(spark):
 
 
 def test_retention_counts_customers_of_the_next_year(spark):
-    dates = spark.sql(
-        "select * from values ('20240331', 2024), ('20240401', 2025), ('20250401', 2026)"
-        " as t(date_key, fiscal_year)"
-    )
-    found = rows(metrics.customer_retention(lines(spark), dates))
-    assert found == [(2024, 1, 1, 1.0), (2025, 1, 0, 0.0)]
+    """Orders of days before the calendar's first count too."""
+    found = {r["fiscal_year"]: tuple(r)[1:] for r in metrics.customer_retention(lines(spark)).collect()}
+    assert found[2024] == (1, 1, 1.0) and found[2025][0] == 1
+    assert found[2000] == (1, 0, 0.0)
 
 
 def test_customers_without_lines_stay_unless_on_hold(spark):
@@ -136,3 +141,31 @@ def test_customers_without_lines_stay_unless_on_hold(spark):
 
 def test_high_value_customers(spark):
     assert rows(metrics.high_value_customers(lines(spark), more_than=1)) == [(10,)]
+
+
+@pytest.mark.parametrize("limits", [JoinLimits(), JoinLimits(broadcast_rows=0, hot_share=0.05)])
+@pytest.mark.parametrize(
+    "table, key",
+    [
+        ("application__Cities", "CityID"),
+        ("application__StateProvinces", "StateProvinceID"),
+        ("application__Countries", "CountryID"),
+    ],
+)
+def test_repeated_places_repeat_customers_in_both_city_roles(spark, table, key, limits):
+    raw = dict(RawLayer(spark, SF_DIR.replace("0.01", "0.001")).items())
+    one = raw[table].orderBy(key).limit(1)
+    raw[table] = raw[table].unionByName(one)
+    stg = StagingViews(raw, F.lit("2024-02-01").cast("timestamp"))
+    cities = {
+        r["city_key"]: r["count"]
+        for r in city_flatten(stg, limits).groupBy("city_key").count().collect()
+    }
+    people = {r[0]: r[1] for r in stg["stg_application_person"].groupBy("person_key").count().collect()}
+    expected = sum(
+        cities.get(r["delivery_city_key"], 1) * cities.get(r["postal_city_key"], 1)
+        * people.get(r["primary_contact_person_key"], 1) * people.get(r["alternate_contact_person_key"], 1)
+        for r in stg["stg_sales_customer"].collect()
+    )
+    found = dim_customer(stg, limits).count()
+    assert found == expected
