@@ -5,8 +5,9 @@ text's tokens (runs of letters, runs of digits, single marks) near a digit or ``
 sequences, a token's features are the shapes of itself and its neighbours, and its states are
 outside, or begin / inside of a kind. It is trained here, by maximum likelihood, from a small
 labelled table: ``EXAMPLES`` below, and ``TRAIN_LINES`` lines of the documents (those with the
-least hash, of all lines up to ``TRAIN_LINE_CHARS`` with a digit or ``@``) labelled by the patterns. Decoding is Viterbi over
-numpy batches of whole texts. Its spans are added where they overlap no base span and hold what
+least hash, of all lines up to ``TRAIN_LINE_CHARS`` with a digit or ``@``) labelled by the patterns,
+but for lines in which the patterns leave a long number over. Decoding is Viterbi over numpy
+batches of whole texts. Its spans are added where they overlap no base span and hold what
 their kind must: 9 to 15 digits for a phone, a valid check digit for a card, and so on.
 
 Defined cases: null and empty texts have no spans; a repeated document gets a row each; an empty
@@ -67,6 +68,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_LONG_NUMBER = re.compile(r"[0-9](?:[ ().-]{0,3}[0-9]){8}")
 _TRIGGER = re.compile(r"[0-9@]+|[\[(]at[\])]")
 _SURE = re.compile(r"[0-9@]|[\[(]at[\])]")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
@@ -310,8 +312,12 @@ def _states(tokens: list[Span], spans: dict[str, list[Span]]) -> list[int]:
 def train(lines: list[str]) -> Field:
     """The field from the labelled table: the examples, and lines labelled by the patterns."""
     shapes, sequences, states = Shapes(), [], []
-    labelled = [(text, {kind: [(text.index(part), text.index(part) + len(part))]} if kind else {}) for text, part, kind in EXAMPLES]
-    labelled = labelled * 4 + [(line, base_spans(line)) for line in lines]
+    labelled = [
+        (text, {kind: [(text.index(part), text.index(part) + len(part))]} if kind else {})
+        for text, part, kind in EXAMPLES
+    ]
+    by_pattern = [(line, base_spans(line)) for line in lines]
+    labelled = labelled * 4 + [(line, spans) for line, spans in by_pattern if _certain(line, spans)]
     for text, spans in labelled:
         for window in windows(text):
             tokens, codes = shapes.read(text, window)
@@ -322,6 +328,14 @@ def train(lines: list[str]) -> Field:
     return Field.train(sequences, states)
 
 
+def _certain(line: str, spans: dict[str, list[Span]]) -> bool:
+    """Whether the patterns leave no long number over, which may be one they don't know."""
+    rest = list(line)
+    for start, end in (span for found in spans.values() for span in found):
+        rest[start:end] = "x" * (end - start)
+    return not _LONG_NUMBER.search("".join(rest))
+
+
 def training_lines(docs: DataFrame, text: str = "text", lines: int = TRAIN_LINES) -> list[str]:
     """At most ``lines`` distinct lines with a digit or ``@``, those with the least hash."""
     line = F.explode(F.filter(F.split(text_of(docs, text), "\n"), lambda x: x.rlike("[0-9@]")))
