@@ -11,7 +11,8 @@
    come up by increasing common prefix, and the search stops at ``LENGTH``: suffixes with no
    border between them share that much, and their windows are repeats.
 4. An anchor with more than ``MAX_CONTEXTS`` contexts isn't put into one batch: its windows are
-   counted by a shuffle on their hashes (128 bits) instead.
+   counted by their hashes (128 bits) instead, up to ``MAX_WINDOWS`` where they are and beyond
+   that by a shuffle on the hash.
 
 A context that occurs in two places is a repeat as it stands, as is a text that occurs twice.
 Texts are stood for by 64-bit hashes, contexts too (with the anchor's). Defined cases: null and
@@ -35,7 +36,8 @@ from starloom.llm.common import BROADCAST_ROWS, join_measured, text_of, written
 LENGTH = 200
 GRAM = 32
 MAX_CONTEXTS = 500
-BATCH_BYTES = 1 << 16
+MAX_WINDOWS = 4_000_000
+BATCH_BYTES = 1 << 15
 CHUNK = 1 << 22
 FLUSH_ROWS = 50_000
 
@@ -166,28 +168,38 @@ def contexts(classes: DataFrame, places: DataFrame, length: int) -> DataFrame:
 
 
 def suffixes(text: np.ndarray, length: int) -> np.ndarray:
-    """The places in the order of the ``length`` (or more) bytes from each on."""
+    """The places in the order of the ``length`` (or more) bytes from each on.
+
+    Sorted by 8 bytes first, then by twice as many, and so on; places that are alone in
+    their order stay where they are.
+    """
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, dtype=np.uint8)]).tobytes()
     words = np.ndarray((n,), dtype=">u8", buffer=padded, strides=(1,)).astype(np.uint64)
     order = np.argsort(words, kind="stable")
+    in_order = words[order]
+    # The rank of a place is where its equals begin; the slots of those that have any.
+    new = np.concatenate([[True], in_order[1:] != in_order[:-1]])
+    slots = np.arange(n)
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, slots, 0))
     width = 8
-    rank = _ranks(words[order], order)
-    while width < length and rank.max() < n - 1:
-        after = np.concatenate([rank[width:] + 1, np.zeros(min(width, n), dtype=np.int64)])[:n]
-        both = rank * (n + 1) + after
-        order = np.argsort(both, kind="stable")
-        rank = _ranks(both[order], order)
+    while width < length:
+        alone = new & np.concatenate([new[1:], [True]])
+        slots, new = slots[~alone], new[~alone]
+        if not len(slots):
+            break
+        places = order[slots]
+        after = places + width
+        key = rank[places] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(key, kind="stable")
+        order[slots], key = places[by], key[by]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[order[slots]] = np.maximum.accumulate(np.where(new, slots, 0))
         width *= 2
     return order
 
 
-def _ranks(in_order: np.ndarray, order: np.ndarray) -> np.ndarray:
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(in_order[1:] != in_order[:-1])])
-    return rank
-
-
 def prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether the common prefix of each suffix and the one before it is under ``length``.
 
@@ -197,11 +209,11 @@ def prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     last = text[order - 1]
     letters, coded = np.unique(last, return_inverse=True)
     # How often each letter is among the first j of the transform.
-    seen = np.zeros((n + 1, len(letters)), dtype=np.int32)
+    seen = np.zeros((n + 1, len(letters)), dtype=np.uint16 if n < 1 << 16 else np.int32)
     seen[np.arange(1, n + 1), coded] = 1
     np.cumsum(seen, axis=0, out=seen)
     totals = seen[n]
-    first = np.cumsum(totals) - totals
+    first = np.cumsum(totals, dtype=np.int64) - totals
     border = np.zeros(n, dtype=bool)
     # Suffixes with different first letters have nothing in common.
     frontier = np.unique(first)
@@ -240,6 +252,61 @@ def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
     ]
 
 
+class LargeGroup:
+    """The windows of an anchor with very many contexts, as hashes."""
+
+    def __init__(self, length: int, most: int):
+        self.length = length
+        self.most = most
+        # (anchor, code, number of windows, copies) of each context, and its windows' hashes.
+        self.contexts: list[tuple] = []
+        self.hashes: list[bytes] = []
+        self.windows = 0
+        self.full = False
+
+    def add(self, group: list[tuple]) -> None:
+        for anchor, code, context, n in group:
+            count = len(context) - self.length + 1
+            self.contexts.append((anchor, code, count, n))
+            self.windows += count
+            self.hashes += [
+                xxhash.xxh3_128_digest(context[at : at + self.length]) for at in range(count)
+            ]
+
+    def give_rows(self, out: list[list]) -> None:
+        """Too many to be counted here: all windows so far go out as rows."""
+        if not self.full and self.windows <= self.most:
+            return
+        self.full = True
+        at = 0
+        for anchor, code, count, n in self.contexts:
+            for start, digest in enumerate(self.hashes[at : at + count]):
+                high, low = np.frombuffer(digest, dtype="<i8").tolist()
+                out.append([anchor, code, start, int(n), high, low])
+            at += count
+        self.contexts, self.hashes, self.windows = [], [], 0
+
+    def give(self, out: list[list]) -> None:
+        """Spans of what is held, or its rows if others of the group are rows already."""
+        if self.full or self.windows > self.most:
+            self.full = True
+            return self.give_rows(out)
+        hashes = np.frombuffer(b"".join(self.hashes), dtype="<u8").reshape(-1, 2)
+        copies = np.repeat([n for *_, n in self.contexts], [c for _, _, c, _ in self.contexts])
+        order = np.lexsort((hashes[:, 0], hashes[:, 1]))
+        new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]).any(axis=1)])
+        block = np.cumsum(new) - 1
+        many = np.empty(len(order), dtype=bool)
+        many[order] = (np.bincount(block, copies[order]) > 1)[block]
+        at = 0
+        for anchor, code, count, _ in self.contexts:
+            hit = np.flatnonzero(many[at : at + count])
+            at += count
+            if len(hit):
+                for part in np.split(hit, np.flatnonzero(np.diff(hit) > self.length) + 1):
+                    out.append([anchor, code, int(part[0]), int(part[-1]) + self.length, None, None])
+
+
 _FOUND = "anchor long, code long, start int, end int, high long, low long"
 
 
@@ -260,12 +327,6 @@ def expand(counted: DataFrame, length: int) -> DataFrame:
                 for part in np.split(hit, gaps):
                     out.append([anchor, code, int(part[0]), int(part[-1]) + length, None, None])
 
-    def windows(anchor, code, context, n, out: list[list]) -> None:
-        for at in range(len(context) - length + 1):
-            code128 = xxhash.xxh3_128_intdigest(context[at : at + length])
-            high, low = (code128 >> 64) - (1 << 63), (code128 & (1 << 64) - 1) - (1 << 63)
-            out.append([anchor, code, at, int(n), high, low])
-
     def record(out: list[list]) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
@@ -276,16 +337,19 @@ def expand(counted: DataFrame, length: int) -> DataFrame:
         size = 0
         out: list[list] = []
 
-        def close(group: list[tuple]) -> None:
+        def close(group: list[tuple], large: LargeGroup | None) -> None:
             nonlocal waiting, size
-            if len(group) == 1:
+            if large:
+                large.add(group)
+                large.give(out)
+            elif len(group) == 1:
                 # One context: no other text has this anchor in other surroundings.
                 spans(group, [np.zeros(0, dtype=np.int64)], out)
-                return
-            waiting += group
-            size += sum(len(row[2]) for row in group)
-            if size >= BATCH_BYTES:
-                settle()
+            else:
+                waiting += group
+                size += sum(len(row[2]) for row in group)
+                if size >= BATCH_BYTES:
+                    settle()
 
         def settle() -> None:
             nonlocal waiting, size
@@ -295,25 +359,25 @@ def expand(counted: DataFrame, length: int) -> DataFrame:
             waiting, size = [], 0
 
         group: list[tuple] = []
-        anchor, hot = None, False
+        anchor, large = None, None
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("anchor", "code", "context", "n")]
             for row in zip(*columns, strict=True):
                 if row[0] != anchor:
-                    if group:
-                        close(group)
-                    group, anchor, hot = [], row[0], False
+                    if group or large:
+                        close(group, large)
+                    group, anchor, large = [], row[0], None
                 group.append(row)
-                if hot or len(group) > MAX_CONTEXTS:
-                    hot = True
-                    for member in group:
-                        windows(*member, out)
+                if len(group) > MAX_CONTEXTS:
+                    large = large or LargeGroup(length, MAX_WINDOWS)
+                    large.add(group)
+                    large.give_rows(out)
                     group = []
                 if len(out) > FLUSH_ROWS:
                     yield record(out)
                     out.clear()
-        if group:
-            close(group)
+        if group or large:
+            close(group, large)
         settle()
         if out:
             yield record(out)
