@@ -46,10 +46,9 @@ def cut(
         encoder = encoders.counter(tokenizer)
         for batch in batches:
             keys, numbers, starts, lengths, sums = [], [], [], [], []
-            for key, whole in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
-            ):
-                ids = np.append(encoder.encode(whole), np.uint32(END_ID)).astype("<u4")
+            ids_of = encoder.encode_all(batch.column("text").to_pylist())
+            for key, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
+                ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for number, start in enumerate(range(0, len(ids), capacity)):
                     piece = ids[start : start + capacity]
                     keys.append(key)
