@@ -55,11 +55,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: later reads do not depend on executors."""
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """The frame as a table in the shared folder: later reads do not depend on executors.
+
+    ``files`` is how many a table of known size needs at most.
+    """
     spark = df.sparkSession
     path = f"{new_workspace(spark)}/{name}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,9 +14,10 @@ D = (a + b) (100 - PERCENT) / (100 + PERCENT) shingles.
    with one of them: first their bit sketches (parity bits, whose Hamming distance is a lower
    bound of the difference), then the sets themselves, from the whole texts. The links give
    connected components.
-3. In groups that still hold several components, sets of different components are compared in the
-   same way: pairs in groups of up to ``SMALL``, and in blocks with sketches at hand in
-   larger ones. So no link is lost, and linked members of a large group aren't paired.
+3. In groups that hold several components, members are compared with another one, to join near
+   copies whose first one was far off. What then is still in different components of a group is
+   compared, all of it: sketches in blocks, and the sets of the pairs that are left. So no link
+   is lost, and linked members of a large group aren't paired.
 
 Equal texts are one class, by hash, from the start. Texts are stood for by 64-bit hashes, and
 shingles too; a band's region number is such that a set with too few regions in use has a
@@ -43,10 +44,10 @@ PERCENT = 75
 WIDTH = 5
 FIRST_BAND = 16
 BAND_FACTOR = 4
-SAMPLE_DOCS = 10_000
+SAMPLE_DOCS = 20_000
 SAMPLE_COMMON = 3
-SMALL = 64
 BLOCK = 512
+FIRST_KEYS = 16
 MEMORY_WORDS = 400_000
 MAX_SKETCH_BITS = 8192
 FLUSH_ROWS = 200_000
@@ -91,6 +92,11 @@ class Shingler:
 _shingler = Shingler()
 
 
+def shingles_of(text: str) -> np.ndarray:
+    """By the worker's own shingler, whose words stay from task to task."""
+    return _shingler(text)
+
+
 def most_different(a: int, b: int) -> int:
     """Shingles in which linked sets of these sizes can differ."""
     return (a + b) * (100 - PERCENT) // (100 + PERCENT)
@@ -140,7 +146,7 @@ def keys(shingles: np.ndarray, common: np.ndarray | None) -> np.ndarray:
 def sketch(shingles: np.ndarray) -> bytes:
     """Parity bits of the set: each shingle flips one."""
     bits = 64
-    while bits < min(2 * len(shingles), MAX_SKETCH_BITS):
+    while bits < min(4 * len(shingles), MAX_SKETCH_BITS):
         bits *= 2
     places = (mixed(shingles + _Q) & np.uint64(bits - 1)).astype(np.int64)
     odd = (np.bincount(places, minlength=bits) & 1).astype(np.uint8)
@@ -187,7 +193,7 @@ def give(classes: DataFrame, common: np.ndarray | None) -> DataFrame:
                 if key in seen:
                     continue
                 seen.add(key)
-                shingles = _shingler(texts[i].as_py())
+                shingles = shingles_of(texts[i].as_py())
                 ids.append(key)
                 sizes.append(len(shingles))
                 sketches.append(sketch(shingles))
@@ -316,8 +322,8 @@ def _linked(pairs: DataFrame, sketches: DataFrame, classes: DataFrame) -> DataFr
             keep, left, right = [], batch.column("t_a"), batch.column("t_b")
             for i, a in enumerate(batch.column("a").to_pylist()):
                 if a != last:
-                    one, last = _shingler(left[i].as_py()), a
-                other = _shingler(right[i].as_py())
+                    one, last = shingles_of(left[i].as_py()), a
+                other = shingles_of(right[i].as_py())
                 both = len(np.intersect1d(one, other, assume_unique=True))
                 keep.append(100 * both >= PERCENT * (len(one) + len(other) - both))
             mask = pa.array(keep, pa.bool_())
@@ -328,53 +334,98 @@ def _linked(pairs: DataFrame, sketches: DataFrame, classes: DataFrame) -> DataFr
     return written(near.mapInArrow(run, "a long, b long"), "linked")
 
 
-def _blocks(large: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of different components in large groups that their sketches don't rule out."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _blocks(open_groups: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of different components in a group that their sketches don't rule out.
+
+    A group of more than ``BLOCK`` is dealt to blocks, and every two blocks are compared.
+    Near copies are together in many groups; a pair is given by the one of the least key,
+    and by others only where this isn't among either's ``FIRST_KEYS`` least.
+    """
+    first_keys = open_groups.groupBy("id").agg(
+        F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("first_keys")
+    )
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = (
-        large.join(sketches.select("id", "sketch"), "id")
-        .withColumn("blocks", blocks)
+        open_groups.join(first_keys.join(sketches.select("id", "sketch"), "id"), "id")
+        .withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "key", "id", "n", "component", "sketch", "block",
+            "key",
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
+            *("id", "n", "component", "block", "sketch", "first_keys"),
         )
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high")
     )
 
-    def compare(group: pa.Table) -> pa.Table:
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
-        ids, n, component, block = (
-            group[c].to_numpy() for c in ("id", "n", "component", "block")
-        )
-        sketches = group["sketch"].to_pylist()
-        words = min(map(len, sketches)) // 8
-        bits = np.stack([folded(np.frombuffer(s, np.uint64), words) for s in sketches])
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        a, b = [], []
-        for i in left:
-            apart = np.bitwise_count(bits[i] ^ bits[right]).sum(axis=1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+            ends = _group_ends(rows)
+            # The last group may go on in the next batch.
+            yield from _compared(rows, ends[:-1])
+            rest = rows.slice(int(ends[-2]) if len(ends) > 1 else 0)
+        if rest is not None:
+            yield from _compared(rest, _group_ends(rest))
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def _group_ends(rows: pa.Table) -> np.ndarray:
+    """Where each group of sorted rows ends; the first number is 0."""
+    same = np.ones(len(rows) - 1, dtype=bool)
+    for name in ("key", "low", "high"):
+        values = rows[name].to_numpy()
+        same &= values[1:] == values[:-1]
+    return np.concatenate([[0], np.flatnonzero(~same) + 1, [len(rows)]])
+
+
+def _compared(rows: pa.Table, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+    ids, n, component, block, low, high = (
+        rows[c].to_numpy() for c in ("id", "n", "component", "block", "low", "high")
+    )
+    sketches, keys = rows["sketch"], rows["key"].to_numpy()
+    out_a, out_b = [], []
+    for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        found = sketches.slice(start, end - start).to_pylist()
+        words = min(map(len, found)) // 8
+        bits = np.stack([folded(np.frombuffer(s, np.uint64), words) for s in found])
+        first_keys = [set(k) for k in rows["first_keys"].slice(start, end - start).to_pylist()]
+        key = keys[start]
+        left = start + np.flatnonzero(block[start:end] == low[start])
+        right = start + np.flatnonzero(block[start:end] == high[start])
+        for at in range(0, len(left), 64):
+            some = left[at : at + 64, None]
+            apart = np.bitwise_count(bits[some[:, 0] - start][:, None] ^ bits[right - start]).sum(axis=2)
             fits = (
-                (component[i] != component[right])
-                & (apart <= (n[i] + n[right]) * (100 - PERCENT) // (100 + PERCENT))
-                & (np.minimum(n[i], n[right]) * 100 >= np.maximum(n[i], n[right]) * PERCENT)
+                (component[some] != component[right])
+                & (apart <= most_different(n[some].astype(np.int64), n[right]))
+                & (np.minimum(n[some], n[right]) * 100 >= np.maximum(n[some], n[right]) * PERCENT)
             )
-            if low == high:
-                fits &= right > i
-            hit = right[fits]
-            a.append(np.minimum(ids[i], ids[hit]))
-            b.append(np.maximum(ids[i], ids[hit]))
-        none = [np.zeros(0, dtype=np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
-
-    return dealt.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long")
-
-
-def _across(members: DataFrame, first_links: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that have a region in common."""
-    found = written(components(first_links), "components")
+            if low[start] == high[start]:
+                fits &= some < right
+            i, j = np.nonzero(fits)
+            pairs = [
+                (x, y)
+                for x, y in zip(some[i, 0].tolist(), right[j].tolist(), strict=True)
+                if not any(k < key for k in first_keys[x - start] & first_keys[y - start])
+            ]
+            if pairs:
+                one, other = (ids[list(side)] for side in zip(*pairs, strict=True))
+                out_a.append(np.minimum(one, other))
+                out_b.append(np.maximum(one, other))
+    if out_a:
+        columns = [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))]
+        yield pa.record_batch(columns, ["a", "b"])
+
+
+def _open_groups(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of groups that hold several components so far, with these."""
+    found = written(components(links), "components")
     members = join_measured(members.select("key", "id", "n"), found, ["id"]).withColumn(
         "component", F.coalesce("component", "id")
     )
@@ -389,18 +440,26 @@ def _across(members: DataFrame, first_links: DataFrame, sketches: DataFrame) ->
         .where("size > 2 and least < most")
         .select("key", "size")
     )
-    open_groups = written(members.join(sizes, "key"), "open")
-    few = open_groups.where(F.col("size") <= SMALL)
-    one = few.select("key", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "component")])
-    other = few.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component")])
-    pairs = (
-        one.join(other, "key")
-        .where("id_a < id_b and component_a <> component_b")
-        .where(_sizes_fit("n_a", "n_b"))
-        .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    return written(members.join(sizes, "key"), "open")
+
+
+def _more_stars(open_groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) of one member of each group and those that aren't in its component.
+
+    In groups of the same members, which near copies have by the hundred, the one is
+    another in every 32 groups.
+    """
+    place = F.xxhash64("id", F.col("key").bitwiseAND(F.lit(31)), F.lit(1))
+    one = F.min(F.struct(place.alias("place"), "id", "n", "component"))
+    centers = open_groups.groupBy("key").agg(one.alias("one"))
+    return (
+        open_groups.join(centers, "key")
+        .withColumn("n_one", F.col("one.n"))
+        .where("component <> one.component")
+        .where(_sizes_fit("n", "n_one"))
+        .select(F.least("id", "one.id").alias("a"), F.greatest("id", "one.id").alias("b"))
+        .distinct()
     )
-    large = open_groups.where(F.col("size") > SMALL)
-    return pairs.union(_blocks(large, sketches)).distinct()
 
 
 def classes_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -423,9 +482,13 @@ def classes_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         .select(F.least("id", "first").alias("a"), F.greatest("id", "first").alias("b"))
         .distinct()
     )
-    first_links = _linked(stars, sketches, classes)
-    more_links = _linked(_across(members, first_links, sketches), sketches, classes)
-    found = written(components(first_links.union(more_links)), "components")
+    links = _linked(stars, sketches, classes)
+    open_groups = _open_groups(members, links)
+    links = links.union(_linked(_more_stars(open_groups), sketches, classes))
+    open_groups = _open_groups(open_groups, links)
+    pairs = _blocks(open_groups, sketches).distinct()
+    links = links.union(_linked(pairs, sketches, classes))
+    found = written(components(links), "components")
     ids = docs.select(F.xxhash64(whole).alias("id"), docs[doc_id].alias("doc_id"))
     least = ids.groupBy("id").agg(F.min("doc_id").alias("least"))
     rows = written(

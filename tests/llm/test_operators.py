@@ -251,9 +251,10 @@ def plain_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [suffix_dedup.MAX_CONTEXTS, 1])
-def test_suffix_dedup(spark, monkeypatch, most):
+@pytest.mark.parametrize("most, windows", [(500, 10**6), (1, 10**6), (1, 0), (1, 900)])
+def test_suffix_dedup(spark, monkeypatch, most, windows):
     monkeypatch.setattr(suffix_dedup, "MAX_CONTEXTS", most)
+    monkeypatch.setattr(suffix_dedup, "MAX_WINDOWS", windows)
     monkeypatch.setattr(suffix_dedup, "CHUNK", 5000)
     shared = prose(30, 60)
     rows = awkward([(20 + i, prose(40 + i, 60) + shared[i : 260 + 7 * i] + prose(60 + i, 30)) for i in range(9)])
@@ -319,10 +320,9 @@ def edited(text: str, seed: int, changes: int) -> str:
     return " ".join(words)
 
 
-@pytest.mark.parametrize("small", [jaccard_join.SMALL, 2])
-def test_jaccard_join(spark, monkeypatch, small):
-    monkeypatch.setattr(jaccard_join, "SMALL", small)
-    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+@pytest.mark.parametrize("block", [jaccard_join.BLOCK, 8])
+def test_jaccard_join(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rows = awkward([(100 + i, edited(prose(50 + i % 4, 60 + 45 * (i % 4)), i, i % 9)) for i in range(90)])
     # A chain whose ends aren't similar, sizes at both sides of a band, tiny sets.
     chain = prose(90, 120)
