@@ -6,7 +6,16 @@ binomial tail, that at most ``alpha / rules`` of such documents are rejected. Th
 chance ``delta`` is divided by the number of (stratum, rule) tests (Bonferroni); candidates
 of one rule are nested, so testing them from the most lenient on needs no further division.
 Among the valid ones the cutoff with the most bad rejections, less ``GOOD_WEIGHT`` times the
-good ones, is used, and none if that gains nothing.
+good ones, is used, and none if that gains nothing. ``cutoffs`` does so, and is what the SQL of
+op3_quality_rules states.
+
+``union_cutoffs`` bounds the rejections of all rules together instead, with ``alpha`` undivided:
+bad holdout documents that pass the base rule and one in ``SELECT_ONE_IN`` of the good ones put
+the candidates of a stratum in an order, least harm first; the other good ones then prove how far
+in that order the union of the cutoffs may go. The unions are nested and their order doesn't
+depend on the documents that prove them, so ``delta`` is divided by the number of strata only, and
+ln(delta / strata) / ln(1 - alpha) proving documents are enough for a first cutoff. Of the proven
+unions the one with the best gain over all labels is used. ``keep_good_documents`` works this way.
 
 Defined cases: null text has no words and fails the base rule. A null stratum is a stratum of
 its own; a stratum without enough holdout rows gets no cutoffs. Labels with null ids or null
@@ -34,6 +43,7 @@ GRIDS: dict[str, list[float]] = {
 ALPHA = 0.02
 DELTA = 0.05
 GOOD_WEIGHT = 10
+SELECT_ONE_IN = 4
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -189,6 +199,122 @@ def cutoffs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> D
     return chosen.groupBy("stratum").agg(F.map_from_entries(entries).alias("cutoffs"))
 
 
+def _reached(candidates: Column) -> Column:
+    """Place of the first candidate, from 1, that rejects a document; 0 if none does."""
+    values = rule_values()
+
+    def above(c: Column) -> Column:
+        value = F.lit(None).cast("double")
+        for rule in GRIDS:
+            value = F.when(c["rule"] == rule, values[rule]).otherwise(value)
+        return value > c["cutoff"]
+
+    return F.array_position(F.transform(candidates, above), True)
+
+
+def union_cutoffs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """As ``cutoffs``, from a written table (label_id, stratum, good, metrics)."""
+    values = rule_values()
+    # One part of the good documents orders the candidates, the other proves them.
+    ordering = F.col("good") & (F.pmod(F.xxhash64("label_id"), F.lit(SELECT_ONE_IN)) == 0)
+    proving = F.col("good") & ~ordering
+    bad = ~F.col("good") & ~base_failed()
+    parted = holdout.select(
+        "stratum", *METRICS, "good", ordering.alias("orders"), proving.alias("proves"), bad.alias("bad")
+    )
+    counts, of_rules = [], []
+    for rule, grid in GRIDS.items():
+        tried = []
+        for j, cutoff in enumerate(grid):
+            above = values[rule] > cutoff
+            counts += [
+                F.count_if(F.col("orders") & above).alias(f"good_{rule}_{j}"),
+                F.count_if(F.col("bad") & above).alias(f"bad_{rule}_{j}"),
+            ]
+            harm, use = F.col(f"good_{rule}_{j}"), F.col(f"bad_{rule}_{j}")
+            tried.append(
+                F.struct(
+                    (use - GOOD_WEIGHT * SELECT_ONE_IN * harm).alias("gain"),
+                    F.lit(float(cutoff)).alias("cutoff"),
+                    harm.alias("harm"),
+                    (-use).alias("use"),
+                    F.lit(rule).alias("rule"),
+                )
+            )
+        # The rule's best cutoff and the more lenient ones.
+        of_rules.append(
+            let(
+                F.array(*tried),
+                lambda cs: F.filter(
+                    cs,
+                    lambda c: (F.array_max(cs)["gain"] > 0)
+                    & (c["cutoff"] >= F.array_max(cs)["cutoff"])
+                    & (c["use"] < 0),
+                ),
+            )
+        )
+    in_order = F.array_sort(
+        F.transform(
+            F.concat(*of_rules),
+            lambda c: F.struct(
+                c["harm"].alias("harm"),
+                c["use"].alias("use"),
+                (-c["cutoff"]).alias("least"),
+                c["rule"].alias("rule"),
+                c["cutoff"].alias("cutoff"),
+            ),
+        )
+    )
+    ordered = written(
+        parted.groupBy("stratum").agg(*counts).select("stratum", in_order.alias("candidates")),
+        "quality_candidates",
+    )
+    tests = max(1, ordered.count())
+    reached = written(
+        join_measured(parted, ordered, ["stratum"])
+        .withColumn("at", _reached(F.col("candidates")))
+        .groupBy("stratum", "at")
+        .agg(*[F.count_if(c).alias(c) for c in ("good", "proves", "bad")]),
+        "quality_reached",
+    )
+    # Rows of one stratum are at most as many as candidates, and one.
+    steps = reached.groupBy("stratum").agg(
+        F.sum("proves").alias("n"), F.collect_list(F.struct("at", "good", "proves", "bad")).alias("rows")
+    )
+
+    def up_to(j: Column, name: str) -> Column:
+        met = F.filter("rows", lambda r: (r["at"] > 0) & (r["at"] <= j))
+        return F.aggregate(met, F.lit(0).cast("long"), lambda n, r: n + r[name])
+
+    unions = (
+        ordered.where(F.size("candidates") > 0)
+        .join(steps, "stratum")
+        .select("stratum", "n", "rows", "candidates", F.explode(F.sequence(F.lit(1), F.size("candidates"))).alias("j"))
+        .select(
+            "stratum",
+            "n",
+            "j",
+            F.slice("candidates", F.lit(1), F.col("j")).alias("used"),
+            up_to(F.col("j"), "proves").alias("wrong"),
+            (up_to(F.col("j"), "bad") - GOOD_WEIGHT * up_to(F.col("j"), "good")).alias("gain"),
+        )
+    )
+    few = F.col("wrong") <= F.col("n") * alpha
+    tail = F.when(few, binomial_tail(F.col("wrong"), F.col("n"), alpha))
+    best = (
+        unions.where(few & (tail <= delta / tests) & (F.col("gain") > 0))
+        .groupBy("stratum")
+        .agg(F.max(F.struct(F.col("gain"), (-F.col("j")).alias("fewest"), F.col("used"))).alias("best"))
+    )
+    return (
+        best.select("stratum", F.explode("best.used").alias("c"))
+        .groupBy("stratum", "c.rule")
+        .agg(F.min("c.cutoff").alias("cutoff"))
+        .groupBy("stratum")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
+    )
+
+
 def known_quality(labels: DataFrame) -> DataFrame:
     """(label_id, good): one row per labelled document."""
     rows = labels.select(labels["doc_id"].alias("label_id"), labels["quality"].alias("quality"))
@@ -205,12 +331,23 @@ def measured(docs: DataFrame, text: str, doc_id: str, stratum: str) -> DataFrame
     ).select("row", "label_id", "stratum", "m.*")
 
 
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(label_id, stratum, the metrics, good): the measured rows that have a label."""
+    return rows.select("label_id", "stratum", *METRICS).join(known_quality(labels), "label_id")
+
+
 def learn(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The cutoffs as a written table, from measured rows and labels."""
-    holdout = rows.select("label_id", "stratum", *METRICS).join(known_quality(labels), "label_id")
+    holdout = labelled(rows, labels)
     return written(cutoffs(holdout.drop("label_id")), "quality_cutoffs")
 
 
+def learn_union(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """As ``learn``, with the false rejections of all rules bounded together."""
+    holdout = written(labelled(rows, labels), "quality_holdout")
+    return written(union_cutoffs(holdout), "quality_cutoffs")
+
+
 def verdicts(rows: DataFrame, learned: DataFrame) -> DataFrame:
     """Measured rows with ``base_failed`` and ``kept``."""
     values = rule_values()
@@ -235,4 +372,4 @@ def keep_good_documents(
 ) -> DataFrame:
     """The documents that pass the base rule and the learned cutoffs, with their columns."""
     rows = measured(docs, text, doc_id, stratum)
-    return verdicts(rows, learn(rows, labels)).where("kept").select("row.*")
+    return verdicts(rows, learn_union(rows, labels)).where("kept").select("row.*")

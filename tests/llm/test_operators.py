@@ -227,6 +227,37 @@ def test_cutoffs_bound_false_rejections(spark):
     assert quality_rules.keep_good_documents(docs, labels.limit(0)).count() == len(rows)
 
 
+def test_strata_of_a_few_hundred_labels_get_cutoffs(spark):
+    good = prose(1, 80)
+    bad = " ".join(w + "%%%" for w in prose(2, 80).split())
+    mixed = prose(3, 80) + " " + "%" * 30
+    rows, labels, junk = [], [], set()
+    # Per stratum: good documents, good ones with symbols, bad ones with symbols.
+    for s, (name, clean, odd, spam) in enumerate(
+        [("de", 350, 0, 20), ("fr", 350, 0, 20), ("es", 320, 0, 20), ("it", 100, 0, 20), ("en", 300, 60, 1000)]
+    ):
+        for i in range(clean + odd + spam):
+            key = 10000 * s + i
+            text = good if i < clean else mixed if i < clean + odd else bad
+            rows.append((key, f"{text} w{i}", name))
+            labels.append((key, int(i < clean + odd)))
+            if i >= clean + odd and name != "it":
+                junk.add(key)
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    kept = {r["doc_id"] for r in quality_rules.keep_good_documents(table(spark, rows), known).collect()}
+    # 100 good documents can't prove a cutoff; the lenient cutoffs of "en" spare its odd ones.
+    assert {r[0] for r in rows} - kept == junk
+
+
+def test_no_union_that_rejects_too_many_good_documents(spark):
+    odd = prose(3, 80) + " " + "%" * 30
+    rows = [(i, f"{prose(1, 80)} w{i}", "en") for i in range(950)]
+    rows += [(i, f"{odd} w{i}", "en") for i in range(950, 3000)]
+    # Useful by its gain, but 5 % of the good documents would be rejected.
+    known = spark.createDataFrame([(i, int(i < 1000)) for i in range(3000)], "doc_id long, quality int")
+    assert quality_rules.keep_good_documents(table(spark, rows), known).count() == len(rows)
+
+
 # Suffix-array dedup
 
 
