@@ -4,7 +4,8 @@ Benchmark texts give windows of ``WINDOW`` words; an item of fewer words is one
 distinct windows are held as a hash table under one word each, their longest (ties: the least),
 so a document is scanned once, word by word, and whole windows are compared only around words
 that are such an anchor. The table is broadcast if it is counted within ``BROADCAST_ROWS``;
-beyond that the documents' words are joined to it by shuffle. All of it is DataFrame functions.
+beyond that the documents' words are joined to it by shuffle, each with the words around it that a
+window can reach and no more, so what is shuffled grows with the text's length only. All of it is DataFrame functions.
 
 Words are runs of letters, digits and other non-ASCII characters of the text with A-Z
 lower-cased. Defined cases: null or empty text has no words, is never contaminated, and as an
@@ -53,15 +54,24 @@ def anchored_windows(
     )
 
 
-def hits(docs: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
-    """(digest, n_hit, items) of each distinct text with a window, from (digest, words)."""
+def hits(docs: DataFrame, windows: DataFrame, small: bool, window: int = WINDOW) -> DataFrame:
+    """(digest, n_hit, items) of each distinct text with a window, from (digest, words).
+
+    ``window`` is the number of words of the longest window.
+    """
     scanned = docs.select("digest", "words", F.posexplode("words").alias("at", "anchor"))
+    first = F.lit(0)
+    if not small:
+        first = F.greatest(F.col("at") - (window - 1), F.lit(0))
+        scanned = scanned.select(
+            "digest", "at", "anchor", F.slice("words", first + 1, F.lit(2 * window - 1)).alias("words")
+        )
     table = F.broadcast(windows) if small else windows
     start = F.col("at") - F.col("before")
     found = scanned.join(table, "anchor").where(
         (start >= 0)
-        & (start + F.size("window") <= F.size("words"))
-        & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.size("window")) == F.col("window"))
+        & (start - first + F.size("window") <= F.size("words"))
+        & (F.slice("words", F.greatest(start - first, F.lit(0)) + 1, F.size("window")) == F.col("window"))
     )
     span = F.struct(start.alias("from"), (start + F.size("window")).alias("to"))
     covered = F.aggregate(
@@ -101,7 +111,7 @@ def contamination(
         F.md5(text_of(docs, text)).alias("digest"),
         words(text_of(docs, text)).alias("words"),
     )
-    found = written(hits(rows.select("digest", "words"), windows, small), "hits")
+    found = written(hits(rows.select("digest", "words"), windows, small, window), "hits")
     counted = rows.select("row", "digest", F.size("words").cast("long").alias("n_words"))
     return join_measured(counted, found, ["digest"], rows=BROADCAST_ROWS // 4).select(
         "row",

@@ -172,6 +172,38 @@ def test_decontamination_keeps_columns_and_empty_tables(spark):
     assert [r["n_hit"] for r in none.collect()] == [0]
 
 
+def test_decontamination_by_shuffle_carries_no_whole_text(spark):
+    passage = prose(9, 14)
+    items = [(1, passage), (2, "short one"), (3, passage.split()[0])]
+    rows = awkward([
+        (20, passage),
+        (21, prose(6, 3) + " " + passage + " short one"),
+        (22, "Short one " + prose(5, 30) + " " + passage),
+    ])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = decontamination.contamination(
+            table(spark, rows), table(spark, items, "item_id long, text string"), max_windows=0
+        )
+        expected = sorted(((r[0], *plain_hits(r[1], items)) for r in rows), key=repr)
+        assert by_row(checked, "row.doc_id", "n_words", "n_hit", "items") == expected
+        docs = table(spark, rows).select("doc_id", "text")
+        windows = decontamination.anchored_windows(table(spark, items, "item_id long, text string"))
+        texts = docs.select(F.md5("text").alias("digest"), decontamination.words(docs["text"]).alias("words"))
+        found = decontamination.hits(texts, windows, False)
+        plan = found._jdf.queryExecution().optimizedPlan()
+        while plan.nodeName() != "Join":
+            plan = plan.children().head()
+        side = plan.children().head()
+        sizes = type(spark.range(0))(
+            spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, side), spark
+        )
+        longest = sizes.select(F.max(F.size(sizes["words"]))).first()[0]
+        assert longest == 2 * decontamination.WINDOW - 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 # Quality rules
 
 
