@@ -541,6 +541,20 @@ def test_perfect_hash_is_minimal_and_rejects_others():
     assert not found.lookup(rng.integers(0, 2**63, 5000, dtype=np.uint64), h2).any()
 
 
+def test_perfect_hash_takes_the_stated_bytes(spark):
+    import numpy as np
+
+    n = 100_000
+    keys = spark.range(n).select(
+        F.xxhash64("id").alias("h1"), F.hash("id").alias("h2"), (F.col("id") + 10).alias("n")
+    )
+    ((_, arrays),) = line_dedup.build_shards(keys, 1, line_dedup.MIN_DOCS).collect()
+    assert len(arrays) < 14 * n
+    h1, h2 = (np.array([r[i] for r in keys.collect()]) for i in (0, 1))
+    found = line_dedup._unpack(bytes(arrays)).lookup(h1.view(np.uint64), h2.astype(np.int32))
+    assert found.tolist() == [line_dedup.MIN_DOCS] * n
+
+
 # Personal data
 
 
