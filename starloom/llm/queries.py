@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     best_fit_packing,
+    collocations,
     decontamination,
+    filter_audit,
     jaccard_join,
     license_scan,
     line_dedup,
+    minhash_bbit,
     pii_crf,
     quality_rules,
     sql,
@@ -145,3 +148,23 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_documents(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_shingles", "component_id"
     )
+
+
+@query(sql.FILTER_AUDIT)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
+@query(sql.NEAR_COPIES)
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_bbit.near_copies(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
+@query(sql.COLLOCATIONS)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))

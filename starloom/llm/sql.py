@@ -4,7 +4,14 @@ from __future__ import annotations
 
 import string
 
-from starloom.llm import license_scan, quality_rules, url_filter
+from starloom.llm import (
+    collocations,
+    filter_audit,
+    license_scan,
+    minhash_bbit,
+    quality_rules,
+    url_filter,
+)
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 BLANKS = "chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)"
@@ -263,7 +270,9 @@ from page join judged using (host)
 URLS = _urls()
 
 
-JACCARD = f"""
+def _linked(percent: int) -> str:
+    """Each document's set size, or null, and the least id it reaches by links."""
+    return f"""
 with recursive doc as (
     select doc_id, regexp_extract_all({ascii_lower("text")}, '{_SPACED}') as w from documents),
 shingle as (
@@ -276,14 +285,125 @@ shared as (
     from shingle a join shingle b using (s) where a.doc_id < b.doc_id group by all),
 link as (
     select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y
-    where 100 * common >= 75 * (a.n + b.n - common)),
+    where 100 * common >= {percent} * (a.n + b.n - common)),
 either as (select x, y from link union all select y, x from link),
 reach as (
     select doc_id, doc_id as other from sizes
     union
     select reach.doc_id, y from reach join either on x = other)
+"""
+
+
+JACCARD = f"""{_linked(75)}
 select documents.doc_id, coalesce(any_value(sizes.n), 0)::bigint as n_shingles,
     coalesce(min(other), documents.doc_id) as component_id
 from documents left join sizes using (doc_id) left join reach using (doc_id)
 group by documents.doc_id
 """
+
+NEAR_COPIES = f"""{_linked(minhash_bbit.PERCENT)}
+select documents.doc_id, coalesce(any_value(sizes.n), 0)::bigint as n_shingles,
+    coalesce(min(other), documents.doc_id) as component_id,
+    documents.doc_id = coalesce(min(other), documents.doc_id) as kept
+from documents left join sizes using (doc_id) left join reach using (doc_id)
+group by documents.doc_id
+"""
+
+
+def _filter_audit() -> str:
+    fa = filter_audit
+    text = "coalesce(text, '')"
+    order = "o.filter_order"
+    gone = "least(" + ", ".join(
+        f"case when {f} then strpos({order}, '{f}') else 9 end" for f in fa.FAILURES
+    ) + ")"
+    fails = "case substr(o.filter_order, s.step::int, 1) " + " ".join(
+        f"when '{f}' then {f}" for f in fa.FAILURES
+    ) + " end"
+    alone = " + ".join(f"{f}::int" for f in fa.FAILURES)
+    return f"""
+with worded as (
+    select doc_id, coalesce(lang, '') as part, {text} as t,
+        regexp_extract_all({text}, '{_SPACED}') as w, min(doc_id) over (partition by {text}) as least
+    from documents),
+failing as (
+    select doc_id, part, len(w) < {fa.MIN_WORDS} as A,
+        100 * len(list_distinct(w)) < {fa.DISTINCT_PERCENT} * len(w) as B,
+        100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > {fa.CAPITAL_PERCENT} * length(t) as C,
+        regexp_matches(t, '[#$%&*|]') as D, coalesce(doc_id > least, false) as E
+    from worded),
+known as (
+    select doc_id, max(quality) = 1 as good, max(toxic) = 1 as toxic from labels group by doc_id),
+masks as (
+    select part, A, B, C, D, E, count(*) as n, count_if(good) as good, count_if(toxic) as toxic
+    from failing left join known using (doc_id) group by all),
+letter as (select unnest({list(fa.FAILURES)}) as f),
+orders as (
+    select a.f || b.f || c.f || d.f || e.f as filter_order
+    from letter a, letter b, letter c, letter d, letter e
+    where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps as (select unnest(range(1, 6)) as step),
+met as (
+    select part, o.filter_order, s.step, n, good, toxic, {gone} as gone, {fails} as fails,
+        {alone} = 1 as alone
+    from masks, orders o, steps s),
+counted as (
+    select part, filter_order, step::int as step,
+        sum(case when gone > step then n else 0 end)::bigint as kept,
+        sum(case when gone = step then n else 0 end)::bigint as removed,
+        sum(case when gone < step and fails then n else 0 end)::bigint as redundant,
+        sum(case when fails and alone then n else 0 end)::bigint as unique_fails,
+        sum(case when gone = step then good else 0 end)::bigint as good_lost,
+        sum(case when gone = step then toxic else 0 end)::bigint as toxic_lost
+    from met group by all)
+select *, (sum(removed) over (partition by part, substr(filter_order, step, 1)))::bigint as shapley
+from counted
+"""
+
+
+FILTER_AUDIT = _filter_audit()
+
+
+def _collocations() -> str:
+    co = collocations
+    grams = " union all ".join(
+        f"select lang, {k} as k, array_to_string(w[i:i + {k - 1}], ' ') as phrase"
+        f" from (select lang, w, unnest(range(1, len(w) - {k - 2})) as i from piece where len(w) >= {k})"
+        for k in range(1, co.LONGEST + 1)
+    )
+    return f"""
+with piece as (
+    select lang, regexp_extract_all(p, '[^\\x20\\x09]+') as w from (
+        select coalesce(lang, 'und') as lang,
+            unnest(regexp_split_to_array({ascii_lower("text")}, '[.,;:!?\\x0A-\\x0D]')) as p
+        from documents)),
+total as (select lang, sum(len(w))::bigint as n from piece group by lang),
+f as (
+    select lang, k, phrase, count(*) as f from ({grams}) group by all
+    having count(*) >= {co.MIN_COUNT}),
+candidate as (
+    select lang, phrase, string_split(phrase, ' ') as w, f as a from f where k > 1),
+cut as (select *, unnest(range(1, len(w))) as c from candidate),
+valued as (
+    select cut.*, x.f as l, y.f as r, ({co.SCALE}::hugeint * a // (x.f + y.f))::bigint as score
+    from cut join f x on x.lang = cut.lang and x.phrase = array_to_string(w[1:c], ' ')
+        join f y on y.lang = cut.lang and y.phrase = array_to_string(w[c + 1:], ' ')),
+low as (
+    select * from valued qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+span as (select lang, w, a, unnest(range(2, len(w))) as k from candidate where len(w) > 2),
+held as (
+    select lang, array_to_string(w[i:i + k - 1], ' ') as phrase, max(a) as longer
+    from (select *, unnest(range(1, len(w) - k + 2)) as i from span) group by all),
+left_over as (
+    select low.* from low left join held using (lang, phrase)
+    where longer is null or 100::hugeint * longer < {co.COVER_PERCENT}::hugeint * a),
+ranked as (
+    select *, row_number() over (
+        partition by lang order by score desc, a desc, encode(phrase)) as rank
+    from left_over)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score
+from ranked join total using (lang) where rank <= {co.TOP}
+"""
+
+
+COLLOCATIONS = _collocations()
