@@ -63,6 +63,12 @@ def load_times(spark: SparkSession, raw: RawLayer, store: LayerStore) -> dict[st
     columns = ["OrderLineID", "OrderID", "StockItemID", "Quantity", "UnitPrice"]
     lines = store.replace(lines.select(*columns), "bench", "source")
     delta = lines.filter(f"{key} % 100 = 0").withColumn("Quantity", F.col("Quantity") + 1)
+    last = lines.agg(F.max("OrderID")).first()[0]
+    newest = delta.union(lines).filter(F.col("OrderID") > last * 99 // 100)
+
+    def ranged(df):
+        return df.withColumn("OrderRange", F.expr(f"OrderID div {last // 50 + 1}"))
+
     path = f"{store.root}/bench_csv"
     schema = ", ".join(f"{name} {kind}" for name, kind in lines.dtypes)
     later = F.lit("2024-02-02 00:00:00").cast("timestamp")
@@ -73,6 +79,10 @@ def load_times(spark: SparkSession, raw: RawLayer, store: LayerStore) -> dict[st
         "append": lambda: [store.append(lines, "bench", "appended") for _ in range(2)],
         "merge_start": lambda: store.merge(lines, "bench", "merged", [key]),
         "merge": lambda: store.merge(delta, "bench", "merged", [key]),
+        "merge_start_ranges": lambda: store.merge(
+            ranged(lines), "bench", "ranges", [key], partition_by=["OrderRange"]
+        ),
+        "merge_newest_orders": lambda: store.merge(ranged(newest), "bench", "ranges", [key]),
         "cursor_load": lambda: cursor_load(lines, store, "bench", "cursor", key, [key]),
         "history_start": lambda: store.replace(history, "bench", "history"),
         "history": lambda: run(

@@ -22,6 +22,8 @@ BASE_UNTIL = "1999-01-01"
 # The events as the source held them at a first load.
 FIRST_LOAD_UNTIL = "2024-01-15 00:00:00"
 NOW = "2024-01-30 00:00:00"
+# Order keys in one partition of a merged table.
+ORDERS_A_RANGE = 50_000
 
 LANDING_SQL = """
     select o_orderkey as order_key, o_custkey as customer_key, o_orderstatus as status,
@@ -342,9 +344,13 @@ def load_append_partitioned(ctx: Context) -> DataFrame:
 
 @query(MERGED_SQL)
 def load_merge(ctx: Context) -> DataFrame:
-    store, keys = ctx.store, ["order_key"]
-    store.merge(landing_base(ctx), "raw", "landing_orders", keys, ["updated"])
-    return store.merge(landing_delta(ctx), "raw", "landing_orders", keys, ["updated"])
+    """Orders partitioned by ranges of their key; the merge overwrites the ranges it changes."""
+    how = {"keys": ["order_key"], "order_by": ["updated"], "partition_by": ["order_range"]}
+    merged = None
+    for export in (landing_base(ctx), landing_delta(ctx)):
+        ranged = export.withColumn("order_range", F.expr(f"order_key div {ORDERS_A_RANGE}"))
+        merged = ctx.store.merge(ranged, "raw", "landing_orders", **how)
+    return merged.drop("order_range")
 
 
 @query(LANDING_SQL)

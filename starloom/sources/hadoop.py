@@ -43,14 +43,19 @@ def files_below(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file whole: it is written aside and renamed."""
-    fs, target = _resolve(spark, path)
+    """Write a small file whole, over one of that name: it is written aside and renamed."""
     aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}._new")
+    fs, target = _resolve(spark, path)
     out = fs.create(aside, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
-    if not fs.rename(aside, target):
-        raise FileExistsError(path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri() if target.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration()
+    )
+    over = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = over
+    context.rename(aside, target, options)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -1,10 +1,12 @@
 """Layered tables: routing of models to datasets, and the write dispositions.
 
-A table is a folder with the files of its loads, under ``data/__load=<number>/``, and
-numbered versions: small files that say which loads a version holds, without which of
-their files, with which columns and partitions. Every write adds files first and a
-version last, so a job that dies half-way changes nothing, and neither does a reader
-see half of one. One writer per table at a time.
+A table is a folder of plain Parquet files, partitioned or not, and a small file beside it that
+says which folder is in force, with which columns and partitions (a column that older files lack is
+NULL there, and a partition's type isn't guessed from its name). Replacing writes a new folder and
+then the small file, so the input may read the table and a job that dies changes nothing. Appending
+and merging are Spark's own append and dynamic partition overwrite of the folder in force, which
+move files in place when the job is committed; a merge may be repeated if the driver died during
+that. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -12,21 +14,16 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
-from urllib.parse import unquote
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.lookup import fits_broadcast
 from starloom.operators.merge import join_keys, latest_per_key, merge_on_key
 from starloom.sources import hadoop
 
-# The folder level, and column, that tells the files of one load from another's.
-LOAD = "__load"
-# Staged rows up to which a merge broadcasts the keys.
-MERGE_BROADCAST_ROWS = 1_000_000
-
 # Layer and materialisation of each model folder.
 FOLDER_ROUTES: dict[str, tuple[str, str]] = {
     "staging": ("stg", "view"),
@@ -65,13 +62,12 @@ def route(model: str, overrides: Mapping[str, Mapping[str, str]] | None = None)
 
 
 @dataclass(frozen=True)
-class Version:
-    """What is in force: loads with the files of each that no longer count."""
+class Table:
+    """What is in force of a table."""
 
     schema: str
     partition_by: list[str]
-    loads: list[int]
-    removed: dict[str, list[str]] = field(default_factory=dict)
+    folder: str
 
     @property
     def columns(self) -> T.StructType:
@@ -98,6 +94,19 @@ def widened(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType([*old.fields, *[c for c in new.fields if c.name.lower() not in had]])
 
 
+# Characters that a partition's folder name spells as % and two digits.
+_SPELLED = "\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(1, 32)))
+
+
+def _folder_name(column: str) -> Column:
+    """The folder of a partition value, as Spark's writer names it."""
+    value = F.col(column).cast("string")
+    for char in sorted(_SPELLED, key=lambda c: c != "%"):
+        value = F.replace(value, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    named = F.when(value == "", None).otherwise(value)
+    return F.concat(F.lit(f"{column}="), F.coalesce(named, F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+
 class LayerStore:
     """Tables under ``root/<prefix>_<layer>/<table>``."""
 
@@ -112,113 +121,67 @@ class LayerStore:
     def location(self, layer: str, table: str) -> str:
         return f"{self.root}/{self.dataset(layer)}/{table}"
 
-    def _versions(self, layer: str, table: str) -> list[str]:
-        location = self.location(layer, table)
-        return [n for n in hadoop.child_names(self.spark, location) if n.endswith(".json")]
+    def _entry(self, layer: str, table: str) -> str:
+        return f"{self.location(layer, table)}/table.json"
 
-    def _version(self, layer: str, table: str, name: str) -> Version:
-        return Version(**json.loads(hadoop.read_text(self.spark, f"{self.location(layer, table)}/{name}")))
+    def exists(self, layer: str, table: str) -> bool:
+        return hadoop.exists(self.spark, self._entry(layer, table))
 
-    def version(self, layer: str, table: str) -> Version | None:
-        """The version in force."""
-        versions = self._versions(layer, table)
-        return self._version(layer, table, versions[-1]) if versions else None
+    def entry(self, layer: str, table: str) -> Table:
+        if not self.exists(layer, table):
+            raise FileNotFoundError(f"no table {self.dataset(layer)}.{table} under {self.root}")
+        return Table(**json.loads(hadoop.read_text(self.spark, self._entry(layer, table))))
 
-    def exists(self, layer: str, table: str) -> bool:
-        return bool(self._versions(layer, table))
+    def _put(self, layer: str, table: str, entry: Table) -> None:
+        hadoop.write_text(self.spark, self._entry(layer, table), json.dumps(asdict(entry)))
+
+    def folder(self, layer: str, table: str, entry: Table) -> str:
+        return f"{self.location(layer, table)}/{entry.folder}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        version = self.version(layer, table)
-        if version is None:
-            raise FileNotFoundError(f"no table {self.dataset(layer)}.{table} under {self.root}")
-        return self._read(layer, table, version)
-
-    def _data(self, layer: str, table: str) -> str:
-        return f"{self.location(layer, table)}/data"
-
-    def _paths(self, layer: str, table: str, version: Version) -> list[str]:
-        """Folders of whole loads, and the single files of those that lost some."""
-        paths = []
-        for load in version.loads:
-            folder = f"{self._data(layer, table)}/{LOAD}={load}"
-            gone = set(version.removed.get(str(load), []))
-            if gone:
-                files = hadoop.files_below(self.spark, folder)
-                paths += [f"{folder}/{name}" for name in files if name not in gone]
-            else:
-                paths.append(folder)
-        return paths
-
-    def _read(self, layer: str, table: str, version: Version, paths=None) -> DataFrame:
-        """Read with the columns of the version, without asking the files for them."""
-        schema = version.columns
-        paths = self._paths(layer, table, version) if paths is None else paths
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        with_load = T.StructType([*schema.fields, T.StructField(LOAD, T.LongType())])
-        reader = self.spark.read.schema(with_load).option("basePath", self._data(layer, table))
-        return reader.parquet(*paths).select(*schema.names)
-
-    def _next_load(self, layer: str, table: str) -> int:
-        names = hadoop.child_names(self.spark, self._data(layer, table))
-        return 1 + max([int(n.removeprefix(f"{LOAD}=")) for n in names if "=" in n], default=0)
-
-    def _write(self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str]) -> int:
-        load = self._next_load(layer, table)
-        target = f"{self._data(layer, table)}/{LOAD}={load}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(target)
-        return load
-
-    def _publish(self, layer: str, table: str, version: Version) -> DataFrame:
-        versions = self._versions(layer, table)
-        number = int(versions[-1][1:-5]) + 1 if versions else 1
-        name = f"v{number:08d}.json"
-        text = json.dumps(asdict(version))
-        hadoop.write_text(self.spark, f"{self.location(layer, table)}/{name}", text)
-        return self._read(layer, table, version)
+        entry = self.entry(layer, table)
+        reader = self.spark.read.schema(entry.columns)
+        return reader.parquet(self.folder(layer, table, entry)).select(*entry.columns.names)
 
     def replace(
         self, df: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Write a new version; the input may read the present one."""
-        load = self._write(df, layer, table, partition_by)
-        schema = nullable(df.schema).json()
-        return self._publish(layer, table, Version(schema, list(partition_by), [load]))
-
-    def prune(self, layer: str, table: str, keep: int = 2) -> list[str]:
-        """Delete versions older than the newest ``keep``, and files no version holds.
-
-        Call it when no running query reads those any more; the version in force
-        always stays. Returns the versions deleted.
-        """
-        if keep < 1:
-            raise ValueError("at least one version has to stay")
-        location = self.location(layer, table)
-        versions = self._versions(layer, table)
-        old, kept = versions[:-keep], versions[-keep:]
-        held = {load for v in kept for load in self._version(layer, table, v).loads}
-        for version in old:
-            hadoop.delete_folder(self.spark, f"{location}/{version}")
-        for name in hadoop.child_names(self.spark, f"{location}/data"):
-            if "=" in name and int(name.split("=")[1]) not in held:
-                hadoop.delete_folder(self.spark, f"{location}/data/{name}")
-        return [version.removesuffix(".json") for version in old]
+        """Write the table anew; the input may read the present one."""
+        entry = Table(nullable(df.schema).json(), list(partition_by), f"data-{uuid.uuid4().hex}")
+        df.write.partitionBy(*partition_by).parquet(self.folder(layer, table, entry))
+        self._put(layer, table, entry)
+        return self.read(layer, table)
+
+    def prune(self, layer: str, table: str) -> int:
+        """Delete the folders no longer in force, and count them; no query may read them more."""
+        location, held = self.location(layer, table), self.entry(layer, table).folder
+        names = hadoop.child_names(self.spark, location)
+        old = [name for name in names if name.startswith("data-") and name != held]
+        for name in old:
+            hadoop.delete_folder(self.spark, f"{location}/{name}")
+        return len(old)
+
+    def _widen(self, layer: str, table: str, new: T.StructType) -> Table:
+        """Add columns to the table first: files that lack them, or have more, can be read."""
+        entry = self.entry(layer, table)
+        schema = widened(entry.columns, nullable(new))
+        if schema != entry.columns:
+            entry = Table(schema.json(), entry.partition_by, entry.folder)
+            self._put(layer, table, entry)
+        return entry
 
     def append(self, df: DataFrame, layer: str, table: str) -> DataFrame:
-        """Add rows to the version in force, or start the table.
+        """Add rows to the table, or start it.
 
         The table's partitions stay. Columns that are new to it are added, and are
         NULL in its older rows; columns that the new rows lack are NULL in them.
         """
-        version = self.version(layer, table)
-        if version is None:
+        if not self.exists(layer, table):
             return self.replace(df, layer, table)
-        schema = widened(version.columns, nullable(df.schema))
-        load = self._write(df, layer, table, version.partition_by)
-        after = Version(
-            schema.json(), version.partition_by, [*version.loads, load], version.removed
-        )
-        return self._publish(layer, table, after)
+        entry = self._widen(layer, table, df.schema)
+        writer = df.write.mode("append").partitionBy(*entry.partition_by)
+        writer.parquet(self.folder(layer, table, entry))
+        return self.read(layer, table)
 
     def merge(
         self,
@@ -227,60 +190,81 @@ class LayerStore:
         table: str,
         keys: Sequence[str],
         order_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
     ) -> DataFrame:
         """Update rows whose key is in ``df`` and insert the others.
 
         The newest row of each key is staged first: the merge reads it several
         times, and the source should be read once. Staged files are deleted after.
+        ``partition_by`` counts where the merge starts the table.
         """
         newest = self.stage(latest_per_key(df, keys, order_by), table)
-        merged = self.merge_newest(newest, layer, table, keys)
+        merged = self.merge_newest(newest, layer, table, keys, partition_by)
         self.unstage(newest)
         return merged
 
     def merge_newest(
-        self, newest: DataFrame, layer: str, table: str, keys: Sequence[str]
+        self,
+        newest: DataFrame,
+        layer: str,
+        table: str,
+        keys: Sequence[str],
+        partition_by: Sequence[str] = (),
     ) -> DataFrame:
         """Merge staged rows that hold each key once; NULL is a key like any other.
 
-        Only files that hold a changed key are written anew. They are found by a
-        scan of the key columns alone, joined with the staged keys: by broadcast,
-        so that the table isn't shuffled, unless the counted keys are many.
+        Of a partitioned table only partitions that hold a changed key, or get one,
+        are read and overwritten; they are found by a scan of the keys and partition
+        columns. A table without partitions is written anew.
         """
-        version = self.version(layer, table)
-        if version is None:
-            return self.replace(newest, layer, table)
-        schema = widened(version.columns, nullable(newest.schema))
+        if not self.exists(layer, table):
+            return self.replace(newest, layer, table, partition_by)
+        entry = self._widen(layer, table, newest.schema)
         changed = newest.select(*keys)
-        if newest.limit(MERGE_BROADCAST_ROWS + 1).count() <= MERGE_BROADCAST_ROWS:
+        if fits_broadcast(changed):
             changed = F.broadcast(changed)
-        paths = self._touched(layer, table, version, changed, keys)
-        added = newest
-        if paths:
-            rewritten = self._read(layer, table, version, paths)
-            added = merge_on_key(rewritten, newest, keys, changed)
-        load = self._write(added, layer, table, version.partition_by)
-        removed = {name: list(files) for name, files in version.removed.items()}
-        for path in paths:
-            number, _, name = path.split(f"/data/{LOAD}=", 1)[1].partition("/")
-            removed.setdefault(number, []).append(name)
-        after = Version(schema.json(), version.partition_by, [*version.loads, load], removed)
-        return self._publish(layer, table, after)
-
-    def _touched(self, layer, table, version: Version, changed: DataFrame, keys) -> list[str]:
-        """The table's files with a changed key: names, as many as the table has files."""
-        present = self._read(layer, table, version)
-        source = present.select(*[F.col(k).alias(f"old_{k}") for k in keys], F.input_file_name().alias("file"))
-        found = source.join(changed, join_keys([f"old_{k}" for k in keys], keys), "left_semi")
-        names = [row["file"] for row in found.select("file").distinct().collect()]
-        data = self._data(layer, table)
-        # Spark gives file names as URIs.
-        known = {str(load): f"{data}/{LOAD}={load}" for load in version.loads}
-        paths = []
-        for name in names:
-            load, _, rest = name.rsplit(f"/data/{LOAD}=", 1)[1].partition("/")
-            paths.append(f"{known[load]}/{unquote(rest)}")
-        return sorted(paths)
+        target = self.read(layer, table)
+        places = entry.partition_by
+        if not places:
+            return self.replace(merge_on_key(target, newest, keys, changed), layer, table)
+        touched = self.stage(self._touched(target, newest, keys, changed, places), table)
+        rewritten = target.join(
+            F.broadcast(touched.toDF(*[f"__at_{c}" for c in places])),
+            join_keys(places, [f"__at_{c}" for c in places]),
+            "left_semi",
+        )
+        merged = merge_on_key(rewritten, newest, keys, changed).select(*entry.columns.names)
+        folder = self.folder(layer, table, entry)
+        emptied = self._emptied(merged, touched, places)
+        (
+            # Large partitions are split and small ones put together.
+            merged.hint("rebalance", *places)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*places)
+            .parquet(folder)
+        )
+        for name in emptied:
+            hadoop.delete_folder(self.spark, f"{folder}/{name}")
+        self.unstage(touched)
+        return self.read(layer, table)
+
+    def _touched(self, target, newest, keys, changed: DataFrame, places: Sequence[str]) -> DataFrame:
+        """The partitions that a changed key is in or goes to, a row each."""
+        source = target.select(*places, *[F.col(k).alias(f"__old_{k}") for k in keys])
+        had = source.join(changed, join_keys([f"__old_{k}" for k in keys], keys), "left_semi")
+        return had.select(*places).union(newest.select(*places)).distinct()
+
+    def _emptied(self, merged: DataFrame, touched: DataFrame, places: Sequence[str]) -> list[str]:
+        """Folders of partitions all of whose rows have moved to others.
+
+        An overwrite by partition has no row to tell of these. They are partitions of
+        changed keys, and known by their values.
+        """
+        there = merged.select(*[F.col(c).alias(f"__in_{c}") for c in places]).distinct()
+        gone = touched.join(there, join_keys(places, there.columns), "left_anti")
+        path = F.concat_ws("/", *[_folder_name(c) for c in places])
+        return [row["path"] for row in gone.select(path.alias("path")).collect()]
 
     def stage(self, df: DataFrame, table: str, load_id: str | None = None) -> DataFrame:
         """Write staged files beside the tables, touching none of them."""

@@ -51,15 +51,13 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, store):
     assert store.read("raw", "t").count() == 4
 
 
-def test_pruning_keeps_the_version_in_force(spark, store):
-    for number in range(4):
+def test_pruning_keeps_what_is_in_force(spark, store):
+    for number in range(1, 5):
         store.replace(spark.range(number), "raw", "t")
-    assert store.prune("raw", "t", keep=2) == ["v00000001", "v00000002"]
-    assert store.prune("raw", "t", keep=2) == []
-    assert store.read("raw", "t").count() == 3
+    assert store.prune("raw", "t") == 3
+    assert store.prune("raw", "t") == 0
+    assert store.read("raw", "t").count() == 4
     assert store.replace(spark.range(9), "raw", "t").count() == 9
-    with pytest.raises(ValueError, match="stay"):
-        store.prune("raw", "t", keep=0)
 
 
 def test_reading_a_missing_table_says_so(store):
@@ -307,7 +305,7 @@ def test_jdbc_defaults():
     assert JdbcSource(None, "jdbc:x", catalog_query="q").listing() == "q"
 
 
-# Versions, partitions and columns
+# Partitions and columns
 
 
 def test_append_keeps_partitions_and_adds_columns(spark, store):
@@ -319,8 +317,8 @@ def test_append_keeps_partitions_and_adds_columns(spark, store):
     assert read.columns == returned.columns == ["id", "p", "a", "b"]
     assert rows(read) == rows(returned)
     assert rows(read.filter("id >= 5")) == [(5, "a b:c/d", "x", None), (6, "q", None, "6"), (7, "q", None, "7")]
-    folders = hadoop.files_below(spark, store._data("raw", "t"))
-    assert all("/p=" in name for name in folders)
+    folders = hadoop.files_below(spark, store.folder("raw", "t", store.entry("raw", "t")))
+    assert all(name.startswith("p=") for name in folders)
     merged = store.merge(spark.sql("select 6L as id, 'q' as p, 'm' as a"), "raw", "t", ["id"])
     assert rows(merged.filter("p = 'q'")) == [(6, "q", "m", None), (7, "q", None, "7")]
     assert merged.count() == 8
@@ -348,32 +346,62 @@ def test_an_append_that_fails_half_way_adds_nothing_and_can_be_repeated(spark, s
     )
     with pytest.raises(PySparkException, match="broken"):
         store.append(half, "raw", "t")
-    # Files of a job whose last step, naming them, did not come about.
-    store._write(spark.range(50, 60), "raw", "t", [])
     assert store.read("raw", "t").count() == 3
     assert rows(store.append(spark.range(3, 5), "raw", "t")) == [(0,), (1,), (2,), (3,), (4,)]
-    store.prune("raw", "t", keep=1)
+    # A replacement whose last step, naming it, did not come about.
+    spark.range(50, 60).write.parquet(f"{store.location('raw', 't')}/data-unnamed")
+    assert store.read("raw", "t").count() == 5
+    store.prune("raw", "t")
     assert rows(store.read("raw", "t")) == [(0,), (1,), (2,), (3,), (4,)]
 
 
-def test_small_merge_shuffles_no_target_and_rewrites_only_files_with_changed_keys(spark, store, monkeypatch):
-    target = spark.range(0, 4000, 1, 4).selectExpr("id", "id * 2 as v")
-    store.replace(target, "raw", "t")
-    before = set(store.read("raw", "t").inputFiles())
-    plans = []
-    publish = store._write
-    monkeypatch.setattr(
-        store, "_write", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or publish(df, *a)
-    )
-    merged = store.merge(spark.sql("select 5L as id, 0L as v union all select 9999L, 1L"), "raw", "t", ["id"])
-    after = set(merged.inputFiles())
-    assert len(before & after) == 3
+def files_of(spark, store, table):
+    return set(hadoop.files_below(spark, store.folder("raw", table, store.entry("raw", table))))
+
+
+def test_merge_overwrites_only_partitions_with_changed_keys(spark, store):
+    target = spark.range(0, 4000).selectExpr("id", "id * 2 as v", "id div 1000 as p")
+    store.replace(target, "raw", "t", partition_by=["p"])
+    before = files_of(spark, store, "t")
+    delta = spark.sql("select 5L as id, 0L as v, 0L as p union all select 9999L, 1L, 9L")
+    merged = store.merge(delta, "raw", "t", ["id"])
+    after = files_of(spark, store, "t")
+    kept = {name for name in before if not name.startswith("p=0/")}
+    assert kept <= after and kept and not {n for n in before if n.startswith("p=0/")} & after
     assert merged.count() == 4001
-    assert rows(merged.filter("id in (4, 5, 9999)")) == [(4, 8), (5, 0), (9999, 1)]
-    assert "Exchange hashpartitioning" not in plans[-1]
+    assert rows(merged.filter("id in (4, 5, 9999)").select("id", "v")) == [(4, 8), (5, 0), (9999, 1)]
     assert hadoop.files_below(spark, f"{store.root}/staging_files") == []
 
 
+def test_merge_moves_rows_between_partitions_and_clears_emptied_ones(spark, store):
+    first = spark.sql("select * from values (1, 'a b:c/d%', 1), (2, 'q', 1), (null, null, 1), (4, 'q', 1) as t(id, p, v)")
+    store.merge(first, "raw", "t", ["id"], partition_by=["p"])
+    # The only rows of two partitions move, one of them to a partition without a value.
+    moved = spark.sql("select * from values (1, cast(null as string), 2), (null, 'new', 2), (4, 'r', 2) as t(id, p, v)")
+    for _ in range(2):
+        merged = store.merge(moved, "raw", "t", ["id"])
+        assert rows(merged.select("id", "v", "p")) == [
+            (1, 2, None), (2, 1, "q"), (4, 2, "r"), (None, 2, "new")
+        ]
+    back = spark.sql("select * from values (1, 'q', 3) as t(id, p, v)")
+    assert rows(store.merge(back, "raw", "t", ["id"]).select("id", "v", "p")) == [
+        (1, 3, "q"), (2, 1, "q"), (4, 2, "r"), (None, 2, "new")
+    ]
+
+
+def test_merge_with_a_hot_partition_and_many_keys(spark, store, monkeypatch):
+    from starloom.sources import layers
+
+    monkeypatch.setattr(layers, "fits_broadcast", lambda df: False)
+    target = spark.range(3000).selectExpr("id", "id as v", "if(id < 2000, 'hot', concat('p', id % 5)) as p")
+    store.replace(target, "raw", "t", partition_by=["p"])
+    delta = spark.range(0, 4000, 2).selectExpr("id", "-id as v", "if(id < 2000, 'hot', concat('p', id % 5)) as p")
+    merged = store.merge(delta, "raw", "t", ["id"])
+    expected = {i: -i if i % 2 == 0 else i for i in [*range(3000), *range(3000, 4000, 2)]}
+    assert {r["id"]: r["v"] for r in merged.collect()} == expected
+    assert merged.count() == len(expected)
+
+
 def test_merge_twice_into_the_same_files(spark, store):
     store.replace(spark.range(0, 100, 1, 2).selectExpr("id", "'a' as v"), "raw", "t")
     for value in ("b", "c"):
@@ -417,6 +445,49 @@ def test_the_mark_does_not_move_with_the_time_zone(spark, store):
     assert incremental.CursorState(store).get("t_cursor").isdigit()
 
 
+def test_null_keys_are_loaded_once(spark, store):
+    df = batch(spark, (1, 1, "a"), (None, 2, "b"), (None, None, "c"), (4, None, "d"))
+    for _ in range(3):
+        loaded = incremental.cursor_load(df, store, *PLACE, on_null="include")
+        assert rows(loaded) == rows(df)
+
+
+def test_a_settled_cursor_load_does_not_read_its_table(spark, store, monkeypatch):
+    incremental.cursor_load(batch(spark, (1, 1, "a"), (None, 5, "b")), store, *PLACE)
+    read, asked = store.read, []
+    monkeypatch.setattr(store, "read", lambda layer, table: asked.append((layer, table)) or read(layer, table))
+    appended = []
+    append = store.append
+    monkeypatch.setattr(store, "append", lambda df, *a: appended.append(df._jdf.queryExecution().optimizedPlan().toString()) or append(df, *a))
+    later = batch(spark, (None, 5, "b"), (3, 5, "same mark"), (5, 9, "new"))
+    loaded = incremental.cursor_load(later, store, *PLACE)
+    # Once, to hand the table back, and not in the plan of what is added.
+    assert asked.count(("raw", "t")) == 1
+    assert "sales_raw" not in appended[0]
+    assert loaded.count() == 4
+
+
+def test_rows_that_come_during_a_load_are_left_to_the_next(spark, store, monkeypatch):
+    """What comes at the new mark after its keys were settled isn't loaded now, nor lost."""
+    path = f"{store.root}/source"
+    batch(spark, (1, 5, "a")).write.parquet(path)
+
+    def source():
+        return spark.read.schema("id int, at int, v string").parquet(path)
+
+    remember = incremental.CursorState.remember
+
+    def late(self, resource, digests):
+        out = remember(self, resource, digests)
+        batch(spark, (2, 5, "late"), (3, 7, "later")).write.mode("append").parquet(path)
+        return out
+
+    monkeypatch.setattr(incremental.CursorState, "remember", late)
+    assert rows(incremental.cursor_load(source(), store, *PLACE)) == [(1, 5, "a")]
+    monkeypatch.setattr(incremental.CursorState, "remember", remember)
+    assert [r[0] for r in rows(incremental.cursor_load(source(), store, *PLACE))] == [1, 2, 3]
+
+
 def test_rows_without_a_cursor_are_added_once(spark, store):
     df = batch(spark, (1, 1, "a"), (2, None, "b"), (3, 5, "c"))
     for _ in range(3):
