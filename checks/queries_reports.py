@@ -71,6 +71,52 @@ def dq_relationships(ctx: Context) -> DataFrame:
     return quality.relationships(ctx.tables)
 
 
+# Edges between integer keys.
+INTEGER_EDGES = [e for e in quality.STAR_EDGES if not e.column.endswith("date_key")]
+
+
+def _missing_sql(e: quality.Edge) -> str:
+    return (
+        f"select '{e.relation}' as relation, '{e.column}' as column_name,"
+        f" cast({e.column} as varchar) as key_value, count(*) as row_count from {e.relation} r"
+        f" where {e.column} is not null and not exists"
+        f" (select 1 from {e.target} t where t.{e.target_key} = r.{e.column})"
+        f" group by {e.column}"
+    )
+
+
+def _all(frames) -> DataFrame:
+    first, *others = frames
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+@query("\nunion all\n".join(map(_missing_sql, INTEGER_EDGES)))
+def dq_relationships_bitmap(ctx: Context) -> DataFrame:
+    """The same by bitmaps of keys, for the references between integers."""
+    return _all(
+        quality.relationship_by_bitmap(ctx.tables[e.relation], ctx.tables[e.target], e)
+        for e in INTEGER_EDGES
+    )
+
+
+BITMAP_KEYS = (
+    ("dim_customer", "customer_key"),
+    ("dim_stock_item", "stock_item_key"),
+    ("dim_person", "person_key"),
+    ("stg_sales_order", "order_key"),
+    ("fact_sales_order_line", "sales_order_key"),
+)
+
+
+@query("\nunion all\n".join(_unique_sql(relation, (key,)) for relation, key in BITMAP_KEYS))
+def dq_unique_bitmap(ctx: Context) -> DataFrame:
+    """Repeated integer keys by bitmaps; the last one isn't a key of its table."""
+    relations = {**ctx.stg, **ctx.tables}
+    return _all(quality.unique_by_bitmap(relations[name], name, key) for name, key in BITMAP_KEYS)
+
+
 FRESH_NOW = "2024-02-01 00:00:00"
 
 
@@ -130,6 +176,35 @@ def dq_reconcile_rows(ctx: Context) -> DataFrame:
 
 
 
+_CHANGED = "order_key >= 5000 and order_key < 7000"
+
+
+@query(
+    f"""
+    select * from (with source as ({LANDING_SQL}),
+    signed as (
+        select *, 1 as side from source
+        union all
+        select order_key, customer_key, status,
+            cast(case when {_CHANGED} and order_key % 5 = 0 then total + 1 else total end as decimal(18,2)),
+            updated, -1
+        from source where not ({_CHANGED} and order_key % 7 = 0))
+    select order_key, customer_key, status, total, updated, cast(sum(side) as bigint) as surplus
+    from signed group by all having sum(side) <> 0)"""
+)
+def dq_reconcile_digest(ctx: Context) -> DataFrame:
+    """Orders beside a copy in which some of one range of keys are changed or lacking."""
+    more = F.when(F.expr(f"{_CHANGED} and order_key % 5 = 0"), 1).otherwise(0)
+    copy = (
+        landing_orders(ctx)
+        .filter(~F.expr(f"{_CHANGED} and order_key % 7 = 0"))
+        .withColumn("total", (F.col("total") + more).cast("decimal(18,2)"))
+    )
+    # Laid out by the key, so that the ranges that agree can be skipped.
+    landed = ctx.store.replace(copy.orderBy("order_key"), "raw", "landing_copy")
+    return quality.mismatched_rows_by_digest(landing_orders(ctx), landed, "order_key", 1000)
+
+
 def _naming_sql() -> str:
     found = [
         ("raw_orders", "OrderID", "snake_case", "sales__Orders"),
@@ -311,3 +386,37 @@ def sales_by_period(ctx: Context) -> DataFrame:
 )
 def late_lines(ctx: Context) -> DataFrame:
     return metrics.late_lines(ctx.tables["fact_sales_order_line"])
+
+
+@query(
+    f"""
+    select c.delivery_country_name, cast(year(d) as varchar) as order_year, count(*) as line_count,
+        count(distinct customer_key) as customer_count, true as within_error
+    from (select *, {ORDER_DAY_SQL} as d from fact_sales_order_line where customer_key is not null) f
+    left join dim_customer c using (customer_key)
+    group by 1, 2"""
+)
+def customers_by_period_sketch(ctx: Context) -> DataFrame:
+    """Customers per country and year, rolled up from sketches per province and month."""
+    fact, customers = ctx.tables["fact_sales_order_line"], ctx.tables["dim_customer"]
+    sketches = metrics.customer_sketches(fact, customers)
+    kept = ctx.store.replace(sketches, "dwh", "customer_sketches")
+    by = ["delivery_country_name", "order_year"]
+    estimated = metrics.customers_by(kept, *by)
+    # The exact numbers, to say how far off the estimates are.
+    exact = (
+        fact.filter("customer_key is not null")
+        .select("customer_key", F.substring("order_date_key", 1, 4).alias("exact_year"))
+        .distinct()
+        .join(customers.select("customer_key", F.col("delivery_country_name").alias("country")), "customer_key", "left")
+        .groupBy("country", "exact_year")
+        .agg(F.count(F.lit(1)).alias("customer_count"))
+    )
+    same = F.col("country").eqNullSafe(F.col("delivery_country_name")) & F.col("exact_year").eqNullSafe(F.col("order_year"))
+    off = F.abs(F.col("customer_estimate") - F.col("customer_count"))
+    return estimated.join(exact, same).select(
+        *by,
+        "line_count",
+        "customer_count",
+        (off <= F.greatest(F.lit(1), F.col("customer_count") * metrics.SKETCH_ERROR)).alias("within_error"),
+    )

@@ -12,7 +12,7 @@ from starloom.functions import coercion
 from starloom.functions.calendar import date_spine_of
 from starloom.operators import merge
 from starloom.plans.roles import dim_salesperson_person
-from starloom.sources import contracts, files, incremental, loads
+from starloom.sources import contracts, files, incremental, loads, ranges
 from starloom.sources.layers import LayerStore, route
 
 # The landing tables are the orders as two exports: the second starts before the
@@ -137,6 +137,54 @@ def csv_landing_orders(ctx: Context) -> DataFrame:
     return files.land_csv(ctx.spark, path, "sales__Orders")
 
 
+_SOON = "OrderID % 50 = 3"
+_NAMED = "OrderID % 70 = 5"
+
+
+@query(
+    f"""
+    select cast(OrderID as varchar) as order_id, CustomerID as customer_id,
+        ExpectedDeliveryDate as expected, 'landed' as outcome, null as reason
+    from sales__Orders where not ({_SOON} or {_NAMED})
+    union all
+    select cast(OrderID as varchar), null, null, 'rejected', concat_ws('; ',
+        case when {_NAMED} then 'CustomerID is not bigint: C' || CustomerID end,
+        case when {_SOON} then 'ExpectedDeliveryDate is not date: soon' end)
+    from sales__Orders where {_SOON} or {_NAMED}"""
+)
+def csv_landing_rejects(ctx: Context) -> DataFrame:
+    """An export some of whose values don't have their type: the rest lands."""
+    path, schema = f"{ctx.store.root}/exports/untidy", contracts.RAW_TABLES["sales__Orders"]
+    named = F.when(F.expr(_NAMED), F.concat(F.lit("C"), "CustomerID"))
+    untidy = ctx.raw["sales__Orders"].withColumns(
+        {
+            "CustomerID": F.coalesce(named, F.col("CustomerID").cast("string")),
+            "ExpectedDeliveryDate": F.when(F.expr(_SOON), "soon").otherwise(
+                F.col("ExpectedDeliveryDate").cast("string")
+            ),
+        }
+    )
+    files.write_csv(untidy, path)
+    landed, rejects = files.land_csv_with_rejects(
+        ctx.spark, path, schema, f"{ctx.store.root}/landing"
+    )
+    good = landed.select(
+        F.col("OrderID").cast("string").alias("order_id"),
+        F.col("CustomerID").alias("customer_id"),
+        F.col("ExpectedDeliveryDate").alias("expected"),
+        F.lit("landed").alias("outcome"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    bad = rejects.select(
+        F.split("record", ",")[0].alias("order_id"),
+        F.lit(None).cast("bigint").alias("customer_id"),
+        F.lit(None).cast("date").alias("expected"),
+        F.lit("rejected").alias("outcome"),
+        "reason",
+    )
+    return good.unionByName(bad)
+
+
 @query(
     """
     select cast(unnest(generate_series(min(OrderDate), max(OrderDate), interval 1 day)) as date)
@@ -200,6 +248,76 @@ def parquet_scan(ctx: Context) -> DataFrame:
     return ctx.given("lineitem")
 
 
+RANGED = (("orders", "o_custkey", 16), ("lineitem", "l_orderkey", 40), ("events", "user_id", 8))
+
+
+@query(
+    "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as row_count, count(*) as rows_in_one_range,"
+        f" cast(0 as bigint) as uneven_ranges from {t}"
+        for t, _, _ in RANGED
+    )
+    + """
+    union all
+    select 'skewed', count(*), count(*), 0 from lineitem"""
+)
+def range_bounds(ctx: Context) -> DataFrame:
+    """Ranges for parallel reads of keys, a skewed one among them, laid over their tables.
+
+    Uneven is a range of more than twice the average that isn't one value by itself. Of the
+    skewed key, a third of the rows have one value.
+    """
+    hot = F.when(F.col("l_linenumber") % 3 == 1, 77).otherwise(F.col("l_partkey"))
+    tables = [(name, ctx.given(name).select(F.col(c).alias("key")), n) for name, c, n in RANGED]
+    tables.append(("skewed", ctx.given("lineitem").select(hot.alias("key")), 25))
+    reports = []
+    for name, df, wanted in tables:
+        bounds = ranges.range_bounds(df, "key", wanted)
+        met = df.join(
+            F.broadcast(bounds), ranges.in_range(F.col("key"), F.col("lower"), F.col("upper"))
+        )
+        counted = met.groupBy("number").agg(
+            F.count(F.lit(1)).alias("n"), (F.min("key") < F.max("key")).alias("several")
+        )
+        total = df.agg(F.count(F.lit(1)).alias("row_count"))
+        uneven = F.count_if(F.col("several") & (F.col("n") * wanted > 2 * F.col("row_count")))
+        reports.append(
+            counted.join(F.broadcast(total))
+            .groupBy("row_count")
+            .agg(F.sum("n").alias("rows_in_one_range"), uneven.alias("uneven_ranges"))
+            .select(F.lit(name).alias("table_name"), "row_count", "rows_in_one_range", "uneven_ranges")
+        )
+    first, *others = reports
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
+FOOTERS = (("orders", "o_orderkey"), ("lineitem", "l_partkey"), ("events", "event_id"))
+
+
+@query(
+    "\nunion all\n".join(
+        f"select '{t}' as table_name, count(*) as row_count, min({c}) as least, max({c}) as greatest from {t}"
+        for t, c in FOOTERS
+    )
+)
+def footer_statistics(ctx: Context) -> DataFrame:
+    """Counts and ends of keys from the files' footers; no column is read."""
+    found = []
+    for table, column in FOOTERS:
+        counted = files.footer_aggregate(
+            ctx.spark,
+            f"{ctx.sf_dir}/{table}.parquet",
+            F.count(F.lit(1)).alias("row_count"),
+            F.min(column).alias("least"),
+            F.max(column).alias("greatest"),
+        )
+        found.append((table, *counted.first()))
+    schema = "table_name string, row_count bigint, least bigint, greatest bigint"
+    return ctx.spark.createDataFrame(found, schema)
+
+
 def _reflection_sql(table: str, columns: list[tuple[str, str]]) -> str:
     parts = []
     for position, (column, kind) in enumerate(columns, start=1):
@@ -603,3 +721,62 @@ def scd2_merge(ctx: Context) -> DataFrame:
     )
     at = F.lit(SECOND_SEEN).cast("timestamp")
     return merge.scd2_merge(history, second, ["customer_key"], TRACKED, at)
+
+
+LATE_AT, SNAPSHOT_AT, GONE_AT = "2024-02-01 00:00:00", "2024-03-01 00:00:00", "2024-04-01 00:00:00"
+
+
+@query(
+    f"""
+    select * from (with customer as (
+        select customer_key, credit_limit, payment_term_days, is_on_credit_hold as held,
+            cast(case when credit_limit > 5000 then 30 else payment_term_days end as int) as longer
+        from stg_sales_customer),
+    event as (
+        select customer_key, timestamp '{FIRST_SEEN}' as moment, credit_limit,
+            payment_term_days, true as alive from customer where not held
+        union all
+        select customer_key, timestamp '{LATE_AT}', cast(credit_limit + 100 as decimal(18,2)),
+            payment_term_days, true from customer where customer_key % 3 = 0
+        union all
+        select customer_key, timestamp '{SNAPSHOT_AT}', credit_limit, longer, true from customer
+        where held or longer is distinct from payment_term_days
+        union all
+        select customer_key, timestamp '{GONE_AT}', null, null, false from customer
+        where customer_key % 7 = 0),
+    told as (
+        select *, row_number() over w as number, lag(credit_limit) over w as old_limit,
+            lag(payment_term_days) over w as old_days
+        from event window w as (partition by customer_key order by moment)),
+    news as (
+        select * from told where not alive or number = 1
+            or credit_limit is distinct from old_limit or payment_term_days is distinct from old_days),
+    spans as (select *, lead(moment) over (partition by customer_key order by moment) as valid_to from news)
+    select customer_key, credit_limit, payment_term_days, moment as valid_from, valid_to,
+        valid_to is null as is_current
+    from spans where alive)"""
+)
+def scd2_late(ctx: Context) -> DataFrame:
+    """A snapshot, customers that a later one lacks, and last a delivery older than both."""
+    tracked, keys = ["credit_limit", "payment_term_days"], ["customer_key"]
+    customers = ctx.stg["stg_sales_customer"].select(*keys, *tracked, "is_on_credit_hold")
+
+    def at(time: str):
+        return F.lit(time).cast("timestamp")
+
+    first = merge.scd2_start(
+        customers.filter(~F.col("is_on_credit_hold")), [*keys, *tracked], at(FIRST_SEEN)
+    )
+    history = ctx.store.replace(first, "dwh", "history_1")
+    longer = F.when(F.col("credit_limit") > 5000, 30).otherwise(F.col("payment_term_days"))
+    snapshot = customers.withColumns({"payment_term_days": longer, "effective": at(SNAPSHOT_AT)})
+    history = merge.scd2_apply(history, snapshot, keys, tracked, "effective")
+    history = ctx.store.replace(history, "dwh", "history_2")
+    gone = merge.missing_keys(history, customers.filter("customer_key % 7 <> 0"), keys, at(GONE_AT))
+    history = merge.scd2_apply(history, gone, keys, tracked, "effective", "deleted")
+    history = ctx.store.replace(history, "dwh", "history_3")
+    raised = (F.col("credit_limit") + 100).cast("decimal(18,2)")
+    late = customers.filter("customer_key % 3 = 0").withColumns(
+        {"credit_limit": raised, "effective": at(LATE_AT)}
+    )
+    return merge.scd2_apply(history, late, keys, tracked, "effective")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import JoinLimits, Lookup, near_dims
+from starloom.operators.lookup import JoinLimits, Lookup, fits_broadcast, near_dims
 
 
 @dataclass(frozen=True)
@@ -184,6 +184,123 @@ def mismatched_rows(source: DataFrame, warehouse: DataFrame) -> DataFrame:
     )
 
 
+def bucket_digests(df: DataFrame, key: str, width: int, columns: Sequence[str]) -> DataFrame:
+    """(bucket, rows, total, parity): what a range of ``width`` keys holds, in any order.
+
+    Each row becomes a hash of all its columns; a bucket has their number, sum and XOR. Two
+    sides with equal digests have equal rows but for a chance of some 2 ^ -64 a bucket.
+    """
+    bucket = F.floor(F.col(key) / width).alias("bucket")
+    row = F.xxhash64(*columns)
+    return df.groupBy(bucket).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(row.cast("decimal(20,0)")).alias("total"),
+        F.bit_xor(row).alias("parity"),
+    )
+
+
+def differing_buckets(
+    source: DataFrame, warehouse: DataFrame, key: str, width: int, columns: Sequence[str]
+) -> DataFrame:
+    """The buckets of keys whose rows aren't the same on both sides; a NULL key has its own."""
+    sides = [
+        bucket_digests(df, key, width, columns).select(
+            F.col("bucket").alias(f"{side}_bucket"), F.struct("rows", "total", "parity").alias(side)
+        )
+        for df, side in ((source, "source"), (warehouse, "warehouse"))
+    ]
+    both = sides[0].join(sides[1], F.col("source_bucket").eqNullSafe(F.col("warehouse_bucket")), "full")
+    return both.filter(~F.col("source").eqNullSafe(F.col("warehouse"))).select(
+        F.coalesce("source_bucket", "warehouse_bucket").alias("bucket")
+    )
+
+
+def key_ranges(buckets: Sequence[int], most: int) -> list[tuple[int, int]]:
+    """Buckets as runs, first and last; the closest are put together until there are ``most``."""
+    ordered = sorted(set(buckets))
+    by_gap = sorted(range(1, len(ordered)), key=lambda i: ordered[i] - ordered[i - 1], reverse=True)
+    breaks = sorted(i for i in by_gap[: most - 1] if ordered[i] > ordered[i - 1] + 1)
+    starts = [0, *breaks] if ordered else []
+    ends = [*breaks, len(ordered)]
+    return [(ordered[a], ordered[b - 1]) for a, b in zip(starts, ends)]
+
+
+def mismatched_rows_by_digest(
+    source: DataFrame,
+    warehouse: DataFrame,
+    key: str,
+    width: int,
+    most_ranges: int = 64,
+) -> DataFrame:
+    """As :func:`mismatched_rows`, comparing rows only where a bucket of keys differs.
+
+    What is shuffled of the buckets that agree is a digest a bucket and task. The second step
+    reads the key ranges of the others only, by filters that reach the scan: ``width`` is
+    chosen so that buckets are few enough to be named by the driver (a billion keys in a bucket
+    is none too wide), and ranges beyond ``most_ranges`` are read together with what is between
+    them. Both sides should be laid out by the key.
+    """
+    columns = source.columns
+    found = differing_buckets(source, warehouse, key, width, columns).collect()
+    buckets = [int(row["bucket"]) for row in found if row["bucket"] is not None]
+    wanted = F.col(key).isNull() if len(buckets) < len(found) else F.lit(False)
+    for first, last in key_ranges(buckets, most_ranges):
+        wanted = wanted | ((F.col(key) >= first * width) & (F.col(key) < (last + 1) * width))
+    return mismatched_rows(source.filter(wanted), warehouse.filter(wanted))
+
+
+def _bitmaps(df: DataFrame, key: str, *counts: Column) -> DataFrame:
+    """(bucket, bits, counts): the integer keys of each range of 32,768 as one bitmap."""
+    value = F.col(key)
+    return (
+        df.filter(value.isNotNull())
+        .groupBy(F.bitmap_bucket_number(value).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bits"), *counts)
+    )
+
+
+def _in_buckets(df: DataFrame, key: str, buckets: DataFrame) -> DataFrame:
+    """Rows whose key is in one of the buckets, which are measured before they are broadcast."""
+    buckets = buckets.select(F.col("bucket").alias("__bucket"))
+    buckets = F.broadcast(buckets) if fits_broadcast(buckets) else buckets
+    return df.join(buckets, F.bitmap_bucket_number(key) == F.col("__bucket"), "left_semi")
+
+
+def unique_by_bitmap(df: DataFrame, relation: str, key: str) -> DataFrame:
+    """As :func:`unique` for one integer key, by bitmaps.
+
+    A range of keys with as many bits as rows holds each once. What is shuffled is a bitmap for
+    32,768 keys and task, 4 KB, so keys should be dense, as running numbers are; rows are counted
+    by key only in ranges with fewer bits than rows. Several rows without a key are one repeated
+    key, as there.
+    """
+    ranges = _bitmaps(df, key, F.count(F.lit(1)).alias("rows"))
+    repeated = ranges.filter(F.bitmap_count("bits") < F.col("rows"))
+    suspect = _in_buckets(df, key, repeated).unionByName(df.filter(F.col(key).isNull()))
+    return unique(suspect, relation, [key])
+
+
+def relationship_by_bitmap(df: DataFrame, target: DataFrame, edge: Edge) -> DataFrame:
+    """As :func:`relationship` for integer keys, by bitmaps of both sides.
+
+    The keys in use and the known ones of a range, OR-ed, have no more bits than the known ones
+    alone, or one is missing. Only in such ranges are keys themselves compared.
+    """
+    known = _bitmaps(target, edge.target_key).withColumn("is_known", F.lit(True))
+    used = _bitmaps(df, edge.column).withColumn("is_known", F.lit(False))
+    empty = F.lit(None).cast("binary")
+    of_known = F.when(F.col("is_known"), F.col("bits")).otherwise(empty)
+    missing = (
+        known.unionByName(used)
+        .groupBy("bucket")
+        .agg(F.bitmap_or_agg("bits").alias("all"), F.bitmap_or_agg(of_known).alias("known"))
+        .filter(F.bitmap_count("all") > F.coalesce(F.bitmap_count("known"), F.lit(0)))
+    )
+    return relationship(
+        _in_buckets(df, edge.column, missing), _in_buckets(target, edge.target_key, missing), edge, False
+    )
+
+
 def naming(df: DataFrame, relation: str) -> list[tuple[str, str]]:
     """Columns that break a naming rule, with the rule. Warnings, not failures."""
     found = []

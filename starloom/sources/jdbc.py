@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.sources.ranges import predicates
 
 @dataclass(frozen=True)
 class JdbcSource:
@@ -17,9 +18,10 @@ class JdbcSource:
     ``customSchema`` ...). ``fetch_size`` is how many rows come per round trip; None
     leaves it to the driver, and some drivers then hold a whole table in memory.
     ``ranges`` maps a table to a column and a number of parallel range reads over
-    it; choose a unique, evenly spread column, since the ranges are of equal width
-    and a hot value would put its rows into one task. A table without ranges is read
-    by one task, and a warning says so. ``catalog_query`` lists table names and differs
+    it, which are of equal width and suit a unique, evenly spread column. ``measured`` maps
+    a table to a numeric column and its bounds (:func:`starloom.sources.ranges.range_bounds`,
+    over the copy landed last): ranges of about equally many rows, a hot value apart. A
+    table without either is read by one task, and a warning says so. ``catalog_query`` lists table names and differs
     per database; the default is the standard information schema, with names qualified
     by their schema unless ``schema`` is given.
     """
@@ -30,6 +32,7 @@ class JdbcSource:
     options: Mapping[str, str] = field(default_factory=dict)
     fetch_size: int | None = 10_000
     ranges: Mapping[str, tuple[str, int]] = field(default_factory=dict)
+    measured: Mapping[str, tuple[str, DataFrame]] = field(default_factory=dict)
     catalog_query: str | None = None
 
     def _named(self, table: str) -> str:
@@ -76,6 +79,16 @@ class JdbcSource:
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
         """One table; filters and the column list are pushed to the database."""
         ends = None
+        if table in self.measured:
+            column, bounds = self.measured[table]
+            settings = {"fetchsize": str(self.fetch_size)} if self.fetch_size else {}
+            df = self.spark.read.jdbc(
+                self.url,
+                self._named(table),
+                predicates=predicates(bounds, column),
+                properties={**self.options, **settings},
+            )
+            return df.select(*columns) if columns else df
         if table in self.ranges:
             column = self.ranges[table][0]
             bounds = f"select min({column}) lo, max({column}) hi from {self._named(table)}"
