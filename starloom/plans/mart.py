@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
 from starloom.functions.columns import filtered_columns, interleaved, prefixed
-from starloom.operators.lookup import JoinLimits, Lookup, fits_broadcast, left_lookups
+from starloom.operators.lookup import JoinLimits, Lookup, broadcast_bytes, left_lookups
 
 # Columns the mart leaves out. salesperson_key stays in, as in the
 # mart being matched.
@@ -49,18 +50,19 @@ SHORT_DATE_ROLES = (
 
 
 def customer_with_bill_to(
-    dim_customer: DataFrame, limits: JoinLimits = JoinLimits()
+    dim_customer: DataFrame, limits: JoinLimits = JoinLimits(), size: str = "measured"
 ) -> DataFrame:
     """Customers with the name of the customer that pays for them.
 
     Reached through the customer, so it is resolved here, once per customer,
-    instead of once per order line.
+    instead of once per order line. ``size`` is what is known of the customers.
     """
     payer = Lookup(
         dim_customer,
         "bill_to_customer_key",
         "customer_key",
         {"customer_name": "bill_to_customer_name"},
+        size,
     )
     return left_lookups(dim_customer, [payer], ["customer_key"], limits)
 
@@ -107,9 +109,12 @@ def mart_sales_order_line(
     ``tables`` are the written dimensions and fact: read lazily from staging, the
     customer dimension alone would be worked out twice.
     """
-    customers = customer_with_bill_to(tables["dim_customer"], limits)
-    # With the payer added a large dimension is no smaller: do not join to find out.
-    small = fits_broadcast(tables["dim_customer"], limits)
+    # The whole customer is measured, once: the payer's name doubles its bytes at most, and
+    # is no reason to join a large dimension to find out.
+    size = broadcast_bytes(tables["dim_customer"], limits)
+    known = "measured" if size is None else "bounded"
+    customers = customer_with_bill_to(tables["dim_customer"], limits, known)
+    left = limits if size is None else replace(limits, plan_bytes=limits.plan_bytes - 2 * size)
     attributes = filtered_columns(tables["dim_customer"], CUSTOMER_EXCLUDED)
     customer = prefixed(attributes, "customer_") | {
         "bill_to_customer_name": "bill_to_customer_name"
@@ -123,7 +128,7 @@ def mart_sales_order_line(
             {name: name for name in STOCK_ITEM_TAKEN},
         ),
         Lookup(
-            customers, "customer_key", "customer_key", customer, "measured" if small else "large"
+            customers, "customer_key", "customer_key", customer, "large" if size is None else known
         ),
         Lookup(
             tables["dim_package_type"], "package_type_key", "package_type_key", PACKAGE_TYPE_TAKEN
@@ -131,6 +136,6 @@ def mart_sales_order_line(
         *date_lookups(tables["dim_date"]),
     ]
     joined = left_lookups(
-        tables["fact_sales_order_line"], lookups, ["sales_order_line_key"], limits
+        tables["fact_sales_order_line"], lookups, ["sales_order_line_key"], left
     )
     return joined.select(*mart_columns(tables))
