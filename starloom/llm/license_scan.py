@@ -3,11 +3,13 @@
 The canonical form is lower case, without copyright lines, with equivalent spellings made one
 and every run of punctuation or white space made one space. Entire texts are looked up: the
 whole document, and each of its lines taken as a text of its own (notices are such lines). Known
-texts go through the same function; their digests are a small table, counted before it is
-broadcast.
+texts go through the same function; their digests are a small table, measured before it is
+broadcast. ``built_in`` has the short licences and notices below; whole long ones (Apache-2.0, the
+GPL and others) come from a table (license, text) or a folder of their texts (``from_folder``).
 
 Defined cases: null text is empty; an empty canonical form matches nothing. Known texts that
-become equal report the least id. Repeated documents get a row each.
+become equal report the least id. Repeated documents get a row each. Other columns aren't read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -54,7 +56,69 @@ _ISC_END = (
     " CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE"
     " OR PERFORMANCE OF THIS SOFTWARE."
 )
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    " provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of"
+    " conditions and the following disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of"
+    " conditions and the following disclaimer in the documentation and/or other materials provided"
+    " with the distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to"
+    " endorse or promote products derived from this software without specific prior written"
+    " permission.\n\n"
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR'
+    " IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY"
+    " AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER"
+    " OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR"
+    " CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR"
+    " SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY"
+    " THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR"
+    " OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE"
+    " POSSIBILITY OF SUCH DAMAGE."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will"
+    " the authors be held liable for any damages arising from the use of this software.\n\n"
+    "Permission is granted to anyone to use this software for any purpose, including commercial"
+    " applications, and to alter it and redistribute it freely, subject to the following"
+    " restrictions:\n\n"
+    "1. The origin of this software must not be misrepresented; you must not claim that you wrote"
+    " the original software. If you use this software in a product, an acknowledgment in the"
+    " product documentation would be appreciated but is not required.\n\n"
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as"
+    " being the original software.\n\n"
+    "3. This notice may not be removed or altered from any source distribution."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,"
+    " either in source code form or as a compiled binary, for any purpose, commercial or"
+    " non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software"
+    " dedicate any and all copyright interest in the software to the public domain. We make this"
+    " dedication for the benefit of the public at large and to the detriment of our heirs and"
+    " successors. We intend this dedication to be an overt act of relinquishment in perpetuity of"
+    " all present and future rights to this software under copyright law.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING'
+    " BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND"
+    " NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER"
+    " LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN"
+    " CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
 KNOWN: list[tuple[str, str]] = [
+    ("BSD-2-Clause", _BSD_GRANT + _BSD_END),
+    ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_GRANT + _BSD_END),
+    ("BSD-3-Clause", _BSD_GRANT + _BSD_NAMES + _BSD_END),
+    ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_GRANT + _BSD_NAMES + _BSD_END),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <https://unlicense.org/>"),
+    ("Zlib", _ZLIB),
+    ("Zlib", "zlib License\n\n" + _ZLIB),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -127,6 +191,13 @@ def built_in(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(KNOWN, "license string, text string")
 
 
+def from_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """(license, text) of a folder of entire licence texts, each named by its file."""
+    files = spark.read.text(folder, wholetext=True)
+    name = F.regexp_extract("_metadata.file_name", r"^(.*?)(\.txt)?$", 1)
+    return files.select(name.alias("license"), F.col("value").alias("text"))
+
+
 def scan(docs: DataFrame, known: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc id, digest, license, n_license_lines, licenses) for every document.
 

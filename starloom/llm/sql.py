@@ -201,7 +201,16 @@ def _urls() -> str:
     uf = url_filter
     host = f"regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"
     path = "regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
-    two = ", ".join(f"'{suffix}'" for suffix in uf.TWO_LABEL_SUFFIXES)
+    others, plain, second = (
+        ", ".join(f"'{x}'" for x in names)
+        for names in (uf.OTHER_SUFFIXES, uf.PLAIN_COUNTRIES, uf.SECOND_LEVEL)
+    )
+    # The incomplete beta function as a series of positive terms.
+    series = (
+        "list_sum(list_transform(range(0, 5000 + (4 * (a + b))::bigint), n -> exp("
+        "lgamma(a + b + n) - lgamma(a + 1 + n) - lgamma(b)"
+        f" + (a + n) * ln({uf.MIN_GOOD}::double) + b * ln(1 - {uf.MIN_GOOD}::double))))"
+    )
     strength = (
         f"least(greatest(coalesce((select case when beyond > 0 then chance / beyond - 1 end from (select"
         " sum((n - 1) * prior * (1 - prior)) as chance,"
@@ -241,8 +250,9 @@ named as (
         string_split(regexp_replace(host, ':[0-9]*$', ''), '.') as l
     from outcome group by host),
 sized as (
-    select *, case when len(l) > 1 and array_to_string(l[-2:], '.') in ({two}) then 2 else 1 end
-        as k from named),
+    select *, case when len(l) > 1 and (array_to_string(l[-2:], '.') in ({others})
+            or length(l[-1]) = 2 and l[-1] not in ({plain}) and l[-2] in ({second}))
+        then 2 else 1 end as k from named),
 hosts as (
     select host, n, g, array_to_string(case when len(l) > k then l[-(k + 1):] else l end, '.')
         as domain, array_to_string(l[-k:], '.') as suffix from sized),
@@ -259,10 +269,9 @@ dom as (
 {level("dom")},
 hst as (select host, hosts.n, hosts.g, mean as prior from hosts join dom_m using (domain)),
 {level("hst")},
-judged as (
-    select host, mean + {uf.Z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as upper from hst_m)
+judged as (select host, {series} as below from hst_m)
 select page_id, host, path, case {rule} end as rule,
-    case {verdict} when upper < {uf.MIN_GOOD} then 'block' else 'allow' end as verdict
+    case {verdict} when below >= {uf.SURE} then 'block' else 'allow' end as verdict
 from page join judged using (host)
 """
 

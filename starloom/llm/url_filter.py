@@ -3,18 +3,27 @@
 Labelled page outcomes (good or not) are counted per host, registered domain and suffix. Each
 level's good rate is shrunk towards the level above: a level's prior is a beta distribution whose
 mean is the parent's shrunk rate and whose strength is the moment estimate of how little the
-level's rates differ from their parents' (at least ``MIN_STRENGTH``). A host is blocked if the
-upper bound of its posterior, mean plus ``Z`` standard deviations, is below ``MIN_GOOD``.
+level's rates differ from their parents' (at least ``MIN_STRENGTH``). A host is blocked if its
+posterior puts at least ``SURE`` of its weight on rates below ``MIN_GOOD``: the upper bound of the
+posterior is its ``SURE`` quantile, and it is below ``MIN_GOOD`` if the regularised incomplete beta
+function there is that large. The function is worked out by its continued fraction.
+
+A registered domain is a public suffix and one label. Public suffixes of two labels are those whose
+last label is a country and whose first one is ``SECOND_LEVEL``, and what ``suffixes`` names; any
+other suffix is the last label.
 
 Counts are summed before the shuffle, so a host with a third of all pages is one row by then. The
 reputations are one row per host, joined by broadcast when counted small. Defined cases: a null
 URL or one without ``://`` has empty host and path, no rule, and the root's reputation, as has
-any host without a dot for its domain and suffix. Outcomes that are null count for nothing.
-Repeated pages get a row each; other columns are kept in ``row``.
+any host without a dot for its domain and suffix. Outcomes that are null count for nothing. Of
+rules that fit with equal length the later one counts. Repeated pages get a row each; other columns
+are kept in ``row``, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +37,18 @@ RULES: list[tuple[str, str, str]] = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
-# Public suffixes of two labels; any other suffix is the last label.
-TWO_LABEL_SUFFIXES = ["ac.uk", "co.jp", "co.nz", "co.uk", "com.au", "com.br", "gov.uk", "org.uk"]
+# First labels of public suffixes below a country's, as in co.in or com.cn.
+SECOND_LEVEL = "ac co com edu go gob gov gouv govt ltd me mil ne net nom or org plc sch".split()
+# Countries under which such labels are registered by anyone, and are no suffixes.
+PLAIN_COUNTRIES = "at ch cz de dk eu fi fr it nl no se us".split()
+# Others, sites of unrelated owners.
+OTHER_SUFFIXES = ["blogspot.com", "github.io", "herokuapp.com", "netlify.app", "pages.dev", "wordpress.com"]
 MIN_STRENGTH = 2.0
 MAX_STRENGTH = 1000.0
 MIN_GOOD = 0.6
-Z = 1.645
+SURE = 0.95
+# Terms of the continued fraction; for strengths of a million, far more than are needed.
+TERMS = 200
 
 
 def host_of(url: Column) -> Column:
@@ -46,14 +61,18 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(text, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1)
 
 
-def levels(host: Column) -> Column:
+def levels(host: Column, suffixes: list[str] = OTHER_SUFFIXES) -> Column:
     """(suffix, domain) of a host; its port is left out."""
     name = F.regexp_replace(host, r":[0-9]*$", "")
 
     def split(labels: Column) -> Column:
         two = F.array_join(F.slice(labels, -2, 2), ".")
+        country, below = F.element_at(labels, -1), F.try_element_at(labels, F.lit(-2))
+        by_country = (
+            (F.length(country) == 2) & ~country.isin(PLAIN_COUNTRIES) & below.isin(SECOND_LEVEL)
+        )
         last = F.when(
-            (F.size(labels) > 1) & two.isin(TWO_LABEL_SUFFIXES), F.lit(2)
+            (F.size(labels) > 1) & (by_country | two.isin(suffixes)), F.lit(2)
         ).otherwise(F.lit(1))
         return let(
             last,
@@ -106,7 +125,10 @@ def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
 
 
 def reputations(outcomes: DataFrame) -> DataFrame:
-    """(host, upper) for every host, from rows (host, good); ``good`` is null if not known."""
+    """(host, below) for every host, from rows (host, good); ``good`` is null if not known.
+
+    ``below`` is the weight of the host's posterior on rates under ``MIN_GOOD``.
+    """
     known = F.col("good").isNotNull()
     hosts = written(
         outcomes.groupBy("host")
@@ -128,9 +150,51 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     by_suffix = _shrunk(suffixes, root, "root")
     by_domain = _shrunk(domains, by_suffix, "suffix")
     by_host = _shrunk(hosts.drop("suffix"), by_domain.drop("suffix"), "domain")
-    total = F.col("a") + F.col("b")
-    spread = F.sqrt(F.col("a") * F.col("b") / (total * total * (total + 1)))
-    return by_host.select("host", (F.col("mean") + Z * spread).alias("upper"))
+    return by_host.select("host", beta_weight(F.col("a"), F.col("b"), MIN_GOOD).alias("below"))
+
+
+def log_gamma(x: Column) -> Column:
+    """Of positive numbers, by Stirling's series from 8 on; good to 12 digits."""
+    # ln gamma(x) is ln gamma(x + 8) less the logarithms of x, x + 1, ... x + 7.
+    low = F.log(x)
+    for k in range(1, 8):
+        low = low + F.log(x + k)
+    y = x + 8
+    z = 1 / (y * y)
+    series = (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z / 1188)))) / y
+    return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + series - low
+
+
+def beta_weight(a: Column, b: Column, x: float) -> Column:
+    """The weight that a beta distribution has below ``x``."""
+
+    def lower(a: Column, b: Column, x: float) -> Column:
+        # Lentz's way through the continued fraction, from its first term on.
+        tiny = 1e-300
+        front = F.exp(
+            log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * math.log(x) + b * math.log1p(-x)
+        )
+
+        def kept(value: Column) -> Column:
+            return F.when(F.abs(value) < tiny, F.lit(tiny)).otherwise(value)
+
+        def step(acc: Column, m: Column) -> Column:
+            even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            d1 = 1 / kept(1 + even * acc["d"])
+            c1 = kept(1 + even / acc["c"])
+            d2 = 1 / kept(1 + odd * d1)
+            c2 = kept(1 + odd / c1)
+            return F.struct(c2.alias("c"), d2.alias("d"), (acc["f"] * d1 * c1 * d2 * c2).alias("f"))
+
+        d = 1 / kept(1 - (a + b) * x / (a + 1))
+        start = F.struct(F.lit(1.0).alias("c"), d.alias("d"), d.alias("f"))
+        terms = F.transform(F.sequence(F.lit(1), F.lit(TERMS)), lambda i: i.cast("double"))
+        return front * F.aggregate(terms, start, step)["f"] / a
+
+    # The fraction converges quickly on the side of the mean only.
+    left = F.lit(x) < (a + 1) / (a + b + 2)
+    return F.when(left, lower(a, b, x)).otherwise(1 - lower(b, a, 1 - x))
 
 
 def judge(
@@ -148,7 +212,7 @@ def judge(
     )
     known = written(reputations(rows.select("host", "good")), "reputations")
     by_rule = ruled(F.col("host"), F.col("path"), rules)
-    by_host = F.when(F.col("upper") < MIN_GOOD, F.lit("block")).otherwise(F.lit("allow"))
+    by_host = F.when(F.col("below") >= SURE, F.lit("block")).otherwise(F.lit("allow"))
     return (
         join_measured(rows.drop("good"), known, ["host"])
         .withColumn("by_rule", by_rule)
