@@ -2,7 +2,7 @@
 
 1. Texts are read as UTF-8. In every window of ``LENGTH`` bytes the ``GRAM``-byte string of least
    hash is the window's anchor (ties: the first), so equal windows have equal anchors at equal
-   places. Anchors are shuffled by hash, and those found once are dropped.
+   places. Anchors are counted by hash, and those found once are dropped.
 2. An anchor that is left gives its context, the bytes of all windows it is the anchor of. Equal
    contexts are counted (summed before the shuffle); contexts of one anchor come together.
 3. Contexts of anchors with several of them are put into batches. A batch's Burrows-Wheeler
@@ -10,9 +10,12 @@
    bytes gives, for each byte ahead of it, a border of suffixes that differ after l + 1. Borders
    come up by increasing common prefix, and the search stops at ``LENGTH``: suffixes with no
    border between them share that much, and their windows are repeats.
-4. An anchor with more than ``MAX_CONTEXTS`` contexts isn't put into one batch: its windows are
-   counted by their hashes (128 bits) instead, up to ``MAX_WINDOWS`` where they are and beyond
-   that by a shuffle on the hash.
+4. An anchor with more than ``MAX_CONTEXTS`` contexts is split until its groups are small. A window
+   has some p bytes ahead of the anchor and the rest behind: either more than half of what it can
+   have ahead, and then its context goes to those with the same bytes there, or as much behind,
+   and then to those with the same bytes there. A context goes both ways, contexts that share a
+   window meet in one of them, and the next split halves the choice of p again. A group for one p
+   only is one window, which is repeated if several contexts have it.
 
 A context that occurs in two places is a repeat as it stands, as is a text that occurs twice.
 Texts are stood for by 64-bit hashes, contexts too (with the anchor's). Defined cases: null and
@@ -28,15 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import BROADCAST_ROWS, join_measured, text_of, written
+from starloom.llm.common import join_measured, text_of, written
 
 LENGTH = 200
 GRAM = 32
 MAX_CONTEXTS = 500
-MAX_WINDOWS = 4_000_000
 BATCH_BYTES = 1 << 15
 CHUNK = 1 << 22
 FLUSH_ROWS = 50_000
@@ -58,7 +60,7 @@ def _gram_hashes(data: bytes) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(hash, first window, last window) of each anchor, in order.
+    """(hash, first window, last window, place) of each anchor, in order.
 
     Very long texts are read in chunks that overlap, so that a place fits into 24 bits.
     """
@@ -68,7 +70,7 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
 
 def _anchors(data: bytes, length: int, at: int) -> tuple[np.ndarray, ...]:
     if len(data) < length:
-        return (np.zeros(0, dtype=np.uint64), *(np.zeros(0, dtype=np.int64),) * 2)
+        return (np.zeros(0, dtype=np.uint64), *(np.zeros(0, dtype=np.int64),) * 3)
     hashes = _gram_hashes(data)
     least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     width, wanted = 1, length - GRAM + 1
@@ -79,7 +81,7 @@ def _anchors(data: bytes, length: int, at: int) -> tuple[np.ndarray, ...]:
     place = (least & _PLACE).astype(np.int64)
     starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     ends = np.concatenate([starts[1:], [len(place)]]) - 1
-    return hashes[place[starts]], starts + at, ends + at
+    return hashes[place[starts]], starts + at, ends + at, place[starts] + at
 
 
 def _bytes_of(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[int, int, bytes]]:
@@ -99,7 +101,7 @@ def anchor_rows(classes: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             found, ids, places = [], [], []
             for _, key, data in _bytes_of(batch, seen):
-                hashes, first, _ = anchors(data, length)
+                hashes, first, _, _ = anchors(data, length)
                 found.append(hashes.view(np.int64))
                 ids.append(np.full(len(first), key, dtype=np.int64))
                 places.append(first)
@@ -110,41 +112,39 @@ def anchor_rows(classes: DataFrame, length: int) -> DataFrame:
     return classes.mapInArrow(run, "anchor long, id long, place long")
 
 
-def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted rows, those whose anchor occurs more than once; equal rows are one."""
-    names = ["anchor", "id", "place"]
-    held, given = None, False
-    for batch in batches:
-        rows = np.stack([batch.column(c).to_numpy() for c in names])
-        if held is not None:
-            rows = np.concatenate([held[:, None], rows], axis=1)
-        fresh = np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(axis=0)])
-        rows = rows[:, fresh]
-        same = rows[0, 1:] == rows[0, :-1]
-        keep = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        # The held row is given out with its successor, unless that was done before.
-        last = bool(keep[-1]) or (rows.shape[1] == 1 and given)
-        if held is not None and given:
-            keep[0] = False
-        held, given = rows[:, -1].copy(), last
-        if keep.any():
-            yield pa.record_batch([pa.array(c) for c in rows[:, keep]], names)
+def repeated_anchors(rows: DataFrame) -> DataFrame:
+    """Of (anchor, id, place), a written table, the places of anchors in several of them.
+
+    The least and the greatest place are found where rows lie first, so that an anchor of very
+    many texts sends one row a task.
+    """
+    place = F.struct("id", "place")
+    several = (
+        rows.groupBy("anchor")
+        .agg(F.min(place).alias("least"), F.max(place).alias("most"))
+        .where("least <> most")
+        .select("anchor")
+    )
+    return join_measured(rows, written(several, "anchors"), ["anchor"], "left_semi")
 
 
 def contexts(classes: DataFrame, places: DataFrame, length: int) -> DataFrame:
-    """(anchor, context hash, id, start, context) of each repeated anchor."""
+    """(anchor, code, id, start, context, ahead) of each repeated anchor.
+
+    ``code`` is the context's hash and ``ahead`` the number of its bytes ahead of the anchor.
+    """
     per_text = written(
         places.groupBy("id").agg(F.sort_array(F.collect_set("place")).alias("places")), "places"
     )
-    texts = join_measured(classes, per_text, ["id"], "inner", rows=BROADCAST_ROWS // 4)
+    texts = join_measured(classes, per_text, ["id"], "inner")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             wanted = batch.column("places")
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for i, key, data in _bytes_of(batch, seen):
-                hashes, first, last = anchors(data, length)
+                hashes, first, last, place = anchors(data, length)
                 at = np.flatnonzero(np.isin(first, wanted[i].values.to_numpy()))
                 cut = [data[a : b + length] for a, b in zip(first[at].tolist(), last[at].tolist(), strict=True)]
                 out[0] += hashes[at].view(np.int64).tolist()
@@ -152,18 +152,20 @@ def contexts(classes: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 out[2] += [key] * len(cut)
                 out[3] += first[at].tolist()
                 out[4] += cut
+                out[5] += (place - first)[at].tolist()
                 if len(cut) and len(out[0]) > FLUSH_ROWS:
                     yield _record(out)
-                    out = [[], [], [], [], []]
+                    out = [[], [], [], [], [], []]
             if out[0]:
                 yield _record(out)
 
     def _record(out: list[list]) -> pa.RecordBatch:
-        columns = [pa.array(c, pa.int64()) for c in out[:4]] + [pa.array(out[4], pa.binary())]
-        return pa.record_batch(columns, ["anchor", "code", "id", "start", "context"])
+        columns = [pa.array(c, pa.int64()) for c in out[:4]]
+        columns += [pa.array(out[4], pa.binary()), pa.array(out[5], pa.int32())]
+        return pa.record_batch(columns, ["anchor", "code", "id", "start", "context", "ahead"])
 
     return texts.select("id", "text", "places").mapInArrow(
-        run, "anchor long, code long, id long, start long, context binary"
+        run, "anchor long, code long, id long, start long, context binary, ahead int"
     )
 
 
@@ -252,137 +254,142 @@ def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
     ]
 
 
-class LargeGroup:
-    """The windows of an anchor with very many contexts, as hashes."""
-
-    def __init__(self, length: int, most: int):
-        self.length = length
-        self.most = most
-        # (anchor, code, number of windows, copies) of each context, and its windows' hashes.
-        self.contexts: list[tuple] = []
-        self.hashes: list[bytes] = []
-        self.windows = 0
-        self.full = False
-
-    def add(self, group: list[tuple]) -> None:
-        for anchor, code, context, n in group:
-            count = len(context) - self.length + 1
-            self.contexts.append((anchor, code, count, n))
-            self.windows += count
-            self.hashes += [
-                xxhash.xxh3_128_digest(context[at : at + self.length]) for at in range(count)
-            ]
-
-    def give_rows(self, out: list[list]) -> None:
-        """Too many to be counted here: all windows so far go out as rows."""
-        if not self.full and self.windows <= self.most:
-            return
-        self.full = True
-        at = 0
-        for anchor, code, count, n in self.contexts:
-            for start, digest in enumerate(self.hashes[at : at + count]):
-                high, low = np.frombuffer(digest, dtype="<i8").tolist()
-                out.append([anchor, code, start, int(n), high, low])
-            at += count
-        self.contexts, self.hashes, self.windows = [], [], 0
-
-    def give(self, out: list[list]) -> None:
-        """Spans of what is held, or its rows if others of the group are rows already."""
-        if self.full or self.windows > self.most:
-            self.full = True
-            return self.give_rows(out)
-        hashes = np.frombuffer(b"".join(self.hashes), dtype="<u8").reshape(-1, 2)
-        copies = np.repeat([n for *_, n in self.contexts], [c for _, _, c, _ in self.contexts])
-        order = np.lexsort((hashes[:, 0], hashes[:, 1]))
-        new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]).any(axis=1)])
-        block = np.cumsum(new) - 1
-        many = np.empty(len(order), dtype=bool)
-        many[order] = (np.bincount(block, copies[order]) > 1)[block]
-        at = 0
-        for anchor, code, count, _ in self.contexts:
-            hit = np.flatnonzero(many[at : at + count])
-            at += count
-            if len(hit):
-                for part in np.split(hit, np.flatnonzero(np.diff(hit) > self.length) + 1):
-                    out.append([anchor, code, int(part[0]), int(part[-1]) + self.length, None, None])
-
-
-_FOUND = "anchor long, code long, start int, end int, high long, low long"
-
-
-def expand(counted: DataFrame, length: int) -> DataFrame:
-    """Spans of each context, or the windows' hashes of anchors with too many contexts.
-
-    Reads (anchor, code, context, n) sorted by anchor; a row of the result has either a span
-    (start, end) in the context, or a window's start and hashes.
+_SPAN = "anchor long, code long, lo int, hi int"
+
+
+def expand(groups: DataFrame, length: int) -> DataFrame:
+    """(anchor, code, lo, hi): repeated spans of each context that its group shows.
+
+    Reads (key, anchor, code, context, n) sorted by key, the group.
     """
-    names = ["anchor", "code", "start", "end", "high", "low"]
+    names = ["anchor", "code", "lo", "hi"]
 
     def spans(group: list[tuple], hits: list[np.ndarray], out: list[list]) -> None:
-        for (anchor, code, context, n), hit in zip(group, hits, strict=True):
+        for (_, anchor, code, context, n), hit in zip(group, hits, strict=True):
             if n > 1:
-                out.append([anchor, code, 0, len(context), None, None])
+                out.append([anchor, code, 0, len(context)])
             elif len(hit):
                 gaps = np.flatnonzero(np.diff(hit) > length) + 1
                 for part in np.split(hit, gaps):
-                    out.append([anchor, code, int(part[0]), int(part[-1]) + length, None, None])
+                    out.append([anchor, code, int(part[0]), int(part[-1]) + length])
 
     def record(out: list[list]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         columns = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
         return pa.record_batch(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[tuple] = []
+        held: set[tuple] = set()
         size = 0
         out: list[list] = []
 
-        def close(group: list[tuple], large: LargeGroup | None) -> None:
+        def close(group: list[tuple]) -> None:
             nonlocal waiting, size
-            if large:
-                large.add(group)
-                large.give(out)
-            elif len(group) == 1:
+            own = {row[1:3] for row in group}
+            # A context may be in several groups, and must not be compared with itself.
+            if not held.isdisjoint(own):
+                settle()
+            if len(group) == 1:
                 # One context: no other text has this anchor in other surroundings.
                 spans(group, [np.zeros(0, dtype=np.int64)], out)
             else:
                 waiting += group
-                size += sum(len(row[2]) for row in group)
+                held.update(own)
+                size += sum(len(row[3]) for row in group)
                 if size >= BATCH_BYTES:
                     settle()
 
         def settle() -> None:
             nonlocal waiting, size
             if waiting:
-                hits = repeated_windows([row[2] for row in waiting], length)
+                hits = repeated_windows([row[3] for row in waiting], length)
                 spans(waiting, hits, out)
             waiting, size = [], 0
+            held.clear()
 
         group: list[tuple] = []
-        anchor, large = None, None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("anchor", "code", "context", "n")]
+            columns = [batch.column(c).to_pylist() for c in ("key", "anchor", "code", "context", "n")]
             for row in zip(*columns, strict=True):
-                if row[0] != anchor:
-                    if group or large:
-                        close(group, large)
-                    group, anchor, large = [], row[0], None
-                group.append(row)
-                if len(group) > MAX_CONTEXTS:
-                    large = large or LargeGroup(length, MAX_WINDOWS)
-                    large.add(group)
-                    large.give_rows(out)
+                if group and row[0] != group[0][0]:
+                    close(group)
                     group = []
+                group.append(row)
                 if len(out) > FLUSH_ROWS:
                     yield record(out)
                     out.clear()
-        if group or large:
-            close(group, large)
+        if group:
+            close(group)
         settle()
         if out:
             yield record(out)
 
-    return counted.mapInArrow(run, _FOUND)
+    return groups.mapInArrow(run, _SPAN)
+
+
+def _in_halves(groups: DataFrame, length: int) -> DataFrame:
+    """Each row of a group once for every half of the places its window may have.
+
+    ``least`` and ``most`` are the bytes that a shared window may have ahead of the anchor. All
+    rows of a group agree in the ``least`` bytes ahead, and in what is behind of a window with
+    ``most`` ahead.
+    """
+    middle = F.floor((F.col("least") + F.col("most")) / 2).cast("int")
+    room = length - GRAM
+    ahead, behind = middle + 1, room - middle
+    context, at = F.col("context"), F.col("ahead")
+    of_ahead = F.substring(context, at - ahead + 1, ahead)
+    of_behind = F.substring(context, at + GRAM + 1, behind)
+
+    def half(side: int, fits: Column, shared: Column, least: Column, most: Column) -> Column:
+        key = F.xxhash64("key", F.lit(side), shared)
+        return F.when(fits, F.struct(key.alias("key"), least.alias("least"), most.alias("most")))
+
+    halves = F.array_compact(
+        F.array(
+            half(0, at >= ahead, of_ahead, ahead, F.col("most")),
+            half(1, F.octet_length(context) - at - GRAM >= behind, of_behind, F.col("least"), middle),
+        )
+    )
+    rest = [c for c in groups.columns if c not in ("key", "least", "most")]
+    return groups.select(*rest, F.explode(halves).alias("half")).select(*rest, "half.*")
+
+
+def shared_spans(counted: DataFrame, length: int) -> DataFrame:
+    """(anchor, code, lo, hi) of each context, from (anchor, code, context, ahead, n)."""
+    zero, room = F.lit(0), F.lit(length - GRAM)
+    groups = counted.withColumns({"key": F.col("anchor"), "least": zero, "most": room})
+    whole = counted.where("n > 1").select("anchor", "code", zero.alias("lo"), F.octet_length("context").alias("hi"))
+    found = [written(whole, "whole")]
+    while True:
+        sizes = groups.groupBy("key").agg(F.count("*").alias("size"))
+        large = written(sizes.where(F.col("size") > MAX_CONTEXTS).select("key"), "large")
+        none = large.isEmpty()
+        small = groups if none else join_measured(groups, large, ["key"], "left_anti")
+        dealt = small.select("key", "anchor", "code", "context", "n").repartition("key")
+        found.append(written(expand(dealt.sortWithinPartitions("key"), length), "found"))
+        if none:
+            break
+        halved = _in_halves(join_measured(groups, large, ["key"], "left_semi"), length)
+        one = F.col("least") == F.col("most")
+        # One place is left: the rows of a key have the same window.
+        alone = halved.where(one)
+        twice = alone.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key")
+        start = F.col("ahead") - F.col("least")
+        found.append(
+            written(
+                join_measured(alone, written(twice, "twice"), ["key"], "left_semi").select(
+                    "anchor", "code", start.alias("lo"), (start + length).alias("hi")
+                ),
+                "windows",
+            )
+        )
+        groups = written(halved.where(~one), "halves")
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.union(more)
+    return spans
 
 
 def repeated_spans(docs: DataFrame, text: str, length: int = LENGTH) -> DataFrame:
@@ -390,10 +397,7 @@ def repeated_spans(docs: DataFrame, text: str, length: int = LENGTH) -> DataFram
     whole = F.make_valid_utf8(text_of(docs, text))
     long = docs.where(F.octet_length(whole) >= length)
     classes = long.select(F.xxhash64(whole).alias("id"), whole.alias("text"))
-    rows = anchor_rows(classes, length).repartition("anchor")
-    places = rows.sortWithinPartitions("anchor", "id", "place").mapInArrow(
-        _several, "anchor long, id long, place long"
-    )
+    places = repeated_anchors(written(anchor_rows(classes, length), "anchor_rows"))
     cut = written(contexts(classes, places, length), "contexts")
     # A context is in several places if its least and its largest place differ. (A copy of a
     # text that another task met has given the same rows again, so they can't be counted.)
@@ -405,18 +409,11 @@ def repeated_spans(docs: DataFrame, text: str, length: int = LENGTH) -> DataFram
             F.max("id").alias("id_high"),
             F.min("start").alias("low"),
             F.max("start").alias("high"),
+            F.first("ahead").alias("ahead"),
         )
-        .select("anchor", "code", "context", F.when(several, 2).otherwise(1).alias("n"))
-        .repartition("anchor")
-    )
-    found = written(expand(counted.sortWithinPartitions("anchor"), length), "found")
-    spans = found.where("high is null").select("anchor", "code", "start", "end")
-    window = found.where("high is not null").withColumnRenamed("end", "n")
-    twice = window.groupBy("high", "low").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
-    more = window.join(twice, ["high", "low"]).select(
-        "anchor", "code", "start", (F.col("start") + length).alias("end")
+        .select("anchor", "code", "context", "ahead", F.when(several, 2).otherwise(1).alias("n"))
     )
-    spans = spans.union(more).toDF("anchor", "code", "lo", "hi")
+    spans = shared_spans(written(counted, "counted"), length)
     placed = cut.select("anchor", "code", "id", "start").join(spans, ["anchor", "code"])
     span = F.struct(
         (F.col("start") + F.col("lo")).alias("from"), (F.col("start") + F.col("hi")).alias("to")
@@ -424,6 +421,31 @@ def repeated_spans(docs: DataFrame, text: str, length: int = LENGTH) -> DataFram
     return placed.groupBy("id").agg(F.collect_set(span).alias("spans"))
 
 
+def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that meet or overlap as one."""
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], np.maximum.accumulate(ends[order])
+    new = np.flatnonzero(np.concatenate([[True], starts[1:] > ends[:-1]]))
+    return starts[new], ends[np.concatenate([new[1:] - 1, [len(starts) - 1]])]
+
+
+def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """The maximal runs of each text's spans, and the text's bytes without them."""
+    out = []
+    for i, whole in enumerate(texts.to_pylist()):
+        data, kept, at, runs = whole.encode(), [], 0, []
+        found = spans[i].values
+        if found is not None and len(found):
+            ends = merged(*(found.field(c).to_numpy() for c in ("from", "to")))
+            runs = list(zip(*(e.tolist() for e in ends), strict=True))
+        for start, end in runs:
+            kept.append(data[at:start])
+            at = end
+        out.append({"spans": [{"from": a, "to": b} for a, b in runs], "kept": b"".join([*kept, data[at:]])})
+    span = pa.struct([("from", pa.int64()), ("to", pa.int64())])
+    return pa.array(out, pa.struct([("spans", pa.list_(span)), ("kept", pa.binary())]))
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
     """(row, n_bytes, spans, kept) for every document; ``spans`` are maximal removed runs."""
     whole = F.make_valid_utf8(text_of(docs, text))
@@ -441,42 +463,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     )
     entire = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("n_bytes").alias("to")))
     spans = repeated_spans(docs, text, length).union(copies.select("id", entire.alias("spans")))
-    merged = F.aggregate(
-        F.array_sort(F.flatten("spans")),
-        F.array().cast("array<struct<from:bigint,to:bigint>>"),
-        lambda runs, s: F.when(
-            (F.size(runs) > 0) & (F.element_at(runs, -1)["to"] >= s["from"]),
-            F.concat(
-                F.slice(runs, 1, F.size(runs) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(runs, -1)["from"].alias("from"),
-                        F.greatest(F.element_at(runs, -1)["to"], s["to"]).alias("to"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(runs, F.array(s))),
-    )
     removed = written(
-        spans.groupBy("id").agg(F.collect_list("spans").alias("spans")).select(
-            "id", merged.alias("spans")
-        ),
-        "removed",
+        spans.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans")), "removed"
     )
-    none = F.array().cast("array<struct<from:bigint,to:bigint>>")
-    joined = join_measured(rows, removed, ["id"], rows=BROADCAST_ROWS // 4).withColumn(
-        "spans", F.coalesce("spans", none)
+    joined = join_measured(rows, removed, ["id"])
+    kind = "struct<spans:array<struct<from:bigint,to:bigint>>,kept:binary>"
+    done = F.arrow_udf(_without, kind)("text", "spans")
+    return joined.select("row", "n_bytes", done.alias("done")).select(
+        "row", "n_bytes", "done.spans", "done.kept"
     )
-
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for whole, runs in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
-            data, kept, at = whole.encode(), [], 0
-            for run in runs:
-                kept.append(data[at : run["from"]])
-                at = run["to"]
-            out.append(b"".join([*kept, data[at:]]))
-        return pa.array(out, pa.binary())
-
-    kept = F.arrow_udf(cut, "binary")("text", "spans")
-    return joined.select("row", "n_bytes", "spans", kept.alias("kept"))
