@@ -117,6 +117,13 @@ def stg_fact_sales_order_line(ctx: Context) -> DataFrame:
     return integration.order_lines_with_orders(ctx.stg)
 
 
+@query("select * from line_with_order")
+def stg_fact_sales_order_line_bucketed(ctx: Context) -> DataFrame:
+    """The same from lines and orders that are stored in buckets of their order."""
+    stored = integration.stored_by_order(ctx.stg, f"{ctx.store.root}/by_order", buckets=8)
+    return integration.stored_lines_with_orders(stored)
+
+
 @query("select * from city_flat")
 def city_flatten(ctx: Context) -> DataFrame:
     return integration.city_flatten(ctx.stg)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.calendar import date_key
 from starloom.functions.columns import replace_columns
+from starloom.operators.colocated import Colocated, colocated_lookup, store_colocated
 from starloom.operators.lookup import JoinLimits, Lookup, left_lookups
 
 Staging = Mapping[str, DataFrame]
@@ -292,6 +293,25 @@ def order_lines_with_orders(stg: Staging, limits: JoinLimits = JoinLimits()) ->
     )
 
 
+def stored_by_order(
+    stg: Staging, folder: str, buckets: int, limits: JoinLimits = JoinLimits()
+) -> Colocated:
+    """Order lines and orders written by their order key, to be joined where they lie."""
+    lines = stg["stg_sales_order_line"].select(
+        *[F.col(old).alias(new) for old, new in LINE_TO_FACT.items()],
+        F.col("processed_at").alias("sales_order_line_processed_at"),
+    )
+    orders = stg["stg_sales_order"].select("order_key", *ORDER_TO_FACT)
+    return store_colocated(lines, orders, "sales_order_key", "order_key", folder, buckets, limits)
+
+
+def stored_lines_with_orders(stored: Colocated, limits: JoinLimits = JoinLimits()) -> DataFrame:
+    """As :func:`order_lines_with_orders`, from tables that are stored by their order."""
+    return colocated_lookup(stored, ORDER_TO_FACT, limits).select(
+        *LINE_TO_FACT.values(), *ORDER_TO_FACT.values(), "sales_order_line_processed_at"
+    )
+
+
 def fact_sales_order_line(stg: Staging, limits: JoinLimits = JoinLimits()) -> DataFrame:
     """The fact: lines with their orders, the four dates as ``YYYYMMDD`` keys."""
     joined = order_lines_with_orders(stg, limits)

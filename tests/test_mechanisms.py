@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from starloom.operators import merge, metrics, quality
+from starloom.operators import colocated, merge, metrics, quality
 from starloom.operators.lookup import JoinLimits
 from starloom.sources import files, ranges
 from starloom.sources.jdbc import JdbcSource
@@ -332,3 +332,41 @@ def test_period_metric_shuffles_no_line_where_customers_fit(spark):
     assert "hashpartitioning(customer_category_name" in initial
     far = metrics.sales_by_period(fact, customers, items, JoinLimits(broadcast_rows=10))
     assert rows(near) == rows(far)
+
+
+# Co-located storage
+
+
+def plan_of(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[text.index("Initial Plan") :] if "Initial Plan" in text else text
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_stored_by_one_key_they_join_without_an_exchange(spark, hot):
+    key = "if(id % 3 = 0, 7, if(id % 17 = 0, null, id % 500))" if hot else "if(id % 117 = 0, null, id % 500)"
+    lines = spark.range(30_000).selectExpr("id as line", f"{key} as k", "cast(id as string) as v")
+    headers = spark.range(0, 600, 2).selectExpr("id as k", "concat('h', id) as name", "id * 2 as n")
+    headers = headers.unionByName(spark.sql("select null as k, 'none' as name, 0L as n"))
+    stored = colocated.store_colocated(lines, headers, "k", "k", new_workspace(spark), 8)
+    joined = colocated.colocated_lookup(stored, {"name": "header", "n": "n"})
+    plan = plan_of(joined)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan
+    named = headers.withColumnsRenamed({"k": "hk", "name": "header"})
+    expected = lines.join(named, F.col("k") == F.col("hk"), "left").select("line", "k", "v", "header", "n")
+    assert rows(joined) == rows(expected)
+    if hot:
+        assert stored.hot_rows.select("k").distinct().count() == 1
+        assert stored.hot_rows.count() == lines.filter("k = 7").count() > 9_999
+        assert "BroadcastHashJoin" in plan
+        sizes = stored.rows.groupBy(F.pmod(F.hash("k"), F.lit(8))).count().collect()
+        assert max(r["count"] for r in sizes) < 2 * 20_000 / 8
+    else:
+        assert stored.hot_rows is None
+
+
+def test_empty_tables_are_stored_and_joined(spark):
+    lines, headers = spark.range(0).selectExpr("id as k", "id as v"), spark.range(0).selectExpr("id as k", "id as n")
+    stored = colocated.store_colocated(lines, headers, "k", "k", new_workspace(spark), 2)
+    assert colocated.colocated_lookup(stored, {"n": "n"}).columns == ["k", "v", "n"]
+    assert colocated.colocated_lookup(stored, {"n": "n"}).count() == 0
