@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.lookup import JoinLimits, fits_broadcast
 from starloom.sources.workspace import new_workspace
 
 # White space as the word rules see it: space, tab, line feed to carriage return.
@@ -17,7 +18,8 @@ SPACES = " \t\n\x0b\f\r"
 # A word: a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Rows a table may have to be broadcast as a whole; rows here are some 50 bytes.
+# Bytes a table may have to be broadcast as a whole, and rows, which are counted before.
+BROADCAST_BYTES = 48 << 20
 BROADCAST_ROWS = 1_000_000
 
 
@@ -66,16 +68,21 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits(side: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table is measured small enough to be broadcast, by rows and bytes."""
+    limits = JoinLimits(broadcast_rows=BROADCAST_ROWS if most > 0 else 0, broadcast_bytes=most)
+    return fits_broadcast(side, limits)
+
+
 def join_measured(
     df: DataFrame,
     side: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    rows: int = BROADCAST_ROWS,
+    most: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``side``, a written table, by broadcast if it is counted small, else by shuffle.
+    """Join ``side``, a written table, by broadcast if it is measured small, else by shuffle.
 
     The shuffled join is left to adaptive execution, which splits a hot key of ``df``.
     """
-    small = side.limit(rows + 1).count() <= rows
-    return df.join(F.broadcast(side) if small else side, list(keys), how)
+    return df.join(F.broadcast(side) if fits(side, most) else side, list(keys), how)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import encoders
-from starloom.llm.common import BROADCAST_ROWS, join_measured, text_of, written
+from starloom.llm.common import join_measured, text_of, written
 from starloom.sources.hadoop import exists
 
 CACHE_SCHEMA = "version string, digest binary, n_tokens long"
@@ -73,4 +73,4 @@ def count_tokens(
         digest.alias("digest"),
     )
     cache = read_cache(spark, cache_path, version)
-    return join_measured(rows, cache, ["digest"], rows=BROADCAST_ROWS // 2).drop("digest")
+    return join_measured(rows, cache, ["digest"]).drop("digest")
