@@ -4,12 +4,14 @@ A line's key is the line stripped of white space, A-Z lower-cased. Keys are hash
 bits), counted per document with partial sums before the shuffle, and those found often enough
 are put into shards. Each shard is a minimal perfect hash (levels of bit arrays; a key sits in
 the first level where its bit is its own) that gives a key's place in a compact array of
-fingerprints and one of counts, which are capped at the limit that is tested. Documents probe these arrays; no line is joined.
+fingerprints and one of counts, which are capped at the
+limit that is tested. Documents probe these arrays; no line is joined.
 
 The arrays are broadcast while the counted number of keys is at most ``max_keys``. A key takes 12
 bytes of fingerprint, 1 of count (2 or more if ``min_docs`` is over 255) and some 0.7 of bits and
 ranks, 55 MB at 4 million keys; the driver holds them once, a Python worker twice, as they came and
-unpacked. Beyond it the frequent hashes are joined to the documents' line hashes instead.
+unpacked. Beyond it each shard's arrays stay with one task, or several of ``PROBES`` probes each, and
+the documents' line hashes are sent to the shards that may have them and probe there.
 
 Defined cases: a null text is one empty line, and so is an empty one. Blank lines have an empty
 key and stay unless ``min_chars`` is 0. Every row counts as a document, repeated ones too.
@@ -31,6 +33,7 @@ MIN_DOCS = 10
 MIN_CHARS = 1
 SHARD_KEYS = 1 << 18
 MAX_KEYS = 4_000_000
+PROBES = 2_000_000
 LEVELS = 24
 SLOTS_PER_KEY = 2.0
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -214,7 +217,7 @@ def line_verdicts(
         )
         dropped = F.transform("counts", lambda n: n >= min_docs)
     else:
-        rows, dropped = _joined(rows, hashed, frequent)
+        rows, dropped = _sent_to_shards(rows, hashed, frequent, max(min_docs, 1))
     return (
         rows.select("row", F.split("whole", "\n").alias("lines"), dropped.alias("dropped"))
         .select(
@@ -231,7 +234,9 @@ def line_verdicts(
     )
 
 
-def _joined(rows: DataFrame, keys: Column, frequent: DataFrame) -> tuple[DataFrame, Column]:
+def _sent_to_shards(
+    rows: DataFrame, keys: Column, frequent: DataFrame, cap: int
+) -> tuple[DataFrame, Column]:
     """Beyond the broadcast bound: each distinct text gets the set of its frequent hashes."""
     rows = rows.withColumn("digest", F.md5("whole"))
     pair = F.explode(
@@ -239,11 +244,33 @@ def _joined(rows: DataFrame, keys: Column, frequent: DataFrame) -> tuple[DataFra
             F.transform(keys, lambda k: F.struct(F.xxhash64(k).alias("h1"), F.hash(k).alias("h2")))
         )
     )
+    probes = written(
+        rows.select("digest", pair.alias("k")).select("digest", "k.*").distinct(), "line_probes"
+    )
+    shards = max(1, -(-frequent.count() // SHARD_KEYS))
+    # A line that all documents have sends a probe each to one shard: its tasks share them.
+    salts = max(1, -(-probes.count() // (shards * PROBES)))
+    dealt = probes.select(
+        "*",
+        F.pmod(F.col("h2").cast("long"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("digest"), F.lit(salts)).alias("salt"),
+    )
+    arrays = build_shards(frequent, shards, cap).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    )
+
+    def probe(mine: pa.Table, table: pa.Table) -> pa.Table:
+        mine = mine.select(["digest", "h1", "h2"])
+        if not len(mine) or not len(table):
+            return mine.slice(0, 0)
+        h1, h2 = mine["h1"].to_numpy().view(np.uint64), mine["h2"].to_numpy()
+        counts = _unpack(table["arrays"][0].as_py()).lookup(h1, h2)
+        return mine.filter(pa.array(counts > 0))
+
     found = (
-        rows.select("digest", pair.alias("k"))
-        .select("digest", "k.*")
-        .distinct()
-        .join(frequent, ["h1", "h2"])
+        dealt.groupBy("shard", "salt")
+        .cogroup(arrays.groupBy("shard", "salt"))
+        .applyInArrow(probe, "digest string, h1 long, h2 int")
         .groupBy("digest")
         .agg(F.collect_set(F.struct("h1", "h2")).alias("hits"))
     )
