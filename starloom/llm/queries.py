@@ -23,7 +23,7 @@ from starloom.llm import (
     token_counts,
     url_filter,
 )
-from starloom.llm.common import read_table, show_library, written
+from starloom.llm.common import join_measured, read_table, show_library, written
 from starloom.sources.workspace import new_workspace
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,8 +66,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     rows = quality_rules.measured(docs, "text", "doc_id", "lang")
     rows = written(rows.drop("row"), "quality_metrics")
-    learned = quality_rules.learn(rows, read_table(spark, sf_dir, "labels"))
-    return quality_rules.verdicts(rows, learned).select(
+    known = quality_rules.known_quality(read_table(spark, sf_dir, "labels"))
+    labelled = join_measured(rows, written(known, "quality_labels"), ["label_id"], "inner")
+    return quality_rules.verdicts(rows, quality_rules.learn(labelled)).select(
         F.col("label_id").alias("doc_id"), *quality_rules.METRICS, "base_failed", "kept"
     )
 

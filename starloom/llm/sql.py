@@ -83,53 +83,71 @@ _VALUES = {
 
 
 def _quality() -> str:
-    share = quality_rules.ALPHA / len(quality_rules.GRIDS)
+    qr = quality_rules
     tail = (
         "(select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)"
-        f" + i * ln({share}) + (n - i) * ln(1 - {share}::double)))"
-        " from (select unnest(range(0, (bad_calls + 1)::bigint)) as i))"
+        f" + i * ln({qr.ALPHA}) + (n - i) * ln(1 - {qr.ALPHA}::double)))"
+        " from (select unnest(range(0, (wrong + 1)::bigint)) as i))"
     )
     grids = ", ".join(
-        f"('{rule}', {cutoff}::double)"
-        for rule, grid in quality_rules.GRIDS.items()
-        for cutoff in grid
+        f"('{rule}', {cutoff}::double)" for rule, grid in qr.GRIDS.items() for cutoff in grid
     )
     values = ", ".join(f"('{rule}', ({value})::double)" for rule, value in _VALUES.items())
+    failed = (
+        f"(n_words < {qr.MIN_WORDS} or 100 * n_repeat_words > {qr.MAX_REPEAT_PERCENT} * n_words)"
+    )
     return f"""
 with {METRICS},
 labelled as (
     select doc_id, min(quality) > 0 as good from labels
     where doc_id is not null and quality is not null group by doc_id),
+held as (
+    select metrics.*, good,
+        good and (strpos('0123456789abcdef', md5(doc_id::varchar)[1]) - 1) % {qr.SELECT_ONE_IN} = 0 as orders,
+        not good and not {failed} as bad
+    from metrics join labelled using (doc_id)),
 valued as (
     select doc_id, stratum, v.col0 as rule, v.col1 as value
     from metrics, lateral (values {values}) v),
-held as (select stratum, rule, value, good from valued join labelled using (doc_id)),
-sizes as (
-    select stratum, count_if(good) as n from metrics join labelled using (doc_id) group by stratum),
 calls as (
-    select stratum, rule, g.col1 as cutoff, count_if(good and value > g.col1) as bad_calls,
-        count_if(not good and value > g.col1) as good_calls
-    from held join (values {grids}) g on g.col0 = rule group by all),
+    select valued.stratum, rule, g.col1 as cutoff, count_if(orders and value > g.col1) as harm,
+        count_if(bad and value > g.col1) as uses
+    from valued join held using (doc_id) join (values {grids}) g on g.col0 = rule group by all),
+gains as (select *, uses - {qr.GOOD_WEIGHT * qr.SELECT_ONE_IN} * harm as gain from calls),
+bests as (
+    select *, max(gain) over w as best, first_value(cutoff) over (
+        partition by stratum, rule order by gain desc, cutoff desc) as strictest
+    from gains window w as (partition by stratum, rule)),
+candidates as (
+    select stratum, rule, cutoff, row_number() over (
+        partition by stratum order by harm, uses desc, cutoff desc, rule) as place
+    from bests where best > 0 and cutoff >= strictest and uses > 0),
+reached as (
+    select doc_id, min(place) as place
+    from valued join candidates using (stratum, rule) where value > cutoff group by doc_id),
+marked as (
+    select stratum, good, bad, good and not orders as proves, coalesce(place, 1000) as place
+    from held left join reached using (doc_id)),
+sizes as (select stratum, count_if(proves) as n from marked group by stratum),
+unions as (
+    select c.stratum, c.place, any_value(sizes.n) as n, count_if(proves and m.place <= c.place) as wrong,
+        count_if(bad and m.place <= c.place)
+            - {qr.GOOD_WEIGHT} * count_if(good and m.place <= c.place) as gain
+    from candidates c join sizes using (stratum) join marked m using (stratum) group by all),
 proven as (
-    select * from calls join sizes using (stratum)
-    where bad_calls <= n * {share} and good_calls - {quality_rules.GOOD_WEIGHT} * bad_calls > 0
-        and {tail} <= {quality_rules.DELTA}
-            / (greatest(1, (select count(*) from sizes)) * {len(quality_rules.GRIDS)})),
+    select stratum, place, gain from unions
+    where wrong <= n * {qr.ALPHA}::double and gain > 0
+        and {tail} <= {qr.DELTA}::double / greatest(1, (select count(*) from sizes))),
 chosen as (
-    select stratum, rule,
-        arg_max(cutoff, (good_calls - {quality_rules.GOOD_WEIGHT} * bad_calls) * 1000 + cutoff)
-            as cutoff
-    from proven group by stratum, rule),
+    select stratum, place as last from proven
+    qualify row_number() over (partition by stratum order by gain desc, place) = 1),
 rejected as (
-    select doc_id, count(*) as n from valued join chosen using (stratum, rule)
-    where value > cutoff group by doc_id)
+    select distinct doc_id from valued join candidates using (stratum, rule)
+        join chosen using (stratum) where place <= last and value > cutoff)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    n_words < {quality_rules.MIN_WORDS}
-        or 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words as base_failed,
-    not (n_words < {quality_rules.MIN_WORDS}
-        or 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words)
-        and coalesce(rejected.n, 0) = 0 as kept
-from metrics left join rejected using (doc_id)
+    {failed} as base_failed,
+    not {failed} and doc_id not in (select doc_id from rejected where doc_id is not null) as kept
+from metrics
 """
 
 
@@ -207,7 +225,7 @@ def _urls() -> str:
     )
     # The incomplete beta function as a series of positive terms.
     series = (
-        "list_sum(list_transform(range(0, 5000 + (4 * (a + b))::bigint), n -> exp("
+        "list_sum(list_transform(range(0, 5000 + (4 * (a + b))::bigint), lambda n: exp("
         "lgamma(a + b + n) - lgamma(a + 1 + n) - lgamma(b)"
         f" + (a + n) * ln({uf.MIN_GOOD}::double) + b * ln(1 - {uf.MIN_GOOD}::double))))"
     )
