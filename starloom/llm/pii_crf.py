@@ -2,16 +2,19 @@
 
 The patterns (email, ip, card, phone) give the base spans. The random field reads word shapes: a
 text's tokens (runs of letters, runs of digits, single marks) near a digit or ``@`` form
-sequences, a token's features are the shapes of itself and its neighbours, and its states are
-outside, or begin / inside of a kind. It is trained here, by maximum likelihood, from a small
+sequences, a token's features are the shapes of itself and its neighbours and what groups of digits
+it stands in (how many digits, in how many groups), and its states are outside, or begin / inside
+of a kind. It is trained here, by maximum likelihood, from a small
 labelled table: ``EXAMPLES`` below, and ``TRAIN_LINES`` lines of the documents (those with the
 least hash, of all lines up to ``TRAIN_LINE_CHARS`` with a digit or ``@``) labelled by the patterns,
-but for lines in which the patterns leave a long number over. Decoding is Viterbi over numpy
+but for lines in which the patterns leave a long number over. Training reads the first
+``TRAIN_TOKENS`` tokens of a sequence; decoding reads all. Decoding is Viterbi over numpy
 batches of whole texts. Its spans are added where they overlap no base span and hold what
 their kind must: 9 to 15 digits for a phone, a valid check digit for a card, and so on.
 
 Defined cases: null and empty texts have no spans; a repeated document gets a row each; an empty
 table trains on the examples alone. Numbers of any length are read, very long ones fail the checks.
+Columns other than the id and the text aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,9 +35,12 @@ STATES = ["O", *(f"{part}-{kind}" for kind in KINDS for part in "BI")]
 TRAIN_LINES = 1000
 TRAIN_LINE_CHARS = 2000
 TRAIN_STEPS = 60
+TRAIN_TOKENS = 120
+EXAMPLE_WEIGHT = 10
 REACH = 48
 BATCH = 2048
 BUCKETS = 1 << 12
+FEATURES = 10
 
 # The fixed part of the labelled table: (text, the span in it, kind or "" for none).
 EXAMPLES: list[tuple[str, str, str]] = [
@@ -44,8 +50,25 @@ EXAMPLES: list[tuple[str, str, str]] = [
     ("tel 0044 20 7946 0958 or write", "0044 20 7946 0958", "phone"),
     ("mobile 212.555.0187 at noon", "212.555.0187", "phone"),
     ("her number is 415-555-2671.", "415-555-2671", "phone"),
+    ("ring 0044 207 946 0958 first", "0044 207 946 0958", "phone"),
+    ("office 0033 1 70 18 99 00 or", "0033 1 70 18 99 00", "phone"),
+    ("or 01-70-18-99-00 at home", "01-70-18-99-00", "phone"),
+    ("fax (0221) 5550 199 for orders", "(0221) 5550 199", "phone"),
+    ("desk 0221/5550199, first floor", "0221/5550199", "phone"),
+    ("reach us under 0211 / 555 0123.", "0211 / 555 0123", "phone"),
+    ("his cell 303 5550142 is off", "303 5550142", "phone"),
+    ("whatsapp 49 171 5550 123 only", "49 171 5550 123", "phone"),
     ("mail anna [at] example [dot] org please", "anna [at] example [dot] org", "email"),
     ("contact bob(at)example(dot)net or", "bob(at)example(dot)net", "email"),
+    ("write to ann at example dot org today", "ann at example dot org", "email"),
+    ("mail sam dot lee at mail dot example dot net or", "sam dot lee at mail dot example dot net", "email"),
+    ("mail bob [at] mail.example.net now", "bob [at] mail.example.net", "email"),
+    ("or ask tom (at) example.com if", "tom (at) example.com", "email"),
+    ("then eva [at] shop.example.org, she", "eva [at] shop.example.org", "email"),
+    ("write to p dot doe at example dot net please", "p dot doe at example dot net", "email"),
+    ("reach max at example dot com before", "max at example dot com", "email"),
+    ("looked at example dot in the text", "", ""),
+    ("meet at noon, dot the line", "", ""),
     ("user.7@mail3.example.com wrote", "user.7@mail3.example.com", "email"),
     ("host 10.0.13.7 was down", "10.0.13.7", "ip"),
     ("from 192.168.4.20, port open", "192.168.4.20", "ip"),
@@ -61,6 +84,22 @@ EXAMPLES: list[tuple[str, str, str]] = [
     ('token = "24be64439e3e49cf46b2d7c9"', "", ""),
     ("room 101 @ the end of hall 7", "", ""),
     ("a 3 x 4 table with 12 cells", "", ""),
+    ("ISBN 978-3-16-148410-0, paperback", "", ""),
+    ("about 7 800 000 000 people", "", ""),
+    ("from 12.03.2021 to 14.03.2021", "", ""),
+    ("at 52.520008, 13.404954 on the map", "", ""),
+    ("pi is 3.14159265358979 or so", "", ""),
+    ("rows 10, 20, 30, 40, 50, 60", "", ""),
+    ("scores 3-2, 1-0, 4-4, 2-1, 0-0", "", ""),
+    ("in 1914-1918 and 1939-1945", "", ""),
+    ("2021-03-14 10:45:30 started", "", ""),
+    ("on 2019-12-31 23:59:59 it ended", "", ""),
+    ("sum 2.450.300,00 EUR and 12.300,50 EUR", "", ""),
+    ("call 05.55 12 34 56 in the morning", "05.55 12 34 56", "phone"),
+    ("ring 04 78.12.34.56 or", "04 78.12.34.56", "phone"),
+    ("mobile 0176 5550123 and", "0176 5550123", "phone"),
+    ("serial 0012345678901234567", "", ""),
+    ("price 1.299.000,00 per unit", "", ""),
 ]
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -69,8 +108,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LONG_NUMBER = re.compile(r"[0-9](?:[ ().-]{0,3}[0-9]){8}")
-_TRIGGER = re.compile(r"[0-9@]+|[\[(]at[\])]")
-_SURE = re.compile(r"[0-9@]|[\[(]at[\])]")
+_TRIGGER = re.compile(r"[0-9@]+|[\[(]at[\])]| dot ")
+_SURE = re.compile(r"[0-9@]|[\[(]at[\])]| dot ")
+# Groups of digits with little between them.
+_GROUPS = re.compile(r"[(+]?[0-9]+(?:[ ()./-]{1,3}[0-9]+)*")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\S")
 
 Span = tuple[int, int]
@@ -154,6 +195,22 @@ def _code(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode(), digest_size=4).digest(), "little") % BUCKETS
 
 
+def _groups_of(text: str, span: Span, tokens: list[Span]) -> list[str]:
+    """What groups of digits each token is in: the class of their digits, and how many groups."""
+    found = [""] * len(tokens)
+    at = 0
+    for m in _GROUPS.finditer(text, *span):
+        n, groups = len(_digits(m[0])), len(re.findall("[0-9]+", m[0]))
+        size = "s" if n < 7 else "d" if n < 9 else "p" if n < 13 else "c" if n < 20 else "l"
+        while at < len(tokens) and tokens[at][0] < m.start():
+            at += 1
+        first = True
+        while at < len(tokens) and tokens[at][1] <= m.end():
+            found[at] = f"{size}{min(groups, 6)}{'^' if first else ''}"
+            first, at = False, at + 1
+    return found
+
+
 class Shapes:
     """Tokens and feature codes of stretches of text; codes are kept per worker."""
 
@@ -167,15 +224,16 @@ class Shapes:
             blank = i == 0 or tokens[i - 1][1] < start
             shapes.append((" " if blank else "") + _shape(text[start:end]))
         padded = ["<", "<", *shapes, ">", ">"]
-        return tokens, [self._of(tuple(padded[i : i + 5])) for i in range(len(tokens))]
+        groups = _groups_of(text, span, tokens)
+        return tokens, [self._of((*padded[i : i + 5], groups[i])) for i in range(len(tokens))]
 
     def _of(self, near: tuple[str, ...]) -> list[int]:
         codes = self.codes.get(near)
         if codes is None:
             if len(self.codes) > 100_000:
                 self.codes.clear()
-            b, a, x, y, z = near
-            names = [f"0{x}", f"-{a}", f"+{y}", f"-0{a}|{x}", f"0+{x}|{y}", f"-+{a}|{x}|{y}", f"--{b}|{a}|{x}", f"++{x}|{y}|{z}"]
+            b, a, x, y, z, groups = near
+            names = [f"g{groups}", f"g{groups}|{x[-1:]}", f"0{x}", f"-{a}", f"+{y}", f"-0{a}|{x}", f"0+{x}|{y}", f"-+{a}|{x}|{y}", f"--{b}|{a}|{x}", f"++{x}|{y}|{z}"]
             codes = self.codes[near] = [_code(name) for name in names]
         return codes
 
@@ -188,7 +246,7 @@ class Field:
 
     def _padded(self, sequences: list[list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.array([len(s) for s in sequences])
-        features = np.zeros((len(sequences), sizes.max(), 8), dtype=np.int64)
+        features = np.zeros((len(sequences), sizes.max(), FEATURES), dtype=np.int64)
         for i, s in enumerate(sequences):
             features[i, : len(s)] = s
         return features, sizes
@@ -253,7 +311,7 @@ class Field:
         squares = [np.zeros_like(p) for p in params]
         for step in range(1, TRAIN_STEPS + 1):
             shares, moves = field._expected(features, sizes, on)
-            missing = np.repeat((truth - shares)[on], 8, axis=0)
+            missing = np.repeat((truth - shares)[on], FEATURES, axis=0)
             gradient = np.stack(
                 [np.bincount(flat, missing[:, j], minlength=BUCKETS) for j in range(k)], axis=1
             )
@@ -317,14 +375,14 @@ def train(lines: list[str]) -> Field:
         for text, part, kind in EXAMPLES
     ]
     by_pattern = [(line, base_spans(line)) for line in lines]
-    labelled = labelled * 4 + [(line, spans) for line, spans in by_pattern if _certain(line, spans)]
+    labelled = labelled * EXAMPLE_WEIGHT + [(line, spans) for line, spans in by_pattern if _certain(line, spans)]
     for text, spans in labelled:
         for window in windows(text):
             tokens, codes = shapes.read(text, window)
             if tokens:
                 # Beyond this the window is a table of numbers, of no use for training.
-                sequences.append(codes[:120])
-                states.append(_states(tokens, spans)[:120])
+                sequences.append(codes[:TRAIN_TOKENS])
+                states.append(_states(tokens, spans)[:TRAIN_TOKENS])
     return Field.train(sequences, states)
 
 
