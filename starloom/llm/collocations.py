@@ -9,17 +9,20 @@
    a phrase w holds all its occurrences; the words before them, one map of the interval's rows, are
    the intervals of all c w (left extensions). An extension also lies in the interval of the words
    it begins with, whose right extension it is. Only phrases whose two parts of one word less are
-   both frequent in the whole corpus are extended, so phrases of one length are counted in all
-   shards, summed over the shards, and the frequent ones returned to the shards that have them,
-   before the next length begins. A phrase's count in a shard is one row, however often it occurs.
+   extended too are kept. Words and pairs are counted when a shard is made, then triples of frequent
+   pairs: a shard gives their 48-bit hashes and counts, sorted and packed, a piece to each range of
+   hashes; the counts of a range are summed over all shards, and each shard gets back a bit for
+   every hash, set if it is frequent in the whole corpus. (Hashes that collide keep a phrase too
+   many, never one too few.) At last each shard spells out its frequent phrases, and those of four
+   words made of frequent triples, and their exact sums decide.
 3. The frequent phrases, at least ``MIN_COUNT`` occurrences each, are scored: for each cut into a
    first part and the rest, with l and r occurrences, floor(SCALE a / (l + r)); the lowest cut
    counts. Phrases inside a longer one that has 80 percent of their occurrences are dropped. The
    first ``TOP`` of each language are returned.
 
-All counts are over whole texts and all documents. Sums are per (language, phrase) and combined
-before the shuffle; shards get their frequent phrases as places in the index, at most as many as a
-shard has words. Defined cases: null and empty texts have no words; a null language is ``und``, like
+All counts are over whole texts and all documents. A phrase has one count a shard, so none has a
+great share of what is shuffled, and there are as many ranges of hashes as keep one small; a shard
+gets back a bit a phrase. Defined cases: null and empty texts have no words; a null language is ``und``, like
 a language of that name; ids aren't read, so every row counts, repeated ones too; an empty table
 gives no rows. Ties of score and count are ranked by the phrase's bytes. A document longer than a
 shard makes a larger shard. Other columns aren't read, whatever their names.
@@ -32,11 +35,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import join_measured, text_of, written
+from starloom.llm.jaccard_join import mixed
 
 LONGEST = 4
 MIN_COUNT = 30
@@ -47,6 +52,9 @@ SHARD_WORDS = 4_000_000
 # Rows of one Arrow batch that a shard's counts are returned in.
 ROWS = 200_000
 BUCKETS = 64
+KEY_BITS = 48
+# Bytes of text for one range of hashes: some hundred thousand phrases.
+RANGE_BYTES = 6 << 20
 
 _CODEC = "zstd"
 _BREAK = b"\n"
@@ -98,13 +106,23 @@ def transform(words: np.ndarray) -> np.ndarray:
 
 
 def squeezed(values: np.ndarray) -> bytes:
-    raw = values.astype(np.int32).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec=_CODEC, asbytes=True)
+    """Small numbers in few bytes: their high bytes, which are mostly 0, lie side by side."""
+    planes = values.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return packed(np.ascontiguousarray(planes).tobytes())
 
 
 def restored(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(unpacked(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def packed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec=_CODEC, asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
     size = int.from_bytes(data[:8], "little")
-    return np.frombuffer(pa.decompress(data[8:], size, codec=_CODEC, asbytes=True), np.int32)
+    return pa.decompress(data[8:], size, codec=_CODEC, asbytes=True)
 
 
 class Index:
@@ -150,22 +168,82 @@ class Index:
         return there[at], counted, grown
 
 
-_SHARD = "shard long, lang string, words binary, bwt binary"
+def packed_counts(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted keys as their differences, and counts; both are mostly small numbers."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return packed(np.ascontiguousarray(steps).tobytes()), squeezed(counts)
+
+
+def unpacked_counts(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(unpacked(keys), np.uint8).reshape(8, -1)
+    steps = np.ascontiguousarray(planes.T).view("<u8").ravel()
+    return np.cumsum(steps, dtype=np.uint64), restored(counts)
+
+
+def hashes(found: tuple, lang: str, words: list[bytes], of_words: dict[int, int]) -> np.ndarray:
+    """48-bit hashes of phrases; ``of_words`` keeps those of the shard's words."""
+    prefix, used = lang.encode() + b"\n", np.unique(found[2])
+    for number in used.tolist():
+        if number not in of_words:
+            of_words[number] = xxhash.xxh64_intdigest(prefix + words[number - 1])
+    table = np.zeros(len(words) + 1, dtype=np.uint64)
+    table[used] = np.fromiter(map(of_words.__getitem__, used.tolist()), np.uint64, len(used))
+    keys = np.zeros(len(found[0]), dtype=np.uint64)
+    for column in found[2].T:
+        keys = mixed(keys + table[column])
+    return keys >> np.uint64(64 - KEY_BITS)
+
 
+_PIECE = ["shard", "lang", "n", "words", "bwt", "range", "keys", "counts"]
+_PIECE_KINDS = dict(
+    zip(
+        _PIECE,
+        [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()],
+        strict=True,
+    )
+)
+_PIECE_DDL = (
+    "shard long, lang string, n long, words binary, bwt binary, range int, keys binary, counts binary"
+)
 
-def indexed(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """A written table of shards: their words and transforms."""
 
-    def row(shard: int, lang: str, numbers: Numbers, held: list[np.ndarray]) -> pa.RecordBatch:
-        bwt = transform(np.concatenate(held))
+def _record(rows: list[dict]) -> pa.RecordBatch:
+    columns = [pa.array([row.get(c) for row in rows], kind) for c, kind in _PIECE_KINDS.items()]
+    return pa.record_batch(columns, _PIECE)
+
+
+def pieces(shard: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> list[dict]:
+    """A row of packed keys and counts for each range of hashes."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    of = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(ranges)) >> np.uint64(32)
+    starts = np.flatnonzero(np.diff(of, prepend=of[:1] + np.uint64(1))) if len(of) else []
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+        own_keys, own_counts = packed_counts(keys[a:b], counts[a:b])
+        out.append({"shard": shard, "range": int(of[a]), "keys": own_keys, "counts": own_counts})
+    return out
+
+
+def indexed(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
+    """A written table of shards (words, transform) and, in rows with a range, of their counts."""
+
+    def shard_rows(shard: int, lang: str, numbers: Numbers, held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = np.concatenate(held)
+        # The most frequent words get the least numbers.
+        counts = np.bincount(found, minlength=len(numbers.words) + 1)
+        order = np.argsort(-counts[1:], kind="stable")
+        renumbered = np.zeros(len(counts), dtype=np.int32)
+        renumbered[order + 1] = np.arange(1, len(counts), dtype=np.int32)
+        bwt = transform(renumbered[found])
+        words = [numbers.words[i] for i in order.tolist()]
         # Words hold neither blanks nor line ends.
-        words = b"\n".join(numbers.words)
-        columns = [[shard], [lang], [words], [squeezed(bwt)]]
-        kinds = [pa.int64(), pa.string(), pa.binary(), pa.binary()]
-        return pa.record_batch(
-            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-            ["shard", "lang", "words", "bwt"],
-        )
+        row = {"shard": shard, "lang": lang, "n": int(counts[1:].sum())}
+        yield _record([row | {"words": packed(b"\n".join(words)), "bwt": squeezed(bwt)}])
+        index = Index(bwt, len(words))
+        keys, counts = _short(index, lang, words)[:2]
+        if len(keys):
+            yield _record(pieces(shard, keys, counts, ranges))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Shards are numbered by task, so a task that runs again gives the same ones.
@@ -181,66 +259,142 @@ def indexed(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 held += len(words[-1])
                 if held >= SHARD_WORDS:
                     for name, (numbers, words) in open_shards.items():
-                        yield row(shard, name, numbers, words)
+                        yield from shard_rows(shard, name, numbers, words)
                         shard += 1
                     open_shards, held = {}, 0
         for name, (numbers, words) in open_shards.items():
-            yield row(shard, name, numbers, words)
+            yield from shard_rows(shard, name, numbers, words)
             shard += 1
 
     rows = docs.select(
         F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"),
         F.make_valid_utf8(text_of(docs, text)).cast("binary").alias("text"),
     )
-    return written(rows.mapInArrow(run, _SHARD), "shards")
-
-
-_COUNTED = "lang string, phrase string, shard long, start int, n long"
+    return written(rows.mapInArrow(run, _PIECE_DDL), "shards")
+
+
+def _short(index: Index, lang: str, words: list[bytes]):
+    """(hashes, counts, words and pairs, hashes of words) of a shard, words before pairs."""
+    of_words: dict[int, int] = {}
+    one = index.words()
+    two = index.extended(*one)
+    keys = [hashes(found, lang, words, of_words) for found in (one, two)]
+    return np.concatenate(keys), np.concatenate([one[1], two[1]]), (one, two), of_words
+
+
+def _opened(batch: pa.RecordBatch, i: int) -> tuple[int, list[bytes], Index, str]:
+    words = unpacked(batch.column("words")[i].as_py()).split(b"\n")
+    index = Index(restored(batch.column("bwt")[i].as_py()), len(words))
+    return batch.column("shard")[i].as_py(), words, index, batch.column("lang")[i].as_py()
+
+
+def _kept(batch: pa.RecordBatch, i: int, name: str, keys: np.ndarray) -> np.ndarray:
+    """Which of a shard's phrases are frequent, from the bits of its ranges of hashes."""
+    found = batch.column(name)[i].as_py() or []
+    bits = [
+        np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=row["n"])
+        for row in sorted(found, key=lambda row: row["range"])
+    ]
+    keep = np.zeros(len(keys), dtype=bool)
+    keep[np.argsort(keys, kind="stable")] = np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)
+    return keep
+
+
+def _triples(batch: pa.RecordBatch, i: int):
+    """A shard with its frequent words and pairs, and the triples of frequent pairs."""
+    shard, words, index, lang = _opened(batch, i)
+    keys, _, (one, two), of_words = _short(index, lang, words)
+    keep = _kept(batch, i, "short", keys)
+    one = tuple(c[keep[: len(one[0])]] for c in one)
+    two = tuple(c[keep[len(keep) - len(two[0]) :]] for c in two)
+    three = index.extended(*two)
+    return shard, words, index, lang, one, two, three, hashes(three, lang, words, of_words)
+
+
+def with_bits(shards: DataFrame, counted: DataFrame, name: str, min_count: int) -> DataFrame:
+    """The shards with ``name``: the bits of their hashes, from the counts of all shards."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        held = [
+            unpacked_counts(*pair)
+            for pair in zip(rows["keys"].to_pylist(), rows["counts"].to_pylist(), strict=True)
+        ]
+        keys = np.concatenate([k for k, _ in held])
+        counts = np.concatenate([c for _, c in held]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        sums = np.add.reduceat(counts[order], starts)
+        often = np.empty(len(keys), dtype=bool)
+        often[order] = np.repeat(sums >= min_count, np.diff(np.append(starts, len(keys))))
+        sizes = [len(k) for k, _ in held]
+        ends = np.cumsum(sizes)
+        bits = [np.packbits(often[b - n : b]).tobytes() for n, b in zip(sizes, ends.tolist(), strict=True)]
+        return pa.table(
+            {
+                "shard": rows["shard"],
+                "range": rows["range"],
+                "n": pa.array(sizes, pa.int32()),
+                "bits": pa.array(bits, pa.binary()),
+            }
+        )
 
+    found = counted.select("shard", "range", "keys", "counts").groupBy("range")
+    bits = (
+        found.applyInArrow(run, "shard long, range int, n int, bits binary")
+        .groupBy("shard")
+        .agg(F.collect_list(F.struct("range", "n", "bits")).alias(name))
+    )
+    return join_measured(shards, written(bits, name), ["shard"])
 
-def counted(shards: DataFrame, length: int) -> DataFrame:
-    """(lang, phrase, shard, start, n): each shard's phrases of ``length`` words.
 
-    Column ``frequent`` of the shards has, for each lesser length, the starts of the intervals of
-    the phrases that are frequent in the corpus.
-    """
+def triples(shards: DataFrame, ranges: int) -> DataFrame:
+    """Rows of packed counts of each shard's triples."""
 
-    def grown(index: Index, frequent: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = index.words()
-        for k in range(1, length):
-            known = np.asarray(frequent[k - 1] if frequent[k - 1] is not None else [], dtype=np.int64)
-            keep = np.isin(found[0], known)
-            found = index.extended(*(column[keep] for column in found))
-        return found
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                shard, *_, three, keys = _triples(batch, i)
+                if len(keys):
+                    yield _record(pieces(shard, keys, three[1], ranges))
+
+    return written(shards.mapInArrow(run, _PIECE_DDL), "triples")
+
+
+_COUNTED = "lang string, words int, phrase string, n long"
+
+
+def spelled(shards: DataFrame) -> DataFrame:
+    """(lang, words, phrase, n): each shard's frequent phrases, and all of four words made of them."""
+
+    def rows(lang: str, found: tuple, words: pa.Array) -> Iterator[pa.RecordBatch]:
+        _, counts, numbers = found
+        for at in range(0, len(counts), ROWS):
+            some = slice(at, at + ROWS)
+            columns = [words.take(pa.array(c)) for c in numbers[some].T]
+            phrase = columns[0]
+            if len(columns) > 1:
+                phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
+            size = len(phrase)
+            yield pa.record_batch(
+                [
+                    pa.array([lang] * size, pa.string()),
+                    pa.array(np.full(size, len(columns), dtype=np.int32)),
+                    phrase.cast(pa.string()),
+                    pa.array(counts[some], pa.int64()),
+                ],
+                ["lang", "words", "phrase", "n"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lesser = [f"frequent_{k}" for k in range(1, length)]
         for batch in batches:
             for i in range(len(batch)):
-                words = batch.column("words")[i].as_py().split(b"\n")
-                index = Index(restored(batch.column("bwt")[i].as_py()), len(words))
-                frequent = [batch.column(c)[i].values for c in lesser]
-                frequent = [None if f is None else f.to_numpy() for f in frequent]
-                starts, counts, numbers = grown(index, frequent)
-                spelled = pa.array([b"", *words], pa.binary())
-                shard, lang = batch.column("shard")[i].as_py(), batch.column("lang")[i].as_py()
-                for at in range(0, len(starts), ROWS):
-                    some = slice(at, at + ROWS)
-                    columns = [spelled.take(pa.array(c)) for c in numbers[some].T]
-                    phrase = columns[0]
-                    if length > 1:
-                        phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
-                    size = len(phrase)
-                    yield pa.record_batch(
-                        [
-                            pa.array([lang] * size, pa.string()),
-                            phrase.cast(pa.string()),
-                            pa.array([shard] * size, pa.int64()),
-                            pa.array(starts[some], pa.int32()),
-                            pa.array(counts[some], pa.int64()),
-                        ],
-                        ["lang", "phrase", "shard", "start", "n"],
-                    )
+                _, words, index, lang, one, two, three, keys = _triples(batch, i)
+                keep = _kept(batch, i, "long", keys)
+                three = tuple(c[keep] for c in three)
+                spelling = pa.array([b"", *words], pa.binary())
+                for found in (one, two, three, index.extended(*three)):
+                    yield from rows(lang, found, spelling)
 
     return shards.mapInArrow(run, _COUNTED)
 
@@ -249,29 +403,15 @@ def frequent_phrases(
     docs: DataFrame, text: str, lang: str, min_count: int = MIN_COUNT
 ) -> tuple[DataFrame, DataFrame]:
     """Written tables (lang, words, phrase, f) of frequent phrases and (lang, n) of all words."""
-    index = indexed(docs, text, lang)
-    shards, levels, totals = index, [], None
-    for length in range(1, LONGEST + 1):
-        last = length == LONGEST
-        rows = counted(shards, length)
-        # The last length needs no places to go back to.
-        rows = rows if last else written(rows, f"counted_{length}")
-        sums = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-        sums = written(sums, f"frequent_{length}")
-        levels.append(sums.select("lang", F.lit(length).alias("words"), "phrase", "f"))
-        if length == 1:
-            totals = written(rows.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-        if last:
-            break
-        known = join_measured(rows, sums.select("lang", "phrase"), ["lang", "phrase"], "inner")
-        places = known.groupBy("shard").agg(F.collect_list("start").alias(f"frequent_{length}"))
-        places = written(places, f"places_{length}")
-        # A shard without frequent phrases has no longer ones either.
-        shards = shards.join(places, "shard")
-    frequent = levels[0]
-    for level in levels[1:]:
-        frequent = frequent.union(level)
-    return written(frequent, "frequent"), totals
+    size = docs.agg(F.sum(F.octet_length(text_of(docs, text)))).first()[0] or 0
+    ranges = max(1, -(-size // RANGE_BYTES))
+    table = indexed(docs, text, lang, ranges)
+    shards = table.where("range is null").drop("range", "keys", "counts")
+    totals = written(shards.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    shards = with_bits(shards, table.where("range is not null"), "short", min_count)
+    shards = with_bits(shards, triples(shards, ranges), "long", min_count)
+    sums = spelled(shards).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+    return written(sums.where(F.col("f") >= min_count), "frequent"), totals
 
 
 def _part(first: Column, size: Column) -> Column:
