@@ -13,11 +13,13 @@ similarity of at least ``PERCENT``.
    free of the bits that agree by chance. Pairs estimated ``MARGIN`` standard deviations below the
    threshold are dropped (a linked pair with a probability below 1e-6), the others are confirmed on
    the full sets, from the whole texts.
-3. Links give connected components. Groups that still hold several are compared again with other
-   members, ``ROUNDS`` times while that closes groups; what then is in different components of a
-   group is compared by the packed bits, all of it, in blocks, each pair in the first band that it
-   shares, and the pairs that pass are confirmed. So the members of a large group that are linked
-   already aren't paired, and none is left out.
+3. Links give connected components. In groups that still hold several, each member's packed bits
+   are compared with those of the members of other components, and its likeliest partners are
+   confirmed, ``ROUNDS`` times, in some of the bands, while that closes groups: similar documents
+   that aren't all linked to one of them are joined by their nearest. What then is in different components of a group is
+   confirmed wherever the bits allow, each pair in the first band that it shares. Groups are
+   compared in blocks, each two in a task. So the members of a large group that are linked already
+   aren't paired, and none is left out.
 
 Defined cases: null and empty texts have the empty set and link with nothing; a text of fewer than
 five words has the whole sequence as its one shingle; equal texts are one class from the start;
@@ -47,11 +49,14 @@ BANDS = 48
 HASHES = ROWS * BANDS
 BITS = 4
 MARGIN = 5
-ROUNDS = 3
+ROUNDS = 2
+# A round looks at one in so many bands, and takes so many of a member's likeliest partners.
+ROUND_BANDS = 4
+PARTNERS = 2
 # Members of one block of a large group; two blocks are compared in one task.
 BLOCK = 1024
-# Centers that a round picks from groups of the same members.
-CENTERS = 32
+# Groups of the same members get one of so many first members.
+CENTERS = 4
 TILE = 32_768
 
 _PER_WORD = 64 // BITS
@@ -172,19 +177,19 @@ def _sizes_fit(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _stars(members: DataFrame, salt: int) -> DataFrame:
-    """Pairs (a, b) of each group's members with one of them, where not joined already.
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each group's members with one of them.
 
     The one is of least hash; groups of the same members, which near copies have by the dozen,
     have different ones.
     """
-    place = F.xxhash64("id", F.pmod("band", F.lit(CENTERS if salt else 4)), F.lit(salt))
-    one = F.min(F.struct(place.alias("place"), "id", "n", "component")).alias("one")
+    place = F.xxhash64("id", F.pmod("band", F.lit(CENTERS)))
+    one = F.min(F.struct(place.alias("place"), "id", "n")).alias("one")
     centers = written(members.groupBy("key").agg(one), "centers")
     return (
         join_measured(members, centers, ["key"], "inner")
         .withColumn("n_one", F.col("one.n"))
-        .where("component <> one.component")
+        .where("id <> one.id")
         .where(_sizes_fit("n", "n_one"))
         .select(F.least("id", "one.id").alias("a"), F.greatest("id", "one.id").alias("b"))
         .distinct()
@@ -241,7 +246,7 @@ def _confirmed(likely: DataFrame, classes: DataFrame) -> DataFrame:
 def _open(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of the groups that hold several components so far, with these; a written table."""
     found = written(components(links), "components")
-    members = join_measured(members.drop("component"), found, ["id"]).withColumn(
+    members = join_measured(members.select("key", "band", "id", "n"), found, ["id"]).withColumn(
         "component", F.coalesce("component", "id")
     )
     several = (
@@ -256,20 +261,35 @@ def _open(members: DataFrame, links: DataFrame) -> DataFrame:
         .select("key", "size")
     )
     return written(
-        join_measured(members.drop("size"), written(several, "open_keys"), ["key"], "inner"), "open"
+        join_measured(members, written(several, "open_keys"), ["key"], "inner"), "open"
     )
 
 
-def _blocks(open_groups: DataFrame, signed: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) in different components of a group, each from its first band.
+def _likeliest(equal: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``most`` greatest values of each row, where these aren't negative."""
+    if most < equal.shape[1]:
+        columns = np.argpartition(-equal, most - 1, axis=1)[:, :most]
+    else:
+        columns = np.broadcast_to(np.arange(equal.shape[1]), equal.shape)
+    found = np.take_along_axis(equal, columns, axis=1) >= 0
+    rows, at = np.nonzero(found)
+    return rows, columns[rows, at]
+
+
+def _blocks(open_groups: DataFrame, signed: DataFrame, most: int | None = None) -> DataFrame:
+    """Likely pairs (a, b) in different components of a group; a written table.
 
     A group of more than ``BLOCK`` members is dealt to blocks by their ids' hash, and every two
-    blocks are compared in a task of their own.
+    blocks are compared in a task of their own. With ``most`` a member gives no more than so many
+    of its likeliest pairs to every two blocks; without, all of them, from the first band of each.
     """
     enough = least_equal()
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    # Only the signatures of members are shuffled.
+    ids = written(open_groups.select("id").distinct(), "open_ids")
+    own = join_measured(signed.select("id", "bits", "keys"), ids, ["id"], "left_semi")
     dealt = (
-        open_groups.join(signed.select("id", "bits", "keys"), "id")
+        open_groups.join(own, "id")
         .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
@@ -288,25 +308,34 @@ def _blocks(open_groups: DataFrame, signed: DataFrame) -> DataFrame:
         bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint64).reshape(len(rows), -1)
         keys = np.stack(rows["keys"].to_numpy())
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        sides = [(left, right), (right, left)] if most and low < high else [(left, right)]
         out = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
-        for at in range(0, len(left), 64):
-            some = left[at : at + 64, None]
-            fits = (
-                (component[some] != component[right])
-                & (np.minimum(n[some], n[right]) * 100 >= np.maximum(n[some], n[right]) * PERCENT)
-                & (equal_minima(bits[some], bits[right]) >= enough)
-            )
-            if low == high:
-                fits &= ids[some] < ids[right]
-            i, j = np.nonzero(fits)
-            one, other = some[i, 0], right[j]
-            first = ~(keys[one, :band] == keys[other, :band]).any(axis=1)
-            a, b = ids[one[first]], ids[other[first]]
-            out.append((np.minimum(a, b), np.maximum(a, b)))
+        for mine, others in sides:
+            for at in range(0, len(mine), 64):
+                some = mine[at : at + 64, None]
+                equal = equal_minima(bits[some], bits[others])
+                fits = (
+                    (component[some] != component[others])
+                    & (np.minimum(n[some], n[others]) * 100 >= np.maximum(n[some], n[others]) * PERCENT)
+                    & (equal >= enough)
+                )
+                if most:
+                    i, j = _likeliest(np.where(fits, equal, -1), most)
+                    one, other = some[i, 0], others[j]
+                else:
+                    if low == high:
+                        fits &= ids[some] < ids[others]
+                    i, j = np.nonzero(fits)
+                    one, other = some[i, 0], others[j]
+                    first = ~(keys[one, :band] == keys[other, :band]).any(axis=1)
+                    one, other = one[first], other[first]
+                a, b = ids[one], ids[other]
+                out.append((np.minimum(a, b), np.maximum(a, b)))
         a, b = (np.concatenate(side) for side in zip(*out, strict=True))
         return pa.table({"a": a, "b": b})
 
-    return written(dealt.groupBy("key", "low", "high").applyInArrow(run, "a long, b long"), "block_pairs")
+    found = dealt.groupBy("key", "low", "high").applyInArrow(run, "a long, b long")
+    return written(found.distinct() if most else found, "block_pairs")
 
 
 def classes_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -314,16 +343,17 @@ def classes_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     whole = F.make_valid_utf8(text_of(docs, text))
     classes = docs.select(F.xxhash64(whole).alias("id"), whole.alias("text"))
     signed = signatures(classes)
-    members = _grouped(signed).withColumn("component", F.col("id"))
-    links = _confirmed(_likely(_stars(members, 0), signed), classes)
+    members = _grouped(signed)
+    links = _confirmed(_likely(_stars(members), signed), classes)
     open_groups, left = _open(members, links), None
-    for salt in range(1, ROUNDS + 1):
-        # A round that finds nothing to join ends the rounds; the blocks leave nothing out.
+    for number in range(ROUNDS):
+        # A round that closes no group ends the rounds; what follows leaves nothing out.
         now = open_groups.count()
         if now == 0 or now == left:
             break
         left = now
-        links = links.union(_confirmed(_likely(_stars(open_groups, salt), signed), classes))
+        some = open_groups.where(F.col("band") % ROUND_BANDS == number)
+        links = links.union(_confirmed(_blocks(some, signed, PARTNERS), classes))
         open_groups = _open(open_groups, links)
     links = links.union(_confirmed(_blocks(open_groups, signed), classes))
     found = written(components(links), "components")
