@@ -10,7 +10,8 @@ are numbered in buckets, with the buckets' counts summed up, so a common length
 
 Defined cases: a null or empty text is one piece, the end id alone. Repeated documents are packed
 as often as they occur; pieces that are equal in every column may change places. An empty table
-gives no pieces.
+gives no pieces. Ids are whole numbers, or text that is one; other text raises, as a cast does, and
+a null id stays null. Other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations

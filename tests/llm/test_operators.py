@@ -897,6 +897,16 @@ def test_op4_over_the_whole_table(spark, given):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_packing_takes_whole_numbers_as_ids(spark):
+    from pyspark.errors import PySparkException
+
+    docs = spark.createDataFrame([("12", "a b"), (None, "c")], "doc_id string, text string")
+    placed = best_fit_packing.pack(docs, "word_bpe_49k.json").collect()
+    assert sorted((r["doc_id"] or 0) for r in placed) == [0, 12]
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        best_fit_packing.pack(docs.replace("12", "twelve"), "word_bpe_49k.json").collect()
+
+
 def test_op6_over_the_whole_table(spark, given):
     placed = queries()["op6_best_fit_packing"](spark, SF_DIR).collect()
     n, tokens = check_packing(placed, given, 2048)
