@@ -10,11 +10,10 @@
    the intervals of all c w (left extensions). An extension also lies in the interval of the words
    it begins with, whose right extension it is. Only phrases whose two parts of one word less are
    extended too are kept. Words and pairs are counted when a shard is made, then triples of frequent
-   pairs: a shard gives their 48-bit hashes and counts, sorted and packed, a piece to each range of
-   hashes; the counts of a range are summed over all shards, and each shard gets back a bit for
-   every hash, set if it is frequent in the whole corpus. (Hashes that collide keep a phrase too
-   many, never one too few.) At last each shard spells out its frequent phrases, and those of four
-   words made of frequent triples, and their exact sums decide.
+   pairs, then phrases of four of frequent triples: a shard gives their 64-bit hashes and counts,
+   sorted and packed, a piece to each range of hashes; the counts of a range are summed over all
+   shards, and each shard gets back a bit for every hash, set if it is frequent in the whole corpus.
+   One shard of those that have a frequent phrase gets its sum, too, and at last spells it out.
 3. The frequent phrases, at least ``MIN_COUNT`` occurrences each, are scored: for each cut into a
    first part and the rest, with l and r occurrences, floor(SCALE a / (l + r)); the lowest cut
    counts. Phrases inside a longer one that has 80 percent of their occurrences are dropped. The
@@ -25,7 +24,8 @@ great share of what is shuffled, and there are as many ranges of hashes as keep
 gets back a bit a phrase. Defined cases: null and empty texts have no words; a null language is ``und``, like
 a language of that name; ids aren't read, so every row counts, repeated ones too; an empty table
 gives no rows. Ties of score and count are ranked by the phrase's bytes. A document longer than a
-shard makes a larger shard. Other columns aren't read, whatever their names.
+shard makes a larger shard. Other columns aren't read, whatever their names. Among 10^10 different
+phrases two or three pairs may share a hash.
 """
 
 from __future__ import annotations
@@ -52,7 +52,6 @@ SHARD_WORDS = 4_000_000
 # Rows of one Arrow batch that a shard's counts are returned in.
 ROWS = 200_000
 BUCKETS = 64
-KEY_BITS = 48
 # Bytes of text for one range of hashes: some hundred thousand phrases.
 RANGE_BYTES = 6 << 20
 
@@ -181,7 +180,7 @@ def unpacked_counts(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]
 
 
 def hashes(found: tuple, lang: str, words: list[bytes], of_words: dict[int, int]) -> np.ndarray:
-    """48-bit hashes of phrases; ``of_words`` keeps those of the shard's words."""
+    """64-bit hashes of phrases; ``of_words`` keeps those of the shard's words."""
     prefix, used = lang.encode() + b"\n", np.unique(found[2])
     for number in used.tolist():
         if number not in of_words:
@@ -191,7 +190,7 @@ def hashes(found: tuple, lang: str, words: list[bytes], of_words: dict[int, int]
     keys = np.zeros(len(found[0]), dtype=np.uint64)
     for column in found[2].T:
         keys = mixed(keys + table[column])
-    return keys >> np.uint64(64 - KEY_BITS)
+    return keys
 
 
 _PIECE = ["shard", "lang", "n", "words", "bwt", "range", "keys", "counts"]
@@ -216,7 +215,7 @@ def pieces(shard: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> lis
     """A row of packed keys and counts for each range of hashes."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    of = ((keys >> np.uint64(KEY_BITS - 32)) * np.uint64(ranges)) >> np.uint64(32)
+    of = ((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
     starts = np.flatnonzero(np.diff(of, prepend=of[:1] + np.uint64(1))) if len(of) else []
     out = []
     for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
@@ -288,27 +287,35 @@ def _opened(batch: pa.RecordBatch, i: int) -> tuple[int, list[bytes], Index, str
     return batch.column("shard")[i].as_py(), words, index, batch.column("lang")[i].as_py()
 
 
-def _kept(batch: pa.RecordBatch, i: int, name: str, keys: np.ndarray) -> np.ndarray:
-    """Which of a shard's phrases are frequent, from the bits of its ranges of hashes."""
-    found = batch.column(name)[i].as_py() or []
-    bits = [
-        np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=row["n"])
-        for row in sorted(found, key=lambda row: row["range"])
-    ]
-    keep = np.zeros(len(keys), dtype=bool)
-    keep[np.argsort(keys, kind="stable")] = np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)
-    return keep
-
-
-def _triples(batch: pa.RecordBatch, i: int):
-    """A shard with its frequent words and pairs, and the triples of frequent pairs."""
+def _told(batch: pa.RecordBatch, i: int, name: str, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of a shard's phrases are frequent, and the sums of those it is to spell out, else 0."""
+    found = sorted(batch.column(name)[i].as_py() or [], key=lambda row: row["range"])
+    order = np.argsort(keys, kind="stable")
+    often, sums = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+    at = 0
+    for row in found:
+        mine = order[at : at + row["n"]]
+        often[mine] = np.unpackbits(np.frombuffer(row["often"], np.uint8), count=row["n"])
+        own = np.unpackbits(np.frombuffer(row["own"], np.uint8), count=row["n"]).astype(bool)
+        sums[mine[own]] = np.frombuffer(unpacked(row["sums"]), "<i8")
+        at += row["n"]
+    return often, sums
+
+
+def _grown(batch: pa.RecordBatch, i: int, names: list[str]):
+    """A shard's frequent phrases with their sums, as far as told, and the next ones with hashes."""
     shard, words, index, lang = _opened(batch, i)
     keys, _, (one, two), of_words = _short(index, lang, words)
-    keep = _kept(batch, i, "short", keys)
-    one = tuple(c[keep[: len(one[0])]] for c in one)
-    two = tuple(c[keep[len(keep) - len(two[0]) :]] for c in two)
-    three = index.extended(*two)
-    return shard, words, index, lang, one, two, three, hashes(three, lang, words, of_words)
+    often, sums = _told(batch, i, names[0], keys)
+    cut = len(one[0])
+    levels = []
+    for found, keep, total in ((one, often[:cut], sums[:cut]), (two, often[cut:], sums[cut:])):
+        levels.append((tuple(c[keep] for c in found), total[keep]))
+    for name in names[1:]:
+        found = index.extended(*levels[-1][0])
+        keep, total = _told(batch, i, name, hashes(found, lang, words, of_words))
+        levels.append((tuple(c[keep] for c in found), total[keep]))
+    return shard, words, index, lang, levels, of_words
 
 
 def with_bits(shards: DataFrame, counted: DataFrame, name: str, min_count: int) -> DataFrame:
@@ -327,49 +334,57 @@ def with_bits(shards: DataFrame, counted: DataFrame, name: str, min_count: int)
         sums = np.add.reduceat(counts[order], starts)
         often = np.empty(len(keys), dtype=bool)
         often[order] = np.repeat(sums >= min_count, np.diff(np.append(starts, len(keys))))
+        own, totals = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+        own[order[starts]] = sums >= min_count
+        totals[order[starts]] = sums
         sizes = [len(k) for k, _ in held]
-        ends = np.cumsum(sizes)
-        bits = [np.packbits(often[b - n : b]).tobytes() for n, b in zip(sizes, ends.tolist(), strict=True)]
+        parts = [slice(b - n, b) for n, b in zip(sizes, np.cumsum(sizes).tolist(), strict=True)]
+        told = {
+            "often": [np.packbits(often[p]).tobytes() for p in parts],
+            "own": [np.packbits(own[p]).tobytes() for p in parts],
+            "sums": [packed(totals[p][own[p]].astype("<i8").tobytes()) for p in parts],
+        }
         return pa.table(
             {
                 "shard": rows["shard"],
                 "range": rows["range"],
                 "n": pa.array(sizes, pa.int32()),
-                "bits": pa.array(bits, pa.binary()),
+                **{name: pa.array(values, pa.binary()) for name, values in told.items()},
             }
         )
 
     found = counted.select("shard", "range", "keys", "counts").groupBy("range")
-    bits = (
-        found.applyInArrow(run, "shard long, range int, n int, bits binary")
+    told = (
+        found.applyInArrow(run, "shard long, range int, n int, often binary, own binary, sums binary")
         .groupBy("shard")
-        .agg(F.collect_list(F.struct("range", "n", "bits")).alias(name))
+        .agg(F.collect_list(F.struct("range", "n", "often", "own", "sums")).alias(name))
     )
-    return join_measured(shards, written(bits, name), ["shard"])
+    return join_measured(shards, written(told, name), ["shard"])
 
 
-def triples(shards: DataFrame, ranges: int) -> DataFrame:
-    """Rows of packed counts of each shard's triples."""
+def longer(shards: DataFrame, names: list[str], ranges: int) -> DataFrame:
+    """Rows of packed counts of each shard's phrases of one word more than told of in ``names``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                shard, *_, three, keys = _triples(batch, i)
-                if len(keys):
-                    yield _record(pieces(shard, keys, three[1], ranges))
+                shard, words, index, lang, levels, of_words = _grown(batch, i, names)
+                found = index.extended(*levels[-1][0])
+                if len(found[0]):
+                    keys = hashes(found, lang, words, of_words)
+                    yield _record(pieces(shard, keys, found[1], ranges))
 
-    return written(shards.mapInArrow(run, _PIECE_DDL), "triples")
+    return written(shards.mapInArrow(run, _PIECE_DDL), "longer")
 
 
-_COUNTED = "lang string, words int, phrase string, n long"
+_COUNTED = "lang string, words int, phrase string, f long"
 
 
-def spelled(shards: DataFrame) -> DataFrame:
-    """(lang, words, phrase, n): each shard's frequent phrases, and all of four words made of them."""
+def spelled(shards: DataFrame, names: list[str]) -> DataFrame:
+    """(lang, words, phrase, f): every frequent phrase, from the shard that was given its sum."""
 
-    def rows(lang: str, found: tuple, words: pa.Array) -> Iterator[pa.RecordBatch]:
-        _, counts, numbers = found
-        for at in range(0, len(counts), ROWS):
+    def rows(lang: str, numbers: np.ndarray, sums: np.ndarray, words: pa.Array) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(sums), ROWS):
             some = slice(at, at + ROWS)
             columns = [words.take(pa.array(c)) for c in numbers[some].T]
             phrase = columns[0]
@@ -381,20 +396,19 @@ def spelled(shards: DataFrame) -> DataFrame:
                     pa.array([lang] * size, pa.string()),
                     pa.array(np.full(size, len(columns), dtype=np.int32)),
                     phrase.cast(pa.string()),
-                    pa.array(counts[some], pa.int64()),
+                    pa.array(sums[some], pa.int64()),
                 ],
-                ["lang", "words", "phrase", "n"],
+                ["lang", "words", "phrase", "f"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                _, words, index, lang, one, two, three, keys = _triples(batch, i)
-                keep = _kept(batch, i, "long", keys)
-                three = tuple(c[keep] for c in three)
+                _, words, _, lang, levels, _ = _grown(batch, i, names)
                 spelling = pa.array([b"", *words], pa.binary())
-                for found in (one, two, three, index.extended(*three)):
-                    yield from rows(lang, found, spelling)
+                for found, sums in levels:
+                    own = sums > 0
+                    yield from rows(lang, found[2][own], sums[own], spelling)
 
     return shards.mapInArrow(run, _COUNTED)
 
@@ -408,10 +422,13 @@ def frequent_phrases(
     table = indexed(docs, text, lang, ranges)
     shards = table.where("range is null").drop("range", "keys", "counts")
     totals = written(shards.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    shards = with_bits(shards, table.where("range is not null"), "short", min_count)
-    shards = with_bits(shards, triples(shards, ranges), "long", min_count)
-    sums = spelled(shards).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
-    return written(sums.where(F.col("f") >= min_count), "frequent"), totals
+    names = ["up_to_2"]
+    shards = with_bits(shards, table.where("range is not null"), names[0], min_count)
+    for length in range(3, LONGEST + 1):
+        more = longer(shards, names, ranges)
+        names = [*names, f"of_{length}"]
+        shards = with_bits(shards, more, names[-1], min_count)
+    return written(spelled(shards, names), "frequent"), totals
 
 
 def _part(first: Column, size: Column) -> Column:
