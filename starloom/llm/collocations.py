@@ -48,7 +48,7 @@ MIN_COUNT = 30
 SCALE = 2_000_000
 COVER_PERCENT = 80
 TOP = 2000
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 2_000_000
 # Rows of one Arrow batch that a shard's counts are returned in.
 ROWS = 200_000
 BUCKETS = 64
@@ -446,7 +446,8 @@ def scored(frequent: DataFrame) -> DataFrame:
     )
     for part, count in (("first", "l"), ("rest", "r")):
         its = frequent.select("lang", F.col("phrase").alias(part), F.col("f").alias(count))
-        cuts = join_measured(cuts, its, ["lang", part], "inner")
+        # The frequent phrases grow with the corpus; they are joined by shuffle at every size.
+        cuts = cuts.join(its.hint("merge"), ["lang", part])
     # The product may pass 64 bits.
     score = F.expr(f"{SCALE} * cast(a as decimal(28,0)) div (cast(l as decimal(28,0)) + r)")
     lowest = F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("low")
