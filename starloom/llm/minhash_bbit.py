@@ -11,7 +11,7 @@ similarity of at least ``PERCENT``.
    with one of them, which differs from band to band. A comparison first counts equal low bits:
    with m of ``HASHES`` equal, (m / HASHES - 2 ^ -BITS) / (1 - 2 ^ -BITS) estimates the similarity,
    free of the bits that agree by chance. Pairs estimated ``MARGIN`` standard deviations below the
-   threshold are dropped (a linked pair with a probability below 1e-6), the others are confirmed on
+   threshold are dropped (a linked pair with a probability below 4e-6), the others are confirmed on
    the full sets, from the whole texts.
 3. Links give connected components. In groups that still hold several, each member's packed bits
    are compared with those of the members of other components, and its likeliest partners are
@@ -48,7 +48,7 @@ ROWS = 8
 BANDS = 48
 HASHES = ROWS * BANDS
 BITS = 4
-MARGIN = 5
+MARGIN = 4.5
 ROUNDS = 2
 # A round looks at one in so many bands, and takes so many of a member's likeliest partners.
 ROUND_BANDS = 4
@@ -56,7 +56,7 @@ PARTNERS = 2
 # Members of one block of a large group; two blocks are compared in one task.
 BLOCK = 1024
 # Groups of the same members get one of so many first members.
-CENTERS = 4
+CENTERS = 2
 TILE = 32_768
 
 _PER_WORD = 64 // BITS
