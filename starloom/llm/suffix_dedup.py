@@ -2,7 +2,7 @@
 
 1. Texts are read as UTF-8. In every window of ``LENGTH`` bytes the ``GRAM``-byte string of least
    hash is the window's anchor (ties: the first), so equal windows have equal anchors at equal
-   places. Anchors are counted by hash, and those found once are dropped.
+   places. Anchors come together by hash, and those found once are dropped.
 2. An anchor that is left gives its context, the bytes of all windows it is the anchor of. Equal
    contexts are counted (summed before the shuffle); contexts of one anchor come together.
 3. Contexts of anchors with several of them are put into batches. A batch's Burrows-Wheeler
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import join_measured, text_of, written
@@ -39,9 +39,10 @@ from starloom.llm.common import join_measured, text_of, written
 LENGTH = 200
 GRAM = 32
 MAX_CONTEXTS = 500
-BATCH_BYTES = 1 << 15
+BATCH_BYTES = 1 << 17
 CHUNK = 1 << 22
 FLUSH_ROWS = 50_000
+HELD_ROWS = 1_000_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _PLACE = np.uint64((1 << 24) - 1)
@@ -94,38 +95,60 @@ def _bytes_of(batch: pa.RecordBatch, seen: set[int]) -> Iterator[tuple[int, int,
 
 
 def anchor_rows(classes: DataFrame, length: int) -> DataFrame:
-    """(anchor, id, place) of every anchor of every text; the place is its first window's."""
+    """(anchor, id, place, met) of every anchor of every text; the place is its first window's.
+
+    ``met`` is 0 for an anchor that the task found once among ``HELD_ROWS`` or so, else 1 for the
+    first of its places and 2 for the others.
+    """
+
+    def record(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        found, ids, places = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(found, kind="stable")
+        again = found[order[1:]] == found[order[:-1]]
+        met = np.zeros(len(found), dtype=np.int8)
+        met[order[:-1][again]] = 1
+        met[order[1:][again]] = 2
+        columns = [pa.array(c) for c in (found, ids, places.astype(np.int32), met)]
+        return pa.record_batch(columns, ["anchor", "id", "place", "met"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
-            found, ids, places = [], [], []
             for _, key, data in _bytes_of(batch, seen):
                 hashes, first, _, _ = anchors(data, length)
-                found.append(hashes.view(np.int64))
-                ids.append(np.full(len(first), key, dtype=np.int64))
-                places.append(first)
-            if found:
-                columns = [pa.array(np.concatenate(c)) for c in (found, ids, places)]
-                yield pa.record_batch(columns, ["anchor", "id", "place"])
+                held.append((hashes.view(np.int64), np.full(len(first), key, dtype=np.int64), first))
+                size += len(first)
+                if size > HELD_ROWS:
+                    yield record(held)
+                    held, size = [], 0
+        if held:
+            yield record(held)
 
-    return classes.mapInArrow(run, "anchor long, id long, place long")
+    return classes.mapInArrow(run, "anchor long, id long, place int, met byte")
 
 
 def repeated_anchors(rows: DataFrame) -> DataFrame:
-    """Of (anchor, id, place), a written table, the places of anchors in several of them.
+    """Of (anchor, id, place, met) the places of anchors in several of them.
 
-    The least and the greatest place are found where rows lie first, so that an anchor of very
-    many texts sends one row a task.
+    The places of an anchor come together in one shuffle; of those that a task knows to be
+    repeated only one a task goes there, so that an anchor of very many texts is no large group.
     """
-    place = F.struct("id", "place")
-    several = (
-        rows.groupBy("anchor")
-        .agg(F.min(place).alias("least"), F.max(place).alias("most"))
-        .where("least <> most")
-        .select("anchor")
+    known = F.col("met") == 2
+    together = Window.partitionBy("key")
+
+    def differ(column: str) -> Column:
+        return F.min(column).over(together) != F.max(column).over(together)
+
+    # A copy of a text that another task met has the same id and place.
+    several = known | (F.max("met").over(together) > 0) | differ("id") | differ("place")
+    return (
+        rows.select(F.when(known, F.col("id")).otherwise(F.col("anchor")).alias("key"), "id", "place", "met")
+        .select("id", "place", several.alias("several"))
+        .where("several")
+        .select("id", "place")
     )
-    return join_measured(rows, written(several, "anchors"), ["anchor"], "left_semi")
 
 
 def contexts(classes: DataFrame, places: DataFrame, length: int) -> DataFrame:
@@ -205,30 +228,41 @@ def suffixes(text: np.ndarray, length: int) -> np.ndarray:
 def prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether the common prefix of each suffix and the one before it is under ``length``.
 
-    By breadth-first backward extension on the Burrows-Wheeler transform, value by value.
+    By breadth-first backward extension on the Burrows-Wheeler transform, value by value. Of a
+    border only the block ahead of it is read, the suffixes that share what lies before the border:
+    each letter of their transform gives a block again, and its end is a border if it wasn't one.
     """
     n = len(text)
     last = text[order - 1]
-    letters, coded = np.unique(last, return_inverse=True)
-    # How often each letter is among the first j of the transform.
-    seen = np.zeros((n + 1, len(letters)), dtype=np.uint16 if n < 1 << 16 else np.int32)
-    seen[np.arange(1, n + 1), coded] = 1
-    np.cumsum(seen, axis=0, out=seen)
-    totals = seen[n]
-    first = np.cumsum(totals, dtype=np.int64) - totals
-    border = np.zeros(n, dtype=bool)
+    by = np.argsort(last, kind="stable").astype(np.int32)
+    slots = np.arange(n, dtype=np.int32)
+    extended = np.empty(n, dtype=np.int32)
+    extended[by] = slots
+    # The places of the same letter before and after each of the transform.
+    same = last[by[1:]] == last[by[:-1]]
+    before, after = np.full(n, -1, dtype=np.int32), np.full(n, n, dtype=np.int32)
+    before[by[1:][same]] = by[:-1][same]
+    after[by[:-1][same]] = by[1:][same]
     # Suffixes with different first letters have nothing in common.
-    frontier = np.unique(first)
-    border[frontier] = True
+    ends = np.append(np.flatnonzero(~same) + 1, n).astype(np.int32)
+    begins = np.append(0, ends[:-1]).astype(np.int32)
+    border = np.zeros(n + 1, dtype=bool)
+    border[begins] = border[n] = True
     for _ in range(1, length):
-        if not len(frontier):
+        if not len(ends):
             break
-        before = seen[frontier]
-        inside = (before > 0) & (before < totals)
-        reached = (before + first)[inside]
-        frontier = np.unique(reached[~border[reached]])
-        border[frontier] = True
-    return border
+        sizes = ends - begins
+        past = np.cumsum(sizes, dtype=np.int32)
+        block = slots[: past[-1]] + np.repeat(begins - past + sizes, sizes)
+        first = extended[block[before[block] < np.repeat(begins, sizes)]]
+        end = extended[block[after[block] >= np.repeat(ends, sizes)]] + 1
+        # The blocks have no suffix in common, so that their order puts firsts and ends in pairs.
+        first.sort()
+        end.sort()
+        new = ~border[end]
+        begins, ends = first[new], end[new]
+        border[ends] = True
+    return border[:n]
 
 
 def repeated_windows(strings: list[bytes], length: int) -> list[np.ndarray]:
@@ -258,17 +292,15 @@ _SPAN = "anchor long, code long, lo int, hi int"
 
 
 def expand(groups: DataFrame, length: int) -> DataFrame:
-    """(anchor, code, lo, hi): repeated spans of each context that its group shows.
+    """(anchor, code, lo, hi): repeated spans of each context found once that its group shows.
 
     Reads (key, anchor, code, context, n) sorted by key, the group.
     """
     names = ["anchor", "code", "lo", "hi"]
 
     def spans(group: list[tuple], hits: list[np.ndarray], out: list[list]) -> None:
-        for (_, anchor, code, context, n), hit in zip(group, hits, strict=True):
-            if n > 1:
-                out.append([anchor, code, 0, len(context)])
-            elif len(hit):
+        for (_, anchor, code, _, n), hit in zip(group, hits, strict=True):
+            if n == 1 and len(hit):
                 gaps = np.flatnonzero(np.diff(hit) > length) + 1
                 for part in np.split(hit, gaps):
                     out.append([anchor, code, int(part[0]), int(part[-1]) + length])
@@ -290,10 +322,8 @@ def expand(groups: DataFrame, length: int) -> DataFrame:
             # A context may be in several groups, and must not be compared with itself.
             if not held.isdisjoint(own):
                 settle()
-            if len(group) == 1:
-                # One context: no other text has this anchor in other surroundings.
-                spans(group, [np.zeros(0, dtype=np.int64)], out)
-            else:
+            # One context: no other text has this anchor in other surroundings.
+            if len(group) > 1:
                 waiting += group
                 held.update(own)
                 size += sum(len(row[3]) for row in group)
@@ -397,7 +427,7 @@ def repeated_spans(docs: DataFrame, text: str, length: int = LENGTH) -> DataFram
     whole = F.make_valid_utf8(text_of(docs, text))
     long = docs.where(F.octet_length(whole) >= length)
     classes = long.select(F.xxhash64(whole).alias("id"), whole.alias("text"))
-    places = repeated_anchors(written(anchor_rows(classes, length), "anchor_rows"))
+    places = repeated_anchors(anchor_rows(classes, length))
     cut = written(contexts(classes, places, length), "contexts")
     # A context is in several places if its least and its largest place differ. (A copy of a
     # text that another task met has given the same rows again, so they can't be counted.)
@@ -429,21 +459,28 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], ends[np.concatenate([new[1:] - 1, [len(starts) - 1]])]
 
 
-def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """The maximal runs of each text's spans, and the text's bytes without them."""
+_RUNS = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+
+
+def _runs(spans: pa.Array) -> pa.Array:
+    """The maximal runs of each text's spans."""
+    out = []
+    for found in spans:
+        ends = merged(*(found.values.field(c).to_numpy() for c in ("from", "to")))
+        out.append([{"from": a, "to": b} for a, b in zip(*(e.tolist() for e in ends), strict=True)])
+    return pa.array(out, _RUNS)
+
+
+def _without(texts: pa.Array, runs: pa.Array) -> pa.Array:
+    """Each text's bytes without its runs."""
     out = []
-    for i, whole in enumerate(texts.to_pylist()):
-        data, kept, at, runs = whole.encode(), [], 0, []
-        found = spans[i].values
-        if found is not None and len(found):
-            ends = merged(*(found.field(c).to_numpy() for c in ("from", "to")))
-            runs = list(zip(*(e.tolist() for e in ends), strict=True))
-        for start, end in runs:
-            kept.append(data[at:start])
-            at = end
-        out.append({"spans": [{"from": a, "to": b} for a, b in runs], "kept": b"".join([*kept, data[at:]])})
-    span = pa.struct([("from", pa.int64()), ("to", pa.int64())])
-    return pa.array(out, pa.struct([("spans", pa.list_(span)), ("kept", pa.binary())]))
+    for whole, removed in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
+        data, kept, at = whole.encode(), [], 0
+        for run in removed or []:
+            kept.append(data[at : run["from"]])
+            at = run["to"]
+        out.append(b"".join([*kept, data[at:]]))
+    return pa.array(out, pa.binary())
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -463,12 +500,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     )
     entire = F.array(F.struct(F.lit(0).cast("long").alias("from"), F.col("n_bytes").alias("to")))
     spans = repeated_spans(docs, text, length).union(copies.select("id", entire.alias("spans")))
+    kind = "array<struct<from:bigint,to:bigint>>"
+    # Runs are few where spans are many: the documents meet as little as possible.
     removed = written(
-        spans.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("spans")), "removed"
+        spans.groupBy("id")
+        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        .select("id", F.arrow_udf(_runs, kind)("spans").alias("spans")),
+        "removed",
     )
     joined = join_measured(rows, removed, ["id"])
-    kind = "struct<spans:array<struct<from:bigint,to:bigint>>,kept:binary>"
-    done = F.arrow_udf(_without, kind)("text", "spans")
-    return joined.select("row", "n_bytes", done.alias("done")).select(
-        "row", "n_bytes", "done.spans", "done.kept"
+    return joined.select(
+        "row",
+        "n_bytes",
+        F.coalesce("spans", F.array().cast(kind)).alias("spans"),
+        F.arrow_udf(_without, "binary")("text", "spans").alias("kept"),
     )

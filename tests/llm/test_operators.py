@@ -50,6 +50,12 @@ def prose(seed: int, n: int) -> str:
     return " ".join(pick.choice(WORDS) + str(pick.randint(0, 99)) for _ in range(n))
 
 
+def xxhash_of(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode(), seed=42) - (1 << 63)
+
+
 def awkward(extra=()) -> list[tuple]:
     base = prose(1, 300)
     return [
@@ -429,6 +435,77 @@ def test_backward_extension_finds_repeats():
         assert [x.tolist() for x in suffix_dedup.repeated_windows(texts, length)] == want
 
 
+def test_borders_are_where_prefixes_differ_and_take_no_table_of_letters():
+    import tracemalloc
+
+    import numpy as np
+
+    pick = random.Random(5)
+    for letters in (b"ab", b"abcdefgh", bytes(range(1, 255))):
+        base = bytes(pick.choice(letters) for _ in range(300))
+        strings = [base[pick.randint(0, 99) : pick.randint(150, 300)] for _ in range(8)] + [letters[:2] * 50]
+        text = np.frombuffer(b"\xff".join(strings) + b"\xff", dtype=np.uint8)
+        whole = text.tobytes()
+        for length in (2, 12, 40):
+            order = suffix_dedup.suffixes(text, length)
+            border = suffix_dedup.prefix_borders(text, order, length)
+            for a, b, found in zip(order[:-1].tolist(), order[1:].tolist(), border[1:].tolist(), strict=True):
+                # What lies behind the end of a string takes part in no window.
+                if b"\xff" not in whole[a : a + length] + whole[b : b + length]:
+                    assert found == (whole[a : a + length] != whole[b : b + length])
+    text = np.frombuffer(bytes(pick.randrange(255) for _ in range(60_000)) + b"\xff", dtype=np.uint8)
+    order = suffix_dedup.suffixes(text, 200)
+    tracemalloc.start()
+    suffix_dedup.prefix_borders(text, order, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(text)
+
+
+def test_places_of_repeated_anchors_take_one_shuffle(spark):
+    """An anchor of very many texts sends one row a task to be compared, whatever the table's size."""
+    passage = prose(30, 60)
+    texts = [prose(200 + i, 40) + passage + prose(300 + i, 40) for i in range(60)]
+    texts += [prose(400 + i, 60) for i in range(5)] + texts[:3]
+    rows = [(xxhash_of(t), t) for t in texts]
+    classes = spark.createDataFrame(rows, "id long, text string").repartition(4).cache()
+    found = suffix_dedup.anchor_rows(classes, suffix_dedup.LENGTH)
+    kept = suffix_dedup.repeated_anchors(found)
+    places: dict = {}
+    for key, text in set(rows):
+        hashes, first, _, _ = suffix_dedup.anchors(text.encode(), suffix_dedup.LENGTH)
+        for anchor, place in zip(hashes.tolist(), first.tolist(), strict=True):
+            places.setdefault(anchor, set()).add((key, place))
+    want = {place for held in places.values() if len(held) > 1 for place in held}
+    assert {tuple(r) for r in kept.collect()} == want and want
+    compared = found.where("met < 2").groupBy("anchor").count().agg({"count": "max"}).first()[0]
+    assert compared <= 4 < max(map(len, places.values()))
+    plan = kept.select("id", "place")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    classes.unpersist()
+
+
+def test_documents_meet_runs_not_spans(spark, monkeypatch):
+    """The table that is joined to the documents has a text's maximal runs only."""
+    tables = {}
+    written = suffix_dedup.written
+
+    def noted(df, name, *rest):
+        tables[name] = written(df, name, *rest)
+        return tables[name]
+
+    monkeypatch.setattr(suffix_dedup, "written", noted)
+    passage = prose(31, 200)
+    rows = [(i, prose(500 + i, 30) + passage + prose(600 + i, 30)) for i in range(4)]
+    got = suffix_dedup.remove_repeats(table(spark, rows)).select("row.doc_id", "spans").collect()
+    want = [spans for _, spans, _ in plain_repeats([r[1] for r in rows], suffix_dedup.LENGTH)]
+    assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in got} == dict(enumerate(want))
+    assert sorted(len(r["spans"]) for r in tables["removed"].collect()) == sorted(map(len, want))
+    # A context found twice is whole as it is and not given again by its group.
+    again = tables["found"].join(tables["whole"], ["anchor", "code"], "left_semi")
+    assert again.count() == 0 < tables["whole"].count()
+
+
 # N-gram Jaccard join
 
 
