@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import functools
 import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.raw_layer import RawLayer
@@ -15,6 +17,7 @@ from starloom.operators.lookup import (
     fits_broadcast,
     hot_keys,
     left_lookups,
+    lookup_parts,
     near_dims,
 )
 from starloom.operators.metrics import customers_orders_left
@@ -208,3 +211,18 @@ def test_reports_are_the_same_without_any_measured_broadcast(spark):
     far = customers_orders_left(customers, fact, SHUFFLE_ONLY)
     assert near.exceptAll(far).count() == 0 and far.exceptAll(near).count() == 0
     assert rows(relationships(tables)) == rows(relationships(tables, limits=SHUFFLE_ONLY))
+
+
+def test_parts_keep_orphans_nulls_and_repeated_keys_of_any_type(spark):
+    """Also where both keys have other types, whose hashes don't agree."""
+    fact = spark.range(4000).selectExpr("id", "cast(case when id % 7 > 0 then id % 900 end as int) as k")
+    for kind in ("int", "long", "string", "decimal(20,3)"):
+        dim = spark.range(1000).filter("id % 10 > 0").selectExpr("id * 2 as n").union(spark.range(50))
+        dim = dim.selectExpr(f"cast(n as {kind}) as dk", "n as v")
+        lookups = [Lookup(dim, "k", "dk", {"v": "v"})]
+        limits = JoinLimits(broadcast_rows=0, hot_share=0.05, part_rows=100)
+        parts = lookup_parts(fact, lookups, ["id"], limits)
+        whole = left_lookups(fact, lookups, ["id"], SHUFFLE_ONLY)
+        assert len(parts) == 2 and all(0 < part.count() < whole.count() * 0.7 for part in parts)
+        together = functools.reduce(DataFrame.unionByName, parts)
+        assert rows(together) == rows(whole)
