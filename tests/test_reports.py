@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.raw_layer import RawLayer
+from checks.registry import Context
 from starloom.operators import metrics, quality
 from starloom.operators.lookup import JoinLimits
 from starloom.plans.integration import city_flatten, dim_customer
@@ -169,3 +170,18 @@ def test_repeated_places_repeat_customers_in_both_city_roles(spark, table, key,
     )
     found = dim_customer(stg, limits).count()
     assert found == expected
+
+
+def test_sales_by_period_of_many_customers_sums_the_lines_once(spark):
+    """The sums are written in parts, each group in one of them, and names are looked up there."""
+    tables = Context(spark, SF_DIR).tables
+    fact, customers, items = (tables[n] for n in ("fact_sales_order_line", "dim_customer", "dim_stock_item"))
+    # Some lines without an item, without a customer and without a date.
+    some = {n: F.when(F.col("sales_order_line_key") % k > 0, F.col(n)) for n, k in (("stock_item_key", 5), ("customer_key", 7), ("order_date_key", 11))}
+    lines = fact.withColumns(some)
+    near = metrics.sales_by_period(lines, customers, items)
+    limits = JoinLimits(broadcast_rows=0, hot_share=0.05, part_rows=1000)
+    far = metrics.sales_by_period(lines, customers, items, limits)
+    assert far.columns == near.columns and far.dtypes == near.dtypes
+    assert not set(far.inputFiles()) & set(fact.inputFiles())
+    assert rows(far) == rows(near)
