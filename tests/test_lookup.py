@@ -226,3 +226,16 @@ def test_parts_keep_orphans_nulls_and_repeated_keys_of_any_type(spark):
         assert len(parts) == 2 and all(0 < part.count() < whole.count() * 0.7 for part in parts)
         together = functools.reduce(DataFrame.unionByName, parts)
         assert rows(together) == rows(whole)
+
+
+def test_keys_in_use_too_many_to_broadcast_their_rows_are_not_sent(spark, monkeypatch):
+    from starloom.operators import lookup as module
+
+    fact = spark.range(3000).withColumnRenamed("id", "k")
+    dim = spark.range(5000).select(F.col("id").alias("dk"), F.col("id").cast("string").alias("v"))
+    taken = []
+    monkeypatch.setattr(module, "_written", lambda df, path, rows: taken.append(path))
+    # 3,000 keys by themselves are 96,000 bytes, with a value each 144,000 and more.
+    limits = JoinLimits(broadcast_bytes=100_000)
+    assert module.few_used(fact, [Lookup(dim, "k", "dk", {"v": "v"})], limits) == {}
+    assert taken == []
