@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import functools
 import re
+import time
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -22,7 +24,7 @@ from starloom.operators.lookup import (
 )
 from starloom.operators.metrics import customers_orders_left
 from starloom.operators.quality import relationships
-from starloom.plans.mart import mart_sales_order_line
+from starloom.plans.mart import mart_parts, mart_sales_order_line
 from starloom.plans.warehouse import build_warehouse
 from tests.conftest import SF_DIR, rows
 
@@ -213,6 +215,37 @@ def test_reports_are_the_same_without_any_measured_broadcast(spark):
     assert rows(relationships(tables)) == rows(relationships(tables, limits=SHUFFLE_ONLY))
 
 
+def shuffle_files(spark) -> int:
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(len(list(Path(str(folder)).rglob("shuffle_*"))) for folder in folders)
+
+
+def test_mart_in_parts_has_the_same_rows(spark, store):
+    """Each part has its share of the lines, and one part's shuffles are gone before the next."""
+    tables = Context(spark, SF_DIR).published
+    fact, mart = tables["fact_sales_order_line"], tables["mart_sales_order_line"]
+    # One customer and no customer at all have a sixth of the lines each.
+    hot = F.when(F.col("sales_order_line_key") % 6 == 0, 7).when(F.col("sales_order_line_key") % 6 > 1, F.col("customer_key"))
+    uneven = fact.withColumn("customer_key", hot.cast("long"))
+    # Contact persons, items and customers are shuffled: six times the parts of one lookup.
+    limits = JoinLimits(broadcast_rows=50, hot_share=0.05, parts=1, part_rows=1000)
+    for lines, whole in ((fact, mart), (uneven, None)):
+        changed = tables | {"fact_sales_order_line": lines}
+        parts = mart_parts(changed, limits)
+        held = [part.count() for part in parts]
+        assert len(parts) == 6 and max(held) < 1.5 * fact.count() / 6
+        whole = mart_sales_order_line(changed) if whole is None else whole
+        before = shuffle_files(spark)
+        written = store.materialize(parts, "mart_sales_order_line")
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) != "true"
+        deadline = time.time() + 20
+        while shuffle_files(spark) > before and time.time() < deadline:
+            time.sleep(0.2)
+        assert shuffle_files(spark) <= before
+        assert written.columns == mart.columns
+        assert written.exceptAll(whole).count() == 0 and whole.exceptAll(written).count() == 0
+
+
 def test_parts_keep_orphans_nulls_and_repeated_keys_of_any_type(spark):
     """Also where both keys have other types, whose hashes don't agree."""
     fact = spark.range(4000).selectExpr("id", "cast(case when id % 7 > 0 then id % 900 end as int) as k")
